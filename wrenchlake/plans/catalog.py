@@ -42,12 +42,29 @@ def _master(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.build_part_master(standins.part_sheets(spark, sf))
 
 
-def job_cards(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFrame:
-    """Enriched job cards, loaded quarter by quarter."""
+def _ingested(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFrame:
+    """Job cards enriched from the raw stand-in, loaded quarter by quarter."""
     raw = standins.raw_job_cards(spark, sf, part, extra={"LoadDay": standins.LOAD_DAY})
     return ingest.ingest_job_cards(raw, _master(spark, sf), standins.dealers(spark, sf), F.col("LoadDay"))
 
 
+_CARD_TABLES: dict[tuple[str, str, str], str] = {}
+
+
+def job_cards(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFrame:
+    """The job-card table the use cases read, written on first use in a session.
+
+    As in daily work, ingestion is a job of its own: the use cases scan its
+    table, with their filters, columns and run days pruned in the scan.
+    """
+    key = (spark.sparkContext.applicationId, sf, part)
+    if key not in _CARD_TABLES:
+        path = f"{_scratch(spark)}/job_cards"
+        tables.write_append(tables.spread_by_day(_ingested(spark, sf, part)), path)
+        _CARD_TABLES[key] = path
+    return tables.read_table(spark, _CARD_TABLES[key])
+
+
 def _built_when_sold(cards: DataFrame) -> DataFrame:
     """Job cards whose build date is the month of sale, which spreads builds evenly over the period."""
     built = F.trunc("DateofSale", "MM")
@@ -183,7 +200,7 @@ def part_master(spark, sf):
 
 @query
 def ingest_job_cards(spark, sf):
-    return job_cards(spark, sf)
+    return _ingested(spark, sf)
 
 
 @query
