@@ -9,7 +9,7 @@ from wrenchlake import schemas
 from wrenchlake.functions import bands, dates, text
 from wrenchlake.functions import fixed_values as fixed
 from wrenchlake.operators.decode import decode_vehicle
-from wrenchlake.operators.skew import keep_first
+from wrenchlake.operators.skew import bounded, keep_first
 
 
 def build_part_master(sheets: list[DataFrame], order: list[Column] | None = None) -> DataFrame:
@@ -56,7 +56,7 @@ def _master_lookup(parts: DataFrame, legacy_dedupe: bool) -> DataFrame:
 
 def add_part_groups(df: DataFrame, parts: DataFrame, legacy_dedupe: bool = False) -> DataFrame:
     """Part columns for the part and the group of the primary part, by model type."""
-    master = _master_lookup(parts, legacy_dedupe)
+    master = bounded(_master_lookup(parts, legacy_dedupe))
     as_part = master.select("ModelType", "PartNumber", "PartGroup", "PartVariant", "PartCategory")
     as_primary = master.select(
         "ModelType", F.col("PartNumber").alias("PrimaryPartNumber"), F.col("PartGroup").alias("PrimaryPartGroup")
@@ -69,7 +69,7 @@ def add_part_groups(df: DataFrame, parts: DataFrame, legacy_dedupe: bool = False
 def add_city(df: DataFrame, dealers: DataFrame) -> DataFrame:
     """Upper-cased city of the dealer."""
     known = keep_first(dealers.dropna(subset=["Code"]), ["Code"], [F.col("CityCode")])
-    cities = known.select(F.col("Code").alias("DealerCode"), F.upper("CityCode").alias("City"))
+    cities = bounded(known.select(F.col("Code").alias("DealerCode"), F.upper("CityCode").alias("City")))
     return df.drop("City").join(cities, "DealerCode", "left")
 
 
@@ -83,8 +83,9 @@ def ingest_job_cards(
 ) -> DataFrame:
     """Raw job cards to the enriched job-card table.
 
-    The fact side is only projected and joined to the masters; whether a master
-    is broadcast is left to Spark's own size estimate of its files.
+    The fact side is only projected and joined to the masters. Each master is
+    deduplicated once, counted, and broadcast if it is small enough; a larger
+    one meets the facts in a shuffle.
     """
     dated = raw.withColumns(
         {

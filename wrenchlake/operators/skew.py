@@ -16,7 +16,7 @@ from wrenchlake.session import materialise
 # A group above this many rows is cut into slices before it reaches a window.
 HOT_ROWS = 1_000_000
 # Largest derived frame that may be broadcast, in rows.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
