@@ -1,0 +1,27 @@
+"""Every registered query against its oracle, on whole tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from oracle_compare import compare, oracle_connection
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    return oracle_connection(SF_DIR)
+
+
+def test_every_query_has_an_oracle():
+    assert entry.queries().keys() == entry.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_oracle(spark, oracle, name):
+    _, problem = compare(entry.queries()[name](spark, SF_DIR), oracle, entry.oracle_sql()[name])
+    assert problem is None
+
+
+def test_entry(spark):
+    assert "PreviousJC" in entry.entry(spark).columns
