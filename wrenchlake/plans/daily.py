@@ -42,8 +42,9 @@ def append_unplanned(
 ) -> None:
     """The run day's unplanned visits, and the same rows with their denominator."""
     cards = tables.read_table(spark, job_cards)
-    tables.write_day(visits.unplanned_visits(cards, ignored, service_codes, asof, run_date), table, run_date)
-    unplanned = tables.latest_delta(tables.read_table(spark, table), asof, run_date)
+    visited = visits.unplanned_visits(cards, ignored, service_codes, asof, run_date)
+    tables.write_day(visited, table, run_date)
+    unplanned = tables.latest_delta(tables.read_table(spark, table, schema=visited.schema), asof, run_date)
     tables.write_day(visits.unplanned_share(unplanned, cards, asof, run_date), share_table, run_date)
 
 
@@ -56,5 +57,5 @@ def report_trigger_cutoff(
         tables.read_table(spark, job_cards), parsed, trigger.ENGINEERING, asof, run_date=run_date
     )
     tables.write_day(rows, table, run_date)
-    written = tables.latest_delta(tables.read_table(spark, table), asof, run_date)
+    written = tables.latest_delta(tables.read_table(spark, table, schema=rows.schema), asof, run_date)
     tables.write_report({"summary": trigger.trigger_cutoff_summary(written), "details": written}, report)

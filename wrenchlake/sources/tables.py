@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wrenchlake.functions import dates
 from wrenchlake.schemas import RUN_DATE
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, columns: list[str] | None = None, schema: StructType | None = None) -> DataFrame:
+    """Rows of a table; name the ``schema`` where the table may still be empty."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
     return df.select(*columns) if columns else df
 
 
