@@ -164,6 +164,10 @@ def test_rewrite_and_catalog_table(spark, tmp_path):
     promoted = tables.read_table(spark, path).withColumn("id", F.col("id") * 2)
     tables.rewrite(promoted, path, str(tmp_path / "staging"), "RunDate")
     assert tables.read_table(spark, path).agg(F.sum("id")).first()[0] == 90
+    for rows in (5, 7):
+        tables.create_table(spark.range(rows), "made_here", str(tmp_path / "made"))
+    assert spark.table("made_here").count() == 7
+    spark.sql("DROP TABLE made_here")
 
 
 def test_unplanned_reads_one_partition(spark, tmp_path):

@@ -19,16 +19,22 @@ def read_feed(
     date_format: str | None = None,
     header: bool = True,
     strict_header: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Read delimited files with the declared names and types of a feed.
 
     Names are given by position, whatever the header says, unless
     ``strict_header`` asks for them to agree. Several paths are read as one. A
     field left empty is NULL. ``columns`` is pruned in the scan.
+
+    Feeds whose texts may hold line breaks are read one file per task, as such
+    files cannot be split; pass ``multi_line=False`` where a very large file is
+    known to have none.
     """
     declared = FEEDS[feed] if isinstance(feed, str) else feed
+    whole_files = declared.multi_line if multi_line is None else multi_line
     reader = spark.read.schema(declared.ddl).options(
-        header=header, enforceSchema=not strict_header, multiLine=declared.multi_line, escape='"', **declared.options
+        header=header, enforceSchema=not strict_header, multiLine=whole_files, escape='"', **declared.options
     )
     if encoding:
         reader = reader.option("encoding", encoding)

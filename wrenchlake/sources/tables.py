@@ -54,9 +54,12 @@ def rewrite(df: DataFrame, path: str, staging: str, run_date: str | None = None)
     writer.parquet(path)
 
 
-def create_table(df: DataFrame, name: str) -> None:
-    """Create or replace a catalog table from a query."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def create_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Create or replace a catalog table from a query, at ``path`` or in the warehouse folder."""
+    writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def copy_table(spark: SparkSession, source: str, target: str, run_date: str = RUN_DATE) -> None:
