@@ -38,31 +38,44 @@ def _scratch(spark: SparkSession) -> str:
 # ---- inputs -------------------------------------------------------------
 
 
-def _master(spark: SparkSession, sf: str) -> DataFrame:
+_WRITTEN: dict[tuple[str, ...], str] = {}
+
+
+def _written_once(spark: SparkSession, key: tuple[str, ...], build: Callable[[], DataFrame], by_day: bool = False) -> DataFrame:
+    """A derived table, written on its first use in a session and read back from then on."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _WRITTEN:
+        path = f"{_scratch(spark)}/{key[1]}"
+        if by_day:
+            tables.write_append(tables.spread_by_day(build()), path)
+        else:
+            tables.write_replace(build(), path)
+        _WRITTEN[key] = path
+    return tables.read_table(spark, _WRITTEN[key])
+
+
+def _master_from_sheets(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.build_part_master(standins.part_sheets(spark, sf))
 
 
+def _master(spark: SparkSession, sf: str) -> DataFrame:
+    """The part-master table."""
+    return _written_once(spark, ("part_master", sf), lambda: _master_from_sheets(spark, sf))
+
+
 def _ingested(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFrame:
     """Job cards enriched from the raw stand-in, loaded quarter by quarter."""
     raw = standins.raw_job_cards(spark, sf, part, extra={"LoadDay": standins.LOAD_DAY})
     return ingest.ingest_job_cards(raw, _master(spark, sf), standins.dealers(spark, sf), F.col("LoadDay"))
 
 
-_CARD_TABLES: dict[tuple[str, str, str], str] = {}
-
-
 def job_cards(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFrame:
-    """The job-card table the use cases read, written on first use in a session.
+    """The job-card table the use cases read.
 
     As in daily work, ingestion is a job of its own: the use cases scan its
     table, with their filters, columns and run days pruned in the scan.
     """
-    key = (spark.sparkContext.applicationId, sf, part)
-    if key not in _CARD_TABLES:
-        path = f"{_scratch(spark)}/job_cards"
-        tables.write_append(tables.spread_by_day(_ingested(spark, sf, part)), path)
-        _CARD_TABLES[key] = path
-    return tables.read_table(spark, _CARD_TABLES[key])
+    return _written_once(spark, ("job_cards", sf, part), lambda: _ingested(spark, sf, part), by_day=True)
 
 
 def _built_when_sold(cards: DataFrame) -> DataFrame:
@@ -195,7 +208,7 @@ def parsed_changes(spark, sf):
 
 @query
 def part_master(spark, sf):
-    return _master(spark, sf)
+    return _master_from_sheets(spark, sf)
 
 
 @query
