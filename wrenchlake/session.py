@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter to the plans in this library. Adaptive execution splits
 # skewed join partitions and re-sizes shuffles; the rest pins value semantics.
@@ -55,10 +57,43 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialise(df):
-    """Write ``df`` once to the shared folder and read it back with its lineage cut."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+_CLEARED_AT_EXIT: set[str] = set()
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The one folder that holds every intermediate of this application."""
+    return f"{shared_dir(spark)}/wrenchlake-{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str = "table") -> str:
+    """A new path below the application's folder, which is removed at exit."""
+    root = scratch_root(spark)
+    if root not in _CLEARED_AT_EXIT:
+        _CLEARED_AT_EXIT.add(root)
+        atexit.register(_clear_quietly, spark, root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession, path: str | None = None) -> None:
+    """Delete the application's intermediates (or one of them); frames read from them end here."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path or scratch_root(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _clear_quietly(spark: SparkSession, root: str) -> None:
+    try:
+        clear_scratch(spark, root)
+    except Exception:  # the session may be gone by now; its folder carries the application id
+        pass
+
+
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and read it back.
+
+    Lineage ends there, so a lost executor costs a re-read, and later scans
+    still prune columns and push filters.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
