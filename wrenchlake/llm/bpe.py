@@ -168,7 +168,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, tokens = _codec(ranks_path, pattern)
         for batch in batches:
-            for part in texts.slices(batch.set_column(1, "ids", batch.column("ids").cast(pa.binary())), "ids"):
+            for part in texts.slices(batch, "ids"):
                 decoded = [decode(x, tokens) for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], [*part.schema.names, "decoded"])
 

@@ -6,16 +6,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wrenchlake.llm import bpe, packing
+from wrenchlake.llm import bpe, fingerprints, jaccard, lm, neighbours, packing, pii, spans, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(column: str = "doc_id"):
+    """crc32 of the id as text, modulo 5."""
+    return F.crc32(F.col(column).cast("long").cast("string")) % 5
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack(_table(spark, sf_dir, "documents"), str(path), public_tokenizers.PATTERN, with_ids=False)
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+
+
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,5 +44,43 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op5_bpe": op5_bpe}
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, _, _ = warc.archive_pages(_table(spark, sf_dir, "pages"))
+    read = warc.read_archives(spark, folder, with_payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(_table(spark, sf_dir, "documents"), size=4, similarity=(85, 100))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = spans.remove_repeated(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "text", F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(_fold() == 0, F.lit(False))
+    model = toxicity.train(toxicity.labelled(docs, _table(spark, sf_dir, "labels")).filter(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), _fold() == 1)
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op2_fingerprints": op2_fingerprints,
+    "op3_pii": op3_pii,
+    "op4_neighbours": op4_neighbours,
+    "op5_bpe": op5_bpe,
+    "op6_warc": op6_warc,
+    "op7_jaccard": op7_jaccard,
+    "op8_spans": op8_spans,
+    "op9_toxicity": op9_toxicity,
+    "op10_lm": op10_lm,
+}
 SQL: dict[str, str] = {}

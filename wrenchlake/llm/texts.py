@@ -52,11 +52,8 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string array in one buffer, and the offsets of its rows."""
-    if pa.types.is_large_string(texts.type):
-        kind = np.int64
-    else:
-        texts, kind = texts.cast(pa.string()), np.int32
+    """The bytes of a string or binary array in one buffer, and the offsets of its rows."""
+    kind = np.int64 if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type) else np.int32
     buffers = texts.buffers()
     if not len(texts):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
