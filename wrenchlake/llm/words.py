@@ -91,7 +91,7 @@ def tokenizer_ids(path: str, pattern: str) -> Callable[[Sequence[str]], list[byt
             out[k] = ids
         for at in range(0, len(plain), 2000):
             part = plain[at : at + 2000]
-            line = tokenizer.encode_batch_fast(["".join([words[k] for k in part])], add_special_tokens=False)[0]
+            line = tokenizer.encode("".join([words[k] for k in part]), add_special_tokens=False)
             ids = np.array(line.ids, "<u4").tobytes()
             cuts = (4 * np.searchsorted(np.array(line.word_ids), np.arange(len(part) + 1))).tolist()
             for k, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
