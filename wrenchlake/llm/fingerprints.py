@@ -109,18 +109,18 @@ def name_sets(found: list[str]) -> list[np.ndarray]:
     codes = np.frombuffer("".join(found[k] for k in own).encode("utf-32-le", "surrogatepass"), "<u4")
     symbols = texts.mix(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
     starts = np.cumsum([0, *(len(found[k]) for k in own)])[:-1]
-    upper, lower, level = [], [], 0
+    levels = []
     while len(symbols) > len(own):
-        symbols, starts = _parse(symbols, starts, level)
-        level += 1
-        (upper if level >= LEVEL else lower).append((symbols, np.append(starts, len(symbols))))
-    if not upper:
-        upper.append((symbols, np.append(starts, len(symbols))))
+        # A text that is down to one symbol is done, whatever stands beside it.
+        under_way = np.diff(np.append(starts, len(symbols))) > 1
+        symbols, starts = _parse(symbols, starts, len(levels) + 1)
+        levels.append((symbols, np.append(starts, len(symbols)), under_way))
     for row, k in enumerate(own):
-        names = np.concatenate([s[c[row] : c[row + 1]] for s, c in upper])
-        if len(names) < FEWEST + len(upper):  # each level adds a name even to a short text
-            names = np.concatenate([names, *(s[c[row] : c[row + 1]] for s, c in lower)])
-        out[k] = np.unique((names >> np.uint64(32)).astype(np.uint32))[:NAMES]
+        names = [s[c[row] : c[row + 1]] for s, c, under_way in levels if under_way[row]]
+        upper = names[LEVEL - 1 :]
+        if sum(map(len, upper)) < FEWEST + len(upper):  # each level has a name even of a short text
+            upper = names or [texts.mix(np.array([ord(found[k][0])], np.uint64))]
+        out[k] = np.unique((np.concatenate(upper) >> np.uint64(32)).astype(np.uint32))[:NAMES]
     return out
 
 

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from wrenchlake.llm import texts
 from wrenchlake.llm.components import components
+from wrenchlake.llm.membership import Membership
 from wrenchlake.session import materialise
 
 SHINGLE = 5
@@ -42,8 +43,6 @@ SIMILARITY = (80, 100)
 SKETCH_WORDS = 4
 # Rows of one bucket that are held to compare its members with earlier buckets.
 BUCKET_ROWS = 8_192
-# Most bits of the filter that spares non-candidates the trip through a shuffle.
-FILTER_BITS = 1 << 26
 
 
 class Bands:
@@ -223,26 +222,11 @@ def _buckets(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "set_id").mapInArrow(run, "bucket long, leader long, member long")
 
 
-def _filter_bits(ids: DataFrame, count: int) -> tuple[int, dict[int, bytes]]:
-    """A one-hash membership filter over ``ids``: its number of bits and its 4 KB pages, at most FILTER_BITS / 8 bytes."""
-    bits = min(FILTER_BITS, 1 << max(15, math.ceil(math.log2(16 * max(count, 1)))))
-    place = F.pmod("set_id", F.lit(bits)) + 1
-    pages = ids.select(place.alias("_x")).groupBy(F.expr("bitmap_bucket_number(_x)").alias("page")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(_x))").alias("bits")
-    )
-    return bits, {row["page"] - 1: bytes(row["bits"]) for row in pages.collect()}
-
-
 def _members(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     """set_id, n, tokens and parity sketch of the wanted sets (one column, set_id), one row each."""
-    count = wanted.count()
-    bits, pages = _filter_bits(wanted, count)
-    shared = docs.sparkSession.sparkContext.broadcast(pages)
+    filtered = Membership(wanted, "set_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.zeros(bits // 8, np.uint8)
-        for page, held in shared.value.items():
-            bitmap[page * 4096 : page * 4096 + len(held)] = np.frombuffer(held, np.uint8)[: max(bits // 8 - page * 4096, 0)]
         met: set[int] = set()
         for _, sets in _sets(batches, size):
             found = []
@@ -250,8 +234,7 @@ def _members(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
                 if not len(shingles):
                     continue
                 own = set_id(shingles)
-                place = own % bits
-                if own not in met and bitmap[place >> 3] >> (place & 7) & 1:
+                if own not in met and filtered.possible(np.array([own]))[0]:
                     if len(met) >= 1_000_000:
                         met.clear()
                     met.add(own)

@@ -6,7 +6,7 @@ counted per class; the log ratio of its two smoothed frequencies is the bin's
 scale. Only bins that are told apart from chance carry a feature: presence of
 the bin, times its scale. A logistic regression over these features is fitted
 on at most ``FIT_ROWS`` labelled rows, the ones whose hash is smallest, of
-each class; scoring covers every text whole.
+each class (label 1 keeps its true share of the weight); scoring covers every text whole.
 
 Defined cases: a null or empty text has no feature, its score is the model's
 intercept alone. Training rows with a null label or id are left out. Without
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wrenchlake.llm import texts
+from wrenchlake.llm.membership import Membership
 from wrenchlake.session import materialise
 
 ORDERS = (4, 5, 6)
@@ -34,12 +35,12 @@ BINS = 1 << 18
 LEAST_TEXTS = 5
 LEAST_Z = 6.0
 # Most labelled rows of either class that the linear fit sees (documented bound of the fit).
-FIT_ROWS = 8_000
+FIT_ROWS = 4_000
 # Most features of the linear fit, the ones with the largest standardised ratios.
-FEATURES = 8_192
+FEATURES = 4_096
 SMOOTHING = 1.0
 RIDGE = 1e-4
-STEPS = 400
+STEPS = 300
 
 
 @dataclass(frozen=True)
@@ -89,14 +90,25 @@ def _present(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None =
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFrame:
-    """Documents with their label as y (0 or 1)."""
+    """doc_id, text, y (0 or 1) of the documents with a label.
+
+    A bounded filter drops most other documents before their texts are shuffled.
+    """
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
         .dropna()
         .groupBy("doc_id")
         .agg((F.max("y") > 0).cast("int").alias("y"))
     )
-    return texts.id_and_text(docs).join(marks, "doc_id")
+    marks = materialise(marks, "marks")
+    filtered = Membership(marks.select(F.xxhash64("doc_id").alias("hash")), "hash")
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(filtered.possible(batch.column("hash").to_numpy()))).select(["doc_id", "text"])
+
+    own = texts.id_and_text(docs).withColumn("hash", F.xxhash64("doc_id")).mapInArrow(possible, "doc_id long, text string")
+    return own.join(marks, "doc_id")
 
 
 def _class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -134,10 +146,10 @@ def _scales(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def _fit(index: np.ndarray, rows: np.ndarray, y: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression by accelerated gradient steps on sparse rows; each class has half the weight."""
+def _fit(index: np.ndarray, rows: np.ndarray, y: np.ndarray, scale: np.ndarray, share: float) -> tuple[np.ndarray, float]:
+    """Logistic regression by accelerated gradient steps on sparse rows; label 1 has its true share of the weight."""
     n, m = len(y), len(scale)
-    weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max(n - y.sum(), 1))
+    weight = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max(n - y.sum(), 1))
     values = scale[index]
     norm = np.bincount(rows, values**2, n)
     step = 1.0 / (0.25 * float((weight * (norm + 1)).sum()) + RIDGE)
@@ -155,7 +167,7 @@ def _fit(index: np.ndarray, rows: np.ndarray, y: np.ndarray, scale: np.ndarray)
 
 def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on rows of (doc_id, text, y); counts use all of them, the linear fit at most ``fit_rows`` per class."""
-    rows = materialise(rows.select("doc_id", "text", "y").repartition(F.xxhash64("doc_id", "text")), "labelled")
+    rows = materialise(rows.select("doc_id", "text", "y"), "labelled")
     sizes, counts = _class_counts(rows)
     if not sizes.min():
         share = float(sizes[1] / sizes.sum()) if sizes.sum() else 0.0
@@ -180,7 +192,7 @@ def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     if not len(chosen):
         return Model(np.zeros(BINS), 0.0 if y.mean() >= 0.5 else -2.0)
     lengths = [len(x) for x in found]
-    coef, bias = _fit(np.concatenate(found), np.repeat(np.arange(len(y)), lengths), y, scales[chosen])
+    coef, bias = _fit(np.concatenate(found), np.repeat(np.arange(len(y)), lengths), y, scales[chosen], sizes[1] / sizes.sum())
     weights = np.zeros(BINS)
     weights[chosen] = coef * scales[chosen]
     return Model(weights, bias)

@@ -120,7 +120,7 @@ class _Archive:
     def __init__(self, fs: pafs.FileSystem, folder: str, name: str, dictionary: bytes):
         self._fs, self._final = fs, f"{folder}/{name}"
         self._hidden = f"{folder}/_{uuid.uuid4().hex}-{name}"
-        self._out = fs.open_output_stream(self._hidden)
+        self._out = fs.open_output_stream(self._hidden, compression=None)  # frames are made here
         self._out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
         kind = zstandard.ZstdCompressionDict(dictionary)
         self._press = zstandard.ZstdCompressor(level=LEVEL, dict_data=kind, write_content_size=True, write_checksum=True)
