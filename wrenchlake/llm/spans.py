@@ -113,10 +113,11 @@ def _occurrences(docs: DataFrame, run: int, least_words: int) -> DataFrame:
             spans = spans.view(np.int64)
             order = np.lexsort((at, content[rows], ids[rows], lacking[rows], spans))
             spans, rows, at, size = spans[order], rows[order], at[order], size[order]
-            later = np.append(False, spans[1:] == spans[:-1])
+            later = np.zeros(len(spans), bool)
+            later[1:] = spans[1:] == spans[:-1]
             # The same document again (a repeated row) is no later occurrence.
             group = np.cumsum(~later) - 1
-            head = np.flatnonzero(~later)[group] if len(spans) else np.zeros(0, np.int64)
+            head = np.flatnonzero(~later)[group]
             same = (ids[rows] == ids[rows[head]]) & (lacking[rows] == lacking[rows[head]]) & (content[rows] == content[rows[head]]) & (at == at[head])
             later &= ~same
             place = np.where(later, texts.mix(content[rows].view(np.uint64) + at.astype(np.uint64)).view(np.int64), spans)
