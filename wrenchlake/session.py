@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,3 +99,17 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, unless their path has it already."""
+    context, parent = spark.sparkContext, Path(__file__).resolve().parents[1]
+    on_path = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if context.applicationId in _SHIPPED or parent in on_path:
+        return
+    _SHIPPED.add(context.applicationId)
+    folder = tempfile.mkdtemp(prefix="wrenchlake-package-")  # the driver's own; Spark sends the file from there
+    context.addPyFile(shutil.make_archive(f"{folder}/wrenchlake", "zip", parent, Path(__file__).resolve().parent.name))
