@@ -90,14 +90,20 @@ def _clear_quietly(spark: SparkSession, root: str) -> None:
         pass
 
 
-def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+# Rows of a narrow table that share a file.
+ROWS_PER_FILE = 1_000_000
+
+
+def materialise(df: DataFrame, name: str = "table", rows: int | None = None) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Lineage ends there, so a lost executor costs a re-read, and later scans
-    still prune columns and push filters.
+    still prune columns and push filters. Where a bound on the ``rows`` of a
+    narrow frame is known, they are gathered into few files by one more shuffle.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    gathered = df if rows is None else df.repartition(max(1, -(-rows // ROWS_PER_FILE)))
+    gathered.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
