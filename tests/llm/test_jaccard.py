@@ -126,6 +126,6 @@ def test_components(spark):
         if a != b:
             a, b = root(a), root(b)
             parent[max(a, b)] = min(a, b)
-    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long"), 300).collect()}
     assert found == {x: root(x) for x in parent}
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert components(spark.createDataFrame([], "a long, b long"), 0).count() == 0

@@ -26,15 +26,16 @@ def _toward_minimum(links: DataFrame, larger_only: bool) -> DataFrame:
     return up.unionByName(least.select(F.col("_m").alias("a"), "b"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int) -> DataFrame:
     """node, component (its least node) for every node of the links (a, b); self-links are ignored.
 
-    Each round contracts both ways and is written to the shared folder; the
-    number of rounds grows with the logarithm of the longest chain. Ends when a
-    round changes nothing, at which point every component is a star.
+    ``rows`` is a bound on the number of links. Each round contracts both ways
+    and is written to the shared folder; the number of rounds grows with the
+    logarithm of the longest chain. Ends when a round changes nothing, at which
+    point every component is a star.
     """
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
-    links = materialise(links, "links")
+    links = materialise(links, "links", rows)
     state = None
     while True:
         new = links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("a", "b").cast("long"))).first()
@@ -42,6 +43,7 @@ def components(links: DataFrame) -> DataFrame:
             break
         state = new
         larger = _toward_minimum(links, True).filter("a < b").distinct()
-        links = materialise(_toward_minimum(larger, False).filter("a < b").distinct(), "links")
+        # A round never makes more links than two for each it had.
+        links = materialise(_toward_minimum(larger, False).filter("a < b").distinct(), "links", 2 * new[0])
     hubs = links.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return links.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(hubs)

@@ -10,9 +10,11 @@ of the band below) that agree on a segment are candidates.
 Candidates are first linked as stars, to the least set of their bucket. A short
 parity sketch, one bit per shingle, whose Hamming distance is at most the
 symmetric difference, discards most false ones; the rest are verified on the
-whole sets. Pairs of one bucket that ended up in different components are then
-verified as well, so no link that could join two components is lost, while a
-bucket of thousands of similar sets costs no more than its star.
+whole sets. Buckets whose members ended up in different components try stars
+around other members, chosen by hash, while that settles most of them; at last
+all pairs across components of a bucket that the sketches allow are verified.
+No link that could join two components is lost, and a bucket of thousands of
+similar sets costs a few stars.
 
 Defined cases: a null or empty text, or one without words, is the empty set:
 0 shingles, linked with nothing, a component of its own. A text with fewer
@@ -40,7 +42,7 @@ from wrenchlake.session import materialise
 
 SHINGLE = 5
 SIMILARITY = (80, 100)
-SKETCH_WORDS = 4
+SKETCH_WORDS = 16
 # Rows of one bucket that are held to compare its members with earlier buckets.
 BUCKET_ROWS = 8_192
 
@@ -224,6 +226,7 @@ def _buckets(rows: DataFrame) -> DataFrame:
 
 def _members(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     """set_id, n, tokens and parity sketch of the wanted sets (one column, set_id), one row each."""
+    wanted = materialise(wanted, "wanted")
     filtered = Membership(wanted, "set_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,47 +258,74 @@ def _members(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     return materialise(one.join(wanted, "set_id", "left_semi"), "members")
 
 
+def _close(a: str, b: str, p: int, q: int):
+    """Whether sizes and sketches of two sides allow them to be similar: no similar pair fails this."""
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    apart = sum((F.bit_count(F.col(f"s_{a}")[k].bitwiseXOR(F.col(f"s_{b}")[k])) for k in range(SKETCH_WORDS)), F.lit(0))
+    return (F.least(n_a, n_b) * q >= F.greatest(n_a, n_b) * p) & (apart * (p + q) <= (n_a + n_b) * (q - p))
+
+
+def _side(members: DataFrame, side: str) -> DataFrame:
+    return members.select(F.col("set_id").alias(side), F.size("tokens").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+
+
 def _verified(pairs: DataFrame, members: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar: sizes, then the sketches' bound, then the whole sets."""
-    narrow = members.select("set_id", F.size("tokens").alias("n"), "sketch")
-    tried = pairs
-    for side in ("a", "b"):
-        tried = tried.join(narrow.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
-    apart = sum((F.bit_count(F.col("s_a")[k].bitwiseXOR(F.col("s_b")[k])) for k in range(SKETCH_WORDS)), F.lit(0))
-    both = F.col("n_a") + F.col("n_b")
-    tried = tried.filter((F.least("n_a", "n_b") * q >= F.greatest("n_a", "n_b") * p) & (apart * (p + q) <= both * (q - p))).select("a", "b")
-    tried = materialise(tried, "pairs")
+    tried = pairs.join(_side(members, "a"), "a").join(_side(members, "b"), "b").filter(_close("a", "b", p, q)).select("a", "b")
     for side in ("a", "b"):
         tried = tried.join(members.select(F.col("set_id").alias(side), F.col("tokens").alias(f"t_{side}")), side)
     common = F.size(F.array_intersect("t_a", "t_b"))
     return tried.filter(common * (p + q) >= (F.size("t_a") + F.size("t_b")) * p).select("a", "b")
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, member, component) of the buckets whose members lie in several components."""
+    own = buckets.join(found.withColumnRenamed("node", "member"), "member", "left").select(
+        "bucket", "member", F.coalesce("component", "member").alias("component")
+    )
+    mixed = own.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
+    return own.join(mixed.select("bucket"), "bucket", "left_semi")
+
+
 def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """node, component over set ids: the components of similar sets with more than one set.
 
     Sets A and B are similar if q * |A and B| >= p * |A or B| for similarity (p, q).
     """
     p, q = similarity
-    buckets = materialise(_buckets(_segment_rows(docs, size, p, q)), "buckets")
-    wanted = materialise(buckets.select(F.col("member").alias("set_id")).distinct(), "wanted")
-    members = _members(docs, size, wanted)
-    stars = buckets.filter("member != leader").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    links = materialise(_verified(stars, members, p, q), "verified")
-    first = materialise(components(links), "components")
-    # Members of one bucket that the star left in different components.
-    own = buckets.select("bucket", "member").join(first.withColumnRenamed("node", "member"), "member", "left")
-    own = own.withColumn("component", F.coalesce("component", "member"))
-    mixed = own.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high").select("bucket")
-    left = materialise(own.join(mixed, "bucket", "left_semi"), "mixed")
-    right = left.select("bucket", F.col("member").alias("b"), F.col("component").alias("_other"))
-    across = left.withColumnRenamed("member", "a").join(right, "bucket").filter("component < _other")
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    across = across.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = materialise(_verified(across, members, p, q), "verified")
-    if more.isEmpty():
-        return first
-    return components(links.unionByName(more))
+    buckets = materialise(_buckets(_segment_rows(docs, size, p, q)).hint("rebalance"), "buckets")
+    members = _members(docs, size, buckets.select(F.col("member").alias("set_id")).distinct())
+    stars = _ordered(buckets.filter("member != leader").select(F.col("leader").alias("a"), F.col("member").alias("b")))
+    buckets = buckets.select("bucket", "member")
+    bound = members.count()
+    found = components(_verified(stars, members, p, q), bound)
+    # Buckets that still span components try other stars, each around a member that its own hash picks, as long as that
+    # settles half of what is left.
+    mixed = materialise(_mixed(buckets, found), "mixed", bound)
+    left, turn = mixed.count(), 0
+    while left:
+        turn += 1
+        dice = F.xxhash64("bucket", "member", F.lit(turn))
+        hubs = mixed.groupBy("bucket").agg(F.min_by("member", dice).alias("a"), F.min_by("component", dice).alias("_hub"))
+        stars = _ordered(mixed.join(hubs, "bucket").filter("component != _hub").select("a", F.col("member").alias("b")))
+        known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        found = components(known.unionByName(_verified(stars, members, p, q)), 2 * bound)
+        mixed = materialise(_mixed(mixed.select("bucket", "member"), found), "mixed", left)
+        before, left = left, mixed.count()
+        if 2 * left > before:
+            break
+    if not left:
+        return found
+    # What then remains is compared pair by pair across components.
+    rows = mixed.join(_side(members, "a"), mixed.member == F.col("a")).drop("member")
+    others = mixed.select("bucket", "member", F.col("component").alias("_other")).join(_side(members, "b"), mixed.member == F.col("b")).drop("member")
+    across = rows.join(others, (rows.bucket == others.bucket) & (F.col("component") < F.col("_other")) & _close("a", "b", p, q))
+    known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return components(known.unionByName(_verified(_ordered(across.select("a", "b")), members, p, q)), 2 * bound)
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -304,7 +334,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int,
     component_id is the least doc_id of the component, component_set its least
     set id (null for the empty set).
     """
-    sets = materialise(shingle_sets(docs, size), "sets")
+    sets = materialise(shingle_sets(docs, size).hint("rebalance"), "sets")
     least = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("_least"), F.count(F.lit(1)).alias("_rows"))
     similar = similar_sets(docs, size, similarity)
     named = least.join(similar.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("_root", F.coalesce("component", "set_id"))
