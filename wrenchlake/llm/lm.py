@@ -79,6 +79,18 @@ def _asked(grams: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return distinct[order], np.searchsorted(part[order], np.arange(parts + 1)), place[inverse]
 
 
+def _short(counts: np.ndarray) -> bytes:
+    """Counts in one byte each where they fit; larger ones follow in eight."""
+    large = counts[counts >= 255]
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + large.astype("<u8").tobytes()
+
+
+def _long(blob: bytes, n: int) -> np.ndarray:
+    counts = np.frombuffer(blob, np.uint8, n).astype(np.int64)
+    counts[counts == 255] = np.frombuffer(blob, "<u8", offset=n)
+    return counts
+
+
 _QUESTION = "n int, part int, block int, asked binary, counts binary"
 
 
@@ -88,10 +100,10 @@ def _questions(table: pa.Table, block: int, order: int, parts: int) -> pa.Table:
     rows: dict[str, list] = {"n": [], "part": [], "block": [], "asked": [], "counts": []}
     for n, grams in enumerate(grams_of(tokens, offsets, order), 1):
         distinct, cuts, inverse = _asked(grams, parts)
-        counts = np.bincount(inverse[training], minlength=len(distinct)).astype("<u4")
+        counts = np.bincount(inverse[training], minlength=len(distinct))
         for part in np.flatnonzero(np.diff(cuts)).tolist():
             own = slice(cuts[part], cuts[part + 1])
-            for name, value in zip(rows, (n, part, block, distinct[own].tobytes(), counts[own].tobytes()), strict=True):
+            for name, value in zip(rows, (n, part, block, distinct[own].tobytes(), _short(counts[own])), strict=True):
                 rows[name].append(value)
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
     return pa.table([pa.array(rows[name], kind) for name, kind in zip(rows, kinds, strict=True)], names=list(rows))
@@ -101,16 +113,17 @@ def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[i
     """Distinct hashes and total counts of a partition; the inverse of all its questions and their sizes."""
     blobs = table.column("asked").to_pylist()
     asked = np.frombuffer(b"".join(blobs), "<u8")
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u4")
+    sizes = [len(x) // 8 for x in blobs]
+    counts = np.concatenate([_long(x, n) for x, n in zip(table.column("counts").to_pylist(), sizes, strict=True)])
     distinct, inverse = np.unique(asked, return_inverse=True)
-    return distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64), inverse, [len(x) // 8 for x in blobs]
+    return distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64), inverse, sizes
 
 
 def _answers(table: pa.Table) -> pa.Table:
     _, total, inverse, sizes = _summed(table)
     cuts = np.cumsum([0, *sizes])
-    found = total[inverse].astype("<u8")
-    counts = [found[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    found = total[inverse]
+    counts = [_short(found[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
     return pa.table([table.column("n"), table.column("part"), table.column("block"), pa.array(counts, pa.binary())],
                     names=["n", "part", "block", "counts"])
 
@@ -128,10 +141,12 @@ def _scored(docs: pa.Table, answers: pa.Table, order: int, parts: int, n_tokens:
         by_order.setdefault(n, []).append((part, counts))
     context = None
     for n, grams in enumerate(grams_of(tokens, offsets, order), 1):
-        distinct, _, inverse = _asked(grams, parts)
-        total = np.frombuffer(b"".join(counts for _, counts in sorted(by_order.get(n, []))), "<u8")
-        if len(total) != len(distinct):
+        distinct, cuts, inverse = _asked(grams, parts)
+        asked = np.flatnonzero(np.diff(cuts))
+        answered = dict(by_order.get(n, []))
+        if sorted(answered) != asked.tolist():
             raise RuntimeError("a block's n-grams differ from the ones it asked for; the documents changed meanwhile")
+        total = np.concatenate([_long(answered[part], cuts[part + 1] - cuts[part]) for part in asked.tolist()])
         count = total[inverse].astype(float)
         if n == 1:
             known = (count > 0).astype(np.int64)
