@@ -19,7 +19,7 @@ if __name__ == "__main__":
     con = oracle_connection(sf_dir)
     queries, sql = entry.queries(), entry.oracle_sql()
     failed = []
-    for name in sys.argv[2:] or queries:
+    for name in sys.argv[2:] or sql:
         start = time.time()
         try:
             rows, problem = compare(queries[name](spark, sf_dir), con, sql[name])

@@ -2,13 +2,15 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from wrenchlake import schemas
 from wrenchlake.operators import ingest, visits
 from wrenchlake.plans import daily
 from wrenchlake.sources import feeds, tables
-from wrenchlake.streaming.landing import load_new_files
+from wrenchlake.streaming import landing as landing_module
+from wrenchlake.streaming.landing import ChangedFileError, load_new_files
 
 D = dt.date.fromisoformat
 NAMES = [c.split()[0] for c in schemas.JOB_CARDS.ddl.replace("\n", " ").split(",")]
@@ -90,9 +92,9 @@ def test_feed_options(spark, tmp_path):
     pruned = feeds.read_feed(spark, str(path), "ignore_list", columns=["Part No", "Repeat/Repair Service"])
     assert pruned.columns == ["Part No", "Repeat/Repair Service"]
     sales = tmp_path / "sales.csv"
-    sales.write_text("h\n,,,10/06/2022,,,,,,,,,\n")
+    sales.write_text("h\n,,,10/06/2022 12:05,,,,,,,,,\n")
     dated = feeds.read_feed(spark, str(sales), "sales", date_format="dd/MM/yyyy HH:mm")
-    assert dated.count() == 1
+    assert dated.first().SalesOrderDate == dt.datetime(2022, 6, 10, 12, 5)
     own = schemas.Feed("name string, value string")
     plain = tmp_path / "plain.csv"
     plain.write_text("x,1\n,2\n")
@@ -137,12 +139,17 @@ def test_daily_flows(spark, tmp_path, rows):
     daily.load_job_cards(spark, files, parts, dealers, cards, "2022-06-11")
     exclude = spark.createDataFrame([("X9",), (None,)], "PartNo string")
     codes = ingest.labour_codes(spark.createDataFrame([("S1", "service"), (None, "x")], schemas.LABOUR_CODES.ddl))
-    daily.refresh_relationship(spark, cards, exclude, f"{out}/relationship", "2022-06-11")
-    assert rows(tables.read_table(spark, f"{out}/relationship"), "JobCard", "PartNumber") == [
-        ("JC00000000000001", "A1"), ("JC00000000000003", "A1"), ("JC00000000000003", "S1")
+    later = write_cards(tmp_path / "later.csv", card_line(**{**card, "JobCard": "JC00000000000005"}))
+    daily.load_job_cards(spark, later, parts, dealers, cards, "2022-06-12")
+    first, second = "2022-06-11", "2022-06-12"
+    for day in (first, second, second):
+        daily.append_relationship(spark, cards, exclude, f"{out}/relationship", day)
+    assert rows(tables.read_table(spark, f"{out}/relationship"), "JobCard", "PartNumber", "RunDate") == [
+        ("JC00000000000001", "A1", D(first)), ("JC00000000000003", "A1", D(first)), ("JC00000000000003", "S1", D(first)),
+        ("JC00000000000005", "A1", D(second)),
     ]
     for _ in range(2):
-        daily.append_unplanned(spark, cards, exclude, codes, f"{out}/unplanned", f"{out}/share", "2022-06-11")
+        daily.append_unplanned(spark, cards, exclude, codes, f"{out}/unplanned", f"{out}/share", first)
     unplanned = tables.read_table(spark, f"{out}/unplanned")
     assert rows(unplanned, "JobCard", "ServiceSchedule", "VehicleAge", "DaysDifference") == [
         ("JC00000000000001", "Between Service-1 & Service-2", "(B) 3 - 12 Months", 160)
@@ -150,12 +157,79 @@ def test_daily_flows(spark, tmp_path, rows):
     share = tables.read_table(spark, f"{out}/share").groupBy("DMart").count()
     assert rows(share) == [("dms raw table", 4), ("unplanned table", 1)]
     quoted = "\"[{'Part No': 'A1', 'Part Description': 'filter'}]\""
-    for day, model, found in (("2022-06-11", "Q", 0), ("2022-06-12", "M", 2)):
-        (tmp_path / f"{day}.csv").write_text(f"h\n{quoted},DC,\"['{model}']\",2018-01-01,TVT,mod,2018-01-01,why\n")
-        daily.report_trigger_cutoff(spark, cards, str(tmp_path / f"{day}.csv"), f"{out}/trigger", f"{out}/report", day)
-        assert spark.read.option("header", True).csv(f"{out}/report/details").count() == found
-    assert tables.read_table(spark, f"{out}/trigger").count() == 2
-    assert spark.read.option("header", True).csv(f"{out}/report/summary").first().ReportedIssues == "2"
+    (tmp_path / "changes.csv").write_text(f"h\n{quoted},DC,\"['M']\",2018-01-01,TVT,mod,2018-01-01,why\n")
+    for day, of_the_day, in_all in ((first, 2, 2), (second, 1, 3), (second, 1, 3)):
+        daily.append_trigger_cutoff(spark, cards, str(tmp_path / "changes.csv"), f"{out}/trigger", f"{out}/report", day)
+        assert spark.read.option("header", True).csv(f"{out}/report/details").count() == of_the_day
+        assert spark.read.option("header", True).csv(f"{out}/report/summary").first().ReportedIssues == str(in_all)
+    assert tables.read_table(spark, f"{out}/trigger").count() == 3
+    (tmp_path / "approvals.csv").write_text("h\n\"['A1']\",\"['M']\",2018-01-01,N1,t,t,t,TVT,p,q\n")
+    for day in (first, second):
+        daily.append_approvals(spark, cards, str(tmp_path / "approvals.csv"), f"{out}/approvals", day)
+    assert rows(tables.read_table(spark, f"{out}/approvals").groupBy("RunDate").count()) == [(D(first), 2), (D(second), 1)]
+    daily.rebuild_repeats(spark, cards, exclude, f"{out}/repeats", second)
+    assert "PreviousJC" in tables.read_table(spark, f"{out}/repeats").columns
+    daily.report_deltas(spark, {"cards": cards}, f"{out}/deltas", second)
+    assert spark.read.option("header", True).csv(f"{out}/deltas/delta").first().DeltaRecords == "1"
+
+
+def test_write_day_replaces_exactly_one_day(spark, tmp_path):
+    path = str(tmp_path / "t")
+    whole = spark.createDataFrame([(1, D("2022-01-01")), (2, D("2022-01-02"))], "x int, RunDate date")
+    tables.write_append(whole, path)
+    tables.write_day(whole.filter("x < 0"), path, "2022-01-01")
+    assert [r.x for r in tables.read_table(spark, path).collect()] == [2]
+    with pytest.raises(Exception, match="another run day"):
+        tables.write_day(whole, path, "2022-01-01")
+    assert tables.as_of(tables.read_table(spark, path), "2022-01-01").count() == 0
+
+
+def test_as_of_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_append(spark.createDataFrame([(1, D("2022-01-01")), (2, D("2022-01-02"))], "x int, RunDate date"), path)
+    plan = tables.as_of(tables.read_table(spark, path), "2022-01-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(RunDate" in plan and "<= 2022-01-01" in plan
+
+
+def test_values_that_cannot_be_read(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text('h,h,h\n"1,234.5",900,2022-06-10 12:00:00\n2.5,900 km,2022-06-10 12:00:00\n3.5,7,10-06-2022 12:00\n4.5,8,2022-06-11 12:00:00\n')
+    feed = schemas.Feed("amount double, kms bigint, at timestamp_ntz")
+    with pytest.raises(Exception):
+        feeds.read_feed(spark, str(path), feed).collect()
+    kept = feeds.read_feed(spark, str(path), feed, keep_unreadable=True)
+    assert [r[feeds.UNREADABLE] is not None for r in kept.collect()] == [True, True, True, False]
+    assert tuple(feeds.unreadable_lines(kept).first()) == (4, 3)
+    assert feeds.read_feed(spark, str(path), feed, columns=["kms"], keep_unreadable=True).columns == ["kms", feeds.UNREADABLE]
+
+
+def test_landing_and_batch_share_a_table(spark, tmp_path):
+    landing, table, checkpoint = tmp_path / "landing", str(tmp_path / "t"), str(tmp_path / "cp")
+    landing.mkdir()
+    line = ",,dealer,2022-06-10 00:00:00,D1,M,F,Classic 350,ME3U30000KA000001,Z,R,S,C\n"
+
+    def load(day):
+        load_new_files(spark, str(landing), "sales", lambda raw: ingest.ingest_sales(raw, day), table, checkpoint)
+
+    (landing / "a.csv").write_text("h\n" + line)
+    load("2022-06-11")
+    batch = ingest.ingest_sales(feeds.read_feed(spark, str(landing / "a.csv"), "sales"), "2022-06-12")
+    tables.write_day(batch, table, "2022-06-12")
+    (landing / "b.csv").write_text("h\n" + line + line)
+    load("2022-06-13")
+    assert sorted(r.RunDate.day for r in tables.read_table(spark, table).collect()) == [11, 12, 13, 13]
+    (landing / "a.csv").write_text("h\n" + line * 5)
+    with pytest.raises(ChangedFileError, match="a.csv"):
+        load("2022-06-14")
+    tables.write_day(ingest.ingest_sales(feeds.read_feed(spark, str(landing / "a.csv"), "sales"), "2022-06-11"), table, "2022-06-11")
+    assert tables.latest_delta(tables.read_table(spark, table), "2022-06-11").count() == 5
+
+
+def test_a_landed_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    rows = spark.createDataFrame([(1, D("2022-01-01")), (2, D("2022-01-02"))], "x int, RunDate date")
+    for _ in range(2):
+        landing_module._add_once(rows, str(tmp_path / "t"), str(tmp_path / "staging"), "landed-1", "RunDate")
+    assert sorted(r.x for r in tables.read_table(spark, str(tmp_path / "t")).collect()) == [1, 2]
 
 
 def test_rewrite_and_catalog_table(spark, tmp_path):

@@ -59,11 +59,13 @@ def test_bounded_broadcasts_only_within_its_limit(spark):
         facts = spark.range(1000).withColumn("k", F.col("id") % 10)
         means = facts.groupBy("k").agg(F.avg("id").alias("m"))
 
-        def plan(limit):
-            return facts.join(skew.bounded(means, limit), "k")._jdf.queryExecution().executedPlan().toString()
+        def plan(small, limit):
+            return facts.join(skew.bounded(small, limit), "k")._jdf.queryExecution().executedPlan().toString()
 
-        assert "BroadcastHashJoin" in plan(10)
-        assert "BroadcastHashJoin" not in plan(9) and "SortMergeJoin" in plan(9)
+        assert "BroadcastHashJoin" in plan(means, 1000)
+        assert "BroadcastHashJoin" not in plan(means, 50) and "SortMergeJoin" in plan(means, 50)
+        wide = means.withColumn("text", F.repeat(F.lit("x"), 100_000))  # few rows that are very wide
+        assert "SortMergeJoin" in plan(wide, 900_000) and "BroadcastHashJoin" in plan(wide, 1_100_000)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -71,3 +73,32 @@ def test_bounded_broadcasts_only_within_its_limit(spark):
 def test_above_group_average(spark, rows):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), ("a", None), (None, 9.0)], "g string, v double")
     assert rows(above_group_average(df, "g", "v")) == [("a", 3.0, 2.0)]
+
+
+def exchanges(df):
+    """Shuffles that the query made; a reused one counts once."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum("Exchange hashpartitioning" in line and "Reused" not in line for line in final.split("\n"))
+
+
+def test_one_pass_for_lag_and_duplicates(spark):
+    df = visits(spark)
+    assert exchanges(lagged(df, 10_000)) == 1
+    # Rows of repeated keys meet their list, are gathered, ranked in parts, and the leaders ranked again.
+    assert exchanges(duplicate_rows(df.select("v", "p", "day"), ["v"])) <= 4
+
+
+def test_hot_key_from_a_single_partition(spark, rows):
+    df = visits(spark).select("v", "p", "day").withColumn("p", F.lit("same")).coalesce(1)
+    plain = rows(duplicate_rows(df, ["v"], hot_rows=10_000))
+    assert rows(duplicate_rows(df, ["v"], hot_rows=20)) == plain
+    same = spark.range(500).select(F.lit("k").alias("k"), F.lit(1).alias("x")).coalesce(1)
+    assert duplicate_rows(same, ["k"], hot_rows=10).count() == 499
+
+
+def test_lag_of_ties_does_not_hang_on_the_path(spark, rows):
+    df = visits(spark).withColumn("other", F.col("jc")).drop("jc").withColumn("jc", F.lit("same"))
+    lag = {"po": "other"}
+    plain = rows(skew.lag_in_group(df, ["v", "p"], "day", ["jc"], lag, 10_000))
+    assert rows(skew.lag_in_group(df, ["v", "p"], "day", ["jc"], lag, 20)) == plain

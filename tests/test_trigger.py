@@ -67,10 +67,35 @@ def test_windows_end_at_the_next_change_of_the_same_part(spark, rows):
     assert row.MfgDate == D("2020-06-01") and row.RunDate == D("2022-02-01")
 
 
-def test_year_slots_do_not_change_the_result(spark, rows):
-    for first, last in ((2020, 2020), (2021, 2021), (1800, 2200)):
-        got = run(spark, cards(spark, FACTS), listing(spark), first_year=first, last_year=last)
-        assert rows(got, "JobCard", "PartNumber", "ReasonForChange") == EXPECTED
+def test_builds_far_from_the_list_find_their_window(spark, rows):
+    listed = changes(spark, change(["A"], "1800-01-01", "1800-01-01", "old"), change(["A"], "2020-01-01", "2020-01-01", "new"))
+    facts = cards(spark, [("J1", "A", "M1", "1799-12-31"), ("J2", "A", "M1", "1801-05-05"), ("J3", "A", "M1", "2019-12-31"), ("J4", "A", "M1", "2199-01-01")])
+    assert rows(run(spark, facts, listed), "JobCard", "ReasonForChange") == [("J2", "old"), ("J3", "old"), ("J4", "new")]
+    assert run(spark, facts, listed.limit(0)).count() == 0
+
+
+def test_duplicates_go_before_the_stamps_come(spark):
+    """Rows are ranked by the job card's columns and a short change id; no text of the change is shuffled with them."""
+    plan = run(spark, cards(spark, FACTS), listing(spark))._jdf.queryExecution().optimizedPlan().toString()
+    ranked = plan[plan.index("Window [row_number()"):].split("\n")[0]
+    assert "_stamp_" not in ranked and "Models" not in ranked
+    below = plan[plan.index("Window [row_number()"):]
+    below = below[: below.index("Relation", 0)] if "Relation" in below else below
+    assert "ModificationDetail" not in below.split("Join")[0]
+
+
+def test_a_kind_of_its_own_behaves_like_the_known_one(spark, rows):
+    own = trigger.ChangeKind(**{f: getattr(trigger.ENGINEERING, f) for f in trigger.ENGINEERING.__dataclass_fields__})
+    got = trigger.trigger_cutoff(cards(spark, FACTS), listing(spark), own, "2022-02-01")
+    assert got.columns == run(spark, cards(spark, FACTS), listing(spark)).columns
+    assert rows(got, "JobCard", "PartNumber", "ReasonForChange") == EXPECTED
+    assert got.filter("JobCard = 'J5'").first().PartDescription == "text B"
+
+
+def test_unread_changes_are_reported(spark):
+    raw = spark.createDataFrame([change(["A"], "2020-01-01", "2020-01-01", "x"), ("[broken", "DC", "[]", None, "TVT", "m", None, "y")], schemas.ENGINEERING_CHANGES.ddl)
+    assert [r.ReasonForChange for r in trigger.unread_changes(raw).collect()] == ["y"]
+    assert trigger.parse_engineering_changes(raw, strict=False).filter("Parts IS NULL").count() == 1
 
 
 def test_plant_match_is_an_option(spark, rows):

@@ -93,11 +93,23 @@ def test_latest_repeat(spark, rows):
         visit(9, "e", None, 10), visit(10, "e", "2020-04-01", 20),
         visit(11, "f", "2020-01-01", None), visit(12, "f", "2020-01-02", 20),
     )
-    assert rows(visits.latest_repeat(facts), "JobCard", "prev_job_card", "Days_Diff", "Km_Diff") == [
-        (number(3), number(2), 29, -15), (number(6), number(5), 0, 10)
+    assert rows(visits.latest_repeat(facts), "JobCard", "prev_job_card", "Days_Diff", "Km_Diff", "row_num") == [
+        (number(3), number(2), 29, -15, 3), (number(6), number(5), 0, 10, 2)
     ]
 
 
+def test_latest_repeat_needs_a_vehicle_and_a_part(spark):
+    def visit(i, day, **keys):
+        return {"JobCard": number(i), "CreatedOn": D(day), "Kilometers": i, **keys}
+
+    facts = cards(
+        spark,
+        visit(1, "2020-01-01", VehicleChassisNumber=None), visit(2, "2020-01-02", VehicleChassisNumber=None),
+        visit(3, "2020-01-01", VehicleChassisNumber="a", PartNumber=None), visit(4, "2020-01-02", VehicleChassisNumber="a", PartNumber=None),
+    )
+    assert visits.latest_repeat(facts).count() == 0
+
+
 def test_relationship_tree(spark, rows):
     facts = cards(
         spark,
@@ -221,3 +233,12 @@ def test_delta_counts_and_completeness(spark, rows):
 def test_roadside_labels(spark, rows):
     df = spark.createDataFrame([("engine stuck", "Flat-bed Tow"), ("tyre", None)], "TypeofIncident string, ServiceProvided string")
     assert rows(cost.roadside_labels(df)) == [("ENGINE RELATED", "TOWING"), ("TYRE", None)]
+
+
+def test_feed_completeness_reads_the_days_of_the_period_only(spark, tmp_path):
+    days = spark.createDataFrame([(D("2020-01-01"),), (D("2020-01-03"),), (D("2021-01-01"),)], "RunDate date").withColumn("x", F.lit(1))
+    days.write.partitionBy("RunDate").parquet(str(tmp_path / "t"))
+    missing = quality.feed_completeness(spark.read.parquet(str(tmp_path / "t")), "2020-01-01", "2020-01-03")
+    assert [r.RunDate for r in missing.collect()] == [D("2020-01-02")]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(RunDate" in plan and "(RunDate" in plan.split("PartitionFilters:")[1].split("]")[0].replace("isnotnull(RunDate", "")

@@ -19,19 +19,37 @@ def before_marker(c: Column, marker: str) -> Column:
     return F.substring_index(c, marker, 1)
 
 
-def contains_any_case(c: Column, word: str) -> Column:
-    return F.upper(c).contains(word.upper())
-
-
 def one_line(c: Column) -> Column:
     """Line feeds become blanks, carriage returns vanish."""
     return F.translate(c, "\n\r", " ")
 
 
-def parse_literal(c: Column, ddl: str) -> Column:
-    """Read a list written as a Python literal (single quotes, ``None``) into an array."""
-    as_json = F.regexp_replace(one_line(c), r"(?<=[:\[,] {0,8})None(?= {0,8}[,\]}])", "null")
-    return F.from_json(as_json, ddl, {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
+# A quoted run, in either quote, or text without quotes. Possessive, so long texts need no deep recursion.
+_PIECES = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++"""
+
+
+def parse_literal(c: Column, ddl: str, strict: bool = True) -> Column:
+    """Read a list written as a Python literal into an array.
+
+    Strings may stand in single or double quotes; ``None``, ``True``, ``False``
+    and a comma before a closing bracket are understood outside of quotes, with
+    any blanks around them. A text that is no such list fails the query, or is
+    NULL with ``strict=False``; a blank text is NULL.
+    """
+    outside = {r"\bNone\b": "null", r"\bTrue\b": "true", r"\bFalse\b": "false", r",(\s*[\]}])": "$1"}
+
+    def rewritten(piece: Column) -> Column:
+        plain = piece
+        for pattern, new in outside.items():
+            plain = F.regexp_replace(plain, pattern, new)
+        return F.when(piece.rlike(r"^['\"]"), piece).otherwise(plain)
+
+    as_json = F.array_join(F.transform(F.regexp_extract_all(one_line(c), F.lit(_PIECES), F.lit(0)), rewritten), "")
+    parsed = F.from_json(as_json, ddl, {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
+    if not strict:
+        return parsed
+    unread = parsed.isNull() & (F.trim(one_line(c)) != "")
+    return F.when(unread, F.raise_error(F.concat(F.lit("not a list: "), c)).cast(ddl)).otherwise(parsed)
 
 
 def joined_field(items: Column, field: str) -> Column:
@@ -40,6 +58,6 @@ def joined_field(items: Column, field: str) -> Column:
 
 
 def relabel_if_contains(c: Column, word: str, label: str) -> Column:
-    """Upper-cased text, replaced by ``label`` where it holds ``word``."""
+    """Upper-cased text, replaced by ``label`` where it holds ``word`` in any case."""
     upper = F.upper(c)
-    return F.when(upper.contains(word), F.lit(label)).otherwise(upper)
+    return F.when(upper.contains(word.upper()), F.lit(label)).otherwise(upper)

@@ -184,5 +184,6 @@ def feed_completeness(table: DataFrame, first_day, last_day, run_date: str = sch
     expected = spark.range(1).select(
         F.explode(F.sequence(dates.day(first_day), dates.day(last_day))).alias(run_date)
     )
-    loaded = table.select(F.col(run_date).cast("date").alias(run_date)).distinct()
+    day = F.col(run_date).cast("date")
+    loaded = table.filter(day.between(dates.day(first_day), dates.day(last_day))).select(day.alias(run_date)).distinct()
     return expected.join(loaded, run_date, "left_anti")

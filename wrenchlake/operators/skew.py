@@ -15,8 +15,8 @@ from wrenchlake.session import materialise
 
 # A group above this many rows is cut into slices before it reaches a window.
 HOT_ROWS = 1_000_000
-# Largest derived frame that may be broadcast, in rows.
-BROADCAST_ROWS = 500_000
+# Largest derived frame that may be broadcast, in bytes of its values as text.
+BROADCAST_BYTES = 32 << 20
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -29,35 +29,34 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a small derived frame and broadcast it if its row count allows.
+def bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Materialise a small derived frame and broadcast it if its size allows.
 
     Spark cannot estimate the size of an aggregate before running it and would
-    shuffle the large side to meet it. Here the frame is written once, counted,
-    and marked for broadcast only within the limit; beyond it the join is left
-    to a shuffle with adaptive skew handling.
+    shuffle the large side to meet it. Here the frame is written once, the
+    bytes of its values are summed up, and it is marked for broadcast only
+    within the limit; beyond it the join is left to a shuffle with adaptive
+    skew handling.
     """
-    done = materialise(df)
-    return F.broadcast(done) if done.count() <= max_rows else done
+    done = materialise(df, "bounded")
+    size = done.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(done) if size <= max_bytes else done
 
 
 def hot_groups(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows, or None when there are none.
+    """Keys with more than ``hot_rows`` rows and their count _n, or None when there are none.
 
     The count is combined map-side and reads only the key columns. At most
     rows / hot_rows keys can qualify.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = materialise(counts.filter(F.col("_n") > hot_rows).select(*keys))
-    found = hot.count()
-    if found == 0:
-        return None
-    return F.broadcast(hot) if found <= BROADCAST_ROWS else hot
+    hot = bounded(counts.filter(F.col("_n") > hot_rows))
+    return None if hot.isEmpty() else hot
 
 
 def _mark(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with boolean ``_hot``; keys are compared null-safe."""
-    renamed = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
+    renamed = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"), F.col("_n").alias("_hot_n"))
     on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
     joined = df.join(renamed, on, "left").drop(*[f"_hot_{k}" for k in keys])
     return joined.withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
@@ -70,18 +69,19 @@ def lag_in_group(
     order: list[str],
     lags: dict[str, str],
     hot_rows: int = HOT_ROWS,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Previous values per key, ordered by ``day`` and then ``order``.
+    """Previous values per key, ordered by ``day``, then ``order``, then the remaining columns.
 
     ``lags`` maps new column to source column. Groups up to ``hot_rows`` rows go
     through one window. A larger group is cut into one slice per day; the last
     row of each slice is carried into the next one, so every slice is ordered on
-    its own and the result is the same as for the uncut group. ``sized_by`` may
-    name a cheaper frame with at least the rows of ``df`` to count groups on.
+    its own. Only rows equal in all columns tie, so the result is the same for
+    any ``hot_rows``. Groups are counted on their keys before, so ``df`` should
+    be a table or a frame that is cheap to read twice.
     """
-    ordering = [day, *order]
-    hot = hot_groups(df if sized_by is None else sized_by, keys, hot_rows)
+    rest = [c for c in df.columns if c not in (*keys, day, *order)]
+    ordering = [day, *order, *rest]
+    hot = hot_groups(df, keys, hot_rows)
     if hot is None:
         window = Window.partitionBy(*keys).orderBy(*ordering)
         return df.withColumns({new: F.lag(src).over(window) for new, src in lags.items()})
@@ -111,28 +111,29 @@ def lag_in_group(
         sliced.unionByName(carried, allowMissingColumns=True)
         .withColumns({new: F.lag(src).over(window) for new, src in lags.items()})
         .filter(~F.col("_carried"))
-        .drop("_hot", "_slice", "_carried")
+        .drop("_hot", "_hot_n", "_slice", "_carried")
     )
 
 
-def all_but_first(df: DataFrame, keys: list[str], order: list[Column], hot_rows: int = HOT_ROWS, salts: int = 512) -> DataFrame:
-    """Every row of a key except the first in ``order``.
+def all_but_first(df: DataFrame, keys: list[str], order: list[Column], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every row of a key except the first in ``order``, ties settled by the remaining columns.
 
-    A hot group is ranked per scan partition first; only the leaders of those
-    parts meet in one window.
+    Keys are counted first, combined map-side, and only rows of a key that
+    occurs more than once go on. A group above ``hot_rows`` is dealt into parts
+    of about that size; the parts are ranked apart and only their leaders meet.
     """
-    whole = Window.partitionBy(*keys).orderBy(*order)
-    hot = hot_groups(df, keys, hot_rows)
-    if hot is None:
-        return df.withColumn("_rank", F.row_number().over(whole)).filter("_rank > 1").drop("_rank")
-    # Leaders get a group of their own; followers stay in the balanced parts.
-    meeting = F.when(F.col("_rank") == 1, F.lit(-1)).otherwise(F.col("_part"))
-    return (
-        _mark(df.withColumn("_part_id", F.spark_partition_id()), hot, keys)
-        .withColumn("_part", F.when(F.col("_hot"), F.pmod(F.col("_part_id"), F.lit(salts))).otherwise(F.lit(0)))
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order)))
-        .withColumn("_meeting", meeting)
-        .withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_meeting").orderBy(*order)))
-        .filter("_rank > 1 OR _place > 1")
-        .drop("_hot", "_part_id", "_part", "_rank", "_meeting", "_place")
-    )
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    by = [*order, *columns]
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    listed = bounded(counts.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_n"))
+    on = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    # Equal rows are one row with a number of copies, so a group of them cannot be large either.
+    rows = df.join(listed, on).groupBy(*columns, "_n").agg(F.count(F.lit(1)).alias("_copies"))
+    parts = F.ceil(F.col("_n") / F.lit(max(hot_rows, 1)))
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*columns), parts))
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*by)))
+    leaders = ranked.filter("_rank = 1")
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*by)) == 1
+    met = leaders.withColumn("_copies", F.col("_copies") - F.when(first, 1).otherwise(0))
+    later = ranked.filter("_rank > 1").unionByName(met).filter("_copies > 0")
+    return later.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*columns)

@@ -14,10 +14,15 @@ from wrenchlake.operators.skew import bounded, keep_first
 
 @dataclass(frozen=True)
 class ChangeKind:
-    """How a change list is ordered and which of its columns are stamped on the failures."""
+    """How a change list is ordered and what of it is stamped on the failures."""
 
     order_col: str
     stamps: dict[str, str]
+    plant_col: str = "Plant"
+    # Whether the part description of the change replaces the one on the job card.
+    describes_parts: bool = False
+    # Name of the date whose year, month and month name are added as <prefix>Year, <prefix>Month, <prefix>MonthName.
+    dated_by: str | None = None
 
 
 ENGINEERING = ChangeKind(
@@ -30,6 +35,8 @@ ENGINEERING = ChangeKind(
         "ModificationDetail": "ModificationDetail",
         "EffectiveDate": "EffectiveDate",
     },
+    describes_parts=True,
+    dated_by="EffectiveDate",
 )
 
 APPROVAL = ChangeKind(
@@ -44,13 +51,18 @@ APPROVAL = ChangeKind(
         "Purpose": "Purpose",
         "MfgDate": "MfgDate",
     },
+    plant_col="PPAPPlant",
 )
 
 
-def parse_engineering_changes(raw: DataFrame) -> DataFrame:
-    """Change list with text lists turned into arrays: Parts (number, description) and Models."""
-    parts = text.parse_literal(F.col("PartDetails"), text.PART_LIST)
-    models = text.parse_literal(F.col("ApplicableModels"), text.TEXT_LIST)
+def parse_engineering_changes(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """Change list with text lists turned into arrays: Parts (number, description) and Models.
+
+    A text that is no list fails the query; ``strict=False`` leaves its array
+    NULL (see ``unread_changes``).
+    """
+    parts = text.parse_literal(F.col("PartDetails"), text.PART_LIST, strict)
+    models = text.parse_literal(F.col("ApplicableModels"), text.TEXT_LIST, strict)
     return raw.withColumns(
         {
             "Parts": F.transform(
@@ -64,15 +76,21 @@ def parse_engineering_changes(raw: DataFrame) -> DataFrame:
     )
 
 
-def parse_part_approvals(raw: DataFrame) -> DataFrame:
+def unread_changes(raw: DataFrame, column: str = "PartDetails", ddl: str = text.PART_LIST) -> DataFrame:
+    """Rows of a raw list whose ``column`` holds text that is no list."""
+    unread = text.parse_literal(F.col(column), ddl, strict=False).isNull() & (F.trim(text.one_line(F.col(column))) != "")
+    return raw.filter(unread)
+
+
+def parse_part_approvals(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Approval list with text lists turned into arrays; approvals carry no part description."""
-    parts = text.parse_literal(F.col("PartDetailsNew"), text.TEXT_LIST)
+    parts = text.parse_literal(F.col("PartDetailsNew"), text.TEXT_LIST, strict)
     return raw.withColumns(
         {
             "Parts": F.transform(
                 parts, lambda p: F.struct(p.alias("PartNumber"), F.lit(None).cast("string").alias("PartDescription"))
             ),
-            "Models": text.parse_literal(F.col("ModelDetails"), text.TEXT_LIST),
+            "Models": text.parse_literal(F.col("ModelDetails"), text.TEXT_LIST, strict),
         }
     )
 
@@ -98,9 +116,9 @@ def change_windows(changes: DataFrame, order_col: str) -> DataFrame:
     return items.withColumn("_from", F.col("MfgDate")).join(steps, on, "left").drop("_part", "_step_part", "_step")
 
 
-def _year_slot(day: Column, first_year: int, last_year: int) -> Column:
-    """Calendar year, with everything outside the range folded onto its ends."""
-    return F.least(F.greatest(F.year(day), F.lit(first_year)), F.lit(last_year))
+def _year_slot(day: Column, last_year: int) -> Column:
+    """Calendar year, with everything later than ``last_year`` folded onto it."""
+    return F.least(F.year(day), F.lit(last_year))
 
 
 def trigger_cutoff(
@@ -110,8 +128,6 @@ def trigger_cutoff(
     asof,
     match_plant: bool = False,
     run_date: str = schemas.RUN_DATE,
-    first_year: int = 2000,
-    last_year: int = 2040,
 ) -> DataFrame:
     """Job cards of a changed part on vehicles built inside the change's window.
 
@@ -119,25 +135,25 @@ def trigger_cutoff(
     counts once per change and part. Windows are repeated once per build year
     they touch, so the join is an equi-join on (part, year): a part with a long
     history or very many failures is spread over its years, and a row is
-    compared only with the windows of its own year. Years outside
-    [first_year, last_year] share the end slots, so no row is lost. A change
-    listed twice in the same words counts as one.
+    compared only with the windows of its own year. The years end two after the
+    latest date of the list; builds later than that share the last slot, so no
+    row is lost. A change listed twice in the same words counts as one. What the
+    change stamps on a failure joins it after the duplicates are gone.
     """
-    windows = change_windows(changes.withColumn("_change", _change_key(changes)), kind.order_col)
+    listed = changes.withColumn("_change", _change_id(changes))
+    windows = change_windows(listed, kind.order_col).filter(F.col("_from").isNotNull())
+    latest = windows.agg(F.max(F.greatest(F.year("_from"), F.year("_to")))).first()[0]  # of the list
+    last_year = (latest or 1) + 2
     empty = F.col("_to").isNotNull() & (F.col("_to") <= F.col("_from"))
-    opens = _year_slot(F.col("_from"), first_year, last_year)
-    closes = _year_slot(F.date_sub(F.coalesce(F.col("_to"), F.lit("9999-12-31").cast("date")), 1), first_year, last_year)
-    stamped = {f"_stamp_{target}": F.col(source) for source, target in kind.stamps.items()}
-    slotted = windows.filter(F.col("_from").isNotNull() & ~empty).select(
-        "_change", "_part_no", "_part_text", "Models", "_from", "_to",
-        F.col("PPAPPlant" if "PPAPPlant" in changes.columns else "Plant").alias("_plant"),
-        *[c.alias(name) for name, c in stamped.items()],
-        F.explode(F.sequence(opens, closes)).alias("_year"),
+    opens = _year_slot(F.col("_from"), last_year)
+    closes = F.when(F.col("_to").isNull(), F.lit(last_year)).otherwise(_year_slot(F.date_sub("_to", 1), last_year))
+    slotted = windows.filter(~empty).select(
+        "_change", "_part_no", "Models", "_from", "_to", F.col(kind.plant_col).alias("_plant"), F.explode(F.sequence(opens, closes)).alias("_year")
     )
     facts = (
         jobcards.select(*schemas.CHANGE_FACT_COLUMNS)
         .filter(F.col("PartNumber").isNotNull() & F.col("MfgDate").isNotNull())
-        .withColumn("_built_year", _year_slot(F.col("MfgDate"), first_year, last_year))
+        .withColumn("_built_year", _year_slot(F.col("MfgDate"), last_year))
     )
     on = (
         (F.col("PartNumber") == F.col("_part_no"))
@@ -148,29 +164,33 @@ def trigger_cutoff(
     )
     if match_plant:
         on = on & (F.col("Plant") == F.col("_plant"))
-    matched = facts.join(bounded(slotted), on)
+    matched = facts.join(bounded(slotted.distinct()), on).select("_change", *schemas.CHANGE_FACT_COLUMNS)
     rest = [c for c in schemas.CHANGE_FACT_COLUMNS if c not in ("JobCard", "PartNumber", "CreatedOn")]
     once = keep_first(matched, ["_change", "PartNumber", "JobCard"], [F.col(c) for c in ("CreatedOn", *rest)])
-    if kind is ENGINEERING:
-        once = once.withColumn("PartDescription", F.col("_part_text"))
-    result = once.withColumns({name.removeprefix("_stamp_"): F.col(name) for name in stamped})
+    stamped = {f"_stamp_{target}": F.col(source) for source, target in kind.stamps.items()}
+    stamps = windows.select(
+        F.col("_change").alias("_stamp"), "_part_no", "_part_text", *[c.alias(name) for name, c in stamped.items()]
+    ).dropDuplicates(["_stamp", "_part_no"])
+    on_change = (F.col("_change") == F.col("_stamp")) & (F.col("PartNumber") == F.col("_part_no"))
+    result = once.join(bounded(stamps), on_change).withColumns({name.removeprefix("_stamp_"): F.col(name) for name in stamped})
     result = result.withColumn(run_date, dates.day(asof))
-    if kind is ENGINEERING:
-        effective = F.col("EffectiveDate")
+    if kind.describes_parts:
+        result = result.withColumn("PartDescription", F.col("_part_text"))
+    if kind.dated_by:
+        stamp, prefix = F.col(kind.dated_by), kind.dated_by.removesuffix("Date")
         result = result.withColumns(
             {
-                "EffectiveYear": F.date_format(effective, "yyyy"),
-                "EffectiveMonth": F.date_format(effective, "MM"),
-                "EffectiveMonthName": F.date_format(effective, "MMM"),
+                f"{prefix}Year": F.date_format(stamp, "yyyy"),
+                f"{prefix}Month": F.date_format(stamp, "MM"),
+                f"{prefix}MonthName": F.date_format(stamp, "MMM"),
             }
         )
-    helpers = [c for c in result.columns if c.startswith("_")]
-    return result.drop(*helpers, "Models")
+    return result.drop(*[c for c in result.columns if c.startswith("_")])
 
 
-def _change_key(changes: DataFrame) -> Column:
-    """Identity of a change, taken from its content so that a re-run of a lost task gives the same one."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c) for c in changes.columns])), 256)
+def _change_id(changes: DataFrame) -> Column:
+    """Short identity of a change, taken from its content so that a re-run of a lost task gives the same one."""
+    return F.unhex(F.substring(F.sha2(F.to_json(F.struct(*[F.col(c) for c in changes.columns])), 256), 1, 24))
 
 
 def trigger_cutoff_summary(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,9 @@ from wrenchlake.functions import bands, dates, text, vehicle
 from wrenchlake.functions import fixed_values as fixed
 from wrenchlake.operators import cost, ingest, maturity, quality, trigger, visits
 from wrenchlake.operators.decode import DECODED, decode_vehicle
-from wrenchlake.plans import standins
+from wrenchlake.plans import daily, standins
 from wrenchlake.plans.standins import table
-from wrenchlake.session import shared_dir
+from wrenchlake.session import scratch_path, scratch_root
 from wrenchlake.sources import feeds, tables
 from wrenchlake.streaming.landing import load_new_files
 
@@ -32,26 +33,21 @@ def query(fn: Query) -> Query:
 
 
 def _scratch(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/wrenchlake-{uuid.uuid4().hex}"
+    return scratch_path(spark, "query")
 
 
 # ---- inputs -------------------------------------------------------------
 
 
-_WRITTEN: dict[tuple[str, ...], str] = {}
-
-
-def _written_once(spark: SparkSession, key: tuple[str, ...], build: Callable[[], DataFrame], by_day: bool = False) -> DataFrame:
-    """A derived table, written on its first use in a session and read back from then on."""
-    key = (spark.sparkContext.applicationId, *key)
-    if key not in _WRITTEN:
-        path = f"{_scratch(spark)}/{key[1]}"
-        if by_day:
-            tables.write_append(tables.spread_by_day(build()), path)
-        else:
-            tables.write_replace(build(), path)
-        _WRITTEN[key] = path
-    return tables.read_table(spark, _WRITTEN[key])
+def _stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame], by_day: bool = False) -> str:
+    """Path of a derived table of this application; written if it is not there yet."""
+    path = f"{scratch_root(spark)}/stored-{zlib.crc32(sf.encode()):08x}/{name}"
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        rows = tables.spread_by_day(build()) if by_day else build()
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(schemas.RUN_DATE) if by_day else writer).parquet(path)
+    return path
 
 
 def _master_from_sheets(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,7 +56,7 @@ def _master_from_sheets(spark: SparkSession, sf: str) -> DataFrame:
 
 def _master(spark: SparkSession, sf: str) -> DataFrame:
     """The part-master table."""
-    return _written_once(spark, ("part_master", sf), lambda: _master_from_sheets(spark, sf))
+    return tables.read_table(spark, _stored(spark, sf, "part_master", lambda: _master_from_sheets(spark, sf)))
 
 
 def _ingested(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFrame:
@@ -69,13 +65,28 @@ def _ingested(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFram
     return ingest.ingest_job_cards(raw, _master(spark, sf), standins.dealers(spark, sf), F.col("LoadDay"))
 
 
+def job_cards_path(spark: SparkSession, sf: str, part: str = "l_partkey") -> str:
+    return _stored(spark, sf, f"job_cards_{part}", lambda: _ingested(spark, sf, part), by_day=True)
+
+
 def job_cards(spark: SparkSession, sf: str, part: str = "l_partkey") -> DataFrame:
     """The job-card table the use cases read.
 
     As in daily work, ingestion is a job of its own: the use cases scan its
     table, with their filters, columns and run days pruned in the scan.
     """
-    return _written_once(spark, ("job_cards", sf, part), lambda: _ingested(spark, sf, part), by_day=True)
+    return tables.read_table(spark, job_cards_path(spark, sf, part))
+
+
+def prepare(spark: SparkSession, sf: str) -> None:
+    """Write the tables that use cases read: the part master and both job-card tables.
+
+    A query whose tables are not there yet writes them itself; run this first to
+    time ingestion apart.
+    """
+    _master(spark, sf)
+    for part in ("l_partkey", "p_type"):
+        job_cards_path(spark, sf, part)
 
 
 def _built_when_sold(cards: DataFrame) -> DataFrame:
@@ -95,6 +106,7 @@ def _production(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sales(spark: SparkSession, sf: str, every: int = 40) -> DataFrame:
+    # What was built and not sold is what the markers measure, so some vehicles must be left out here.
     return _production(spark, sf).filter(F.col("VehicleChassisNumber").cast("bigint") % every != 0)
 
 
@@ -127,8 +139,7 @@ FLAGS = {"FF1Maturity": "FF1Maturity", "FF36Maturity": "FF36Maturity"}
 
 
 def _service_codes(spark: SparkSession, sf: str) -> DataFrame:
-    code = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
-    return table(spark, sf, "part").filter("p_size = 50").select(code.alias("LaborCode"))
+    return ingest.labour_codes(standins.labour_codes(spark, sf))
 
 
 def _ignored(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,11 +239,7 @@ def part_ignore_list(spark, sf):
 
 @query
 def service_labour_codes(spark, sf):
-    raw = table(spark, sf, "part").filter("p_size = 50").select(
-        F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("Labor code"),
-        F.col("p_name").alias("Labor description"),
-    )
-    return ingest.labour_codes(raw)
+    return _service_codes(spark, sf)
 
 
 # ---- use cases on visits ------------------------------------------------
@@ -251,19 +258,7 @@ def repeat_vehicle_count(spark, sf):
 
 @query
 def latest_repeat(spark, sf):
-    lines, orders, parts = (table(spark, sf, t) for t in ("lineitem", "orders", "part"))
-    cards = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
-        .select(
-            F.col("o_custkey").alias("VehicleChassisNumber"),
-            F.col("p_brand").alias("PartNumber"),
-            F.col("l_orderkey").alias("JobCard"),
-            F.to_date("l_shipdate").alias("CreatedOn"),
-            F.when(F.col("l_linenumber") != 7, (F.col("l_quantity") * 700).cast("bigint")).alias("Kilometers"),
-        )
-    )
-    return visits.latest_repeat(cards)
+    return visits.latest_repeat(standins.visit_history(spark, sf))
 
 
 @query
@@ -341,6 +336,7 @@ def sales_maturity(spark, sf):
 
     orders = table(spark, sf, "orders")
     built = monthly(orders.select(F.to_date("o_orderdate").alias("_day")))
+    # The share that was sold is the result, so a tenth of the vehicles stays unsold.
     sold = monthly(
         orders.filter("o_custkey % 10 <> 0").select(F.date_add(F.to_date("o_orderdate"), 45).alias("_day"))
     )
@@ -369,14 +365,17 @@ def changed_flags(spark, sf):
     return maturity.changed_flags(_markers(spark, sf, every=10), _markers(spark, sf), "FF12Maturity")
 
 
-@query
-def warranty_cost(spark, sf):
+def _cost_cards(spark, sf):
+    # The stand-in markers are kept per order priority, which the job card has as its model id.
     group = F.col("ModelID").alias("ModelType")
     cards = _built_when_sold(job_cards(spark, sf))
+    return cards.select(*[group if c == "ModelType" else F.col(c) for c in cards.columns])
+
+
+@query
+def warranty_cost(spark, sf):
     eo = _markers(spark, sf, first_month="2019-01", eo_horizons=fixed.EO_HORIZONS)
-    # The stand-in markers are kept per order priority, which the job card has as its model id.
-    rows = cards.select(*[group if c == "ModelType" else F.col(c) for c in cards.columns])
-    return cost.warranty_cost(rows, eo, ASOF, mfg_after="2017-01-01")
+    return cost.warranty_cost(_cost_cards(spark, sf), eo, ASOF, mfg_after="2017-01-01")
 
 
 @query
@@ -465,7 +464,7 @@ def rule_counts(spark, sf):
 
 @query
 def feed_completeness(spark, sf):
-    loads = table(spark, sf, "orders").filter("o_orderkey % 5 = 0").select(F.to_date("o_orderdate").alias(schemas.RUN_DATE))
+    loads = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias(schemas.RUN_DATE))
     return quality.feed_completeness(loads, "1994-12-01", "2001-12-31")
 
 
@@ -478,18 +477,32 @@ def _daily_orders(spark, sf):
     )
 
 
+def _history(spark, sf) -> str:
+    """The orders as a table partitioned by run month."""
+    path = f"{_scratch(spark)}/orders"
+    tables.write_append(tables.spread_by_day(_daily_orders(spark, sf)), path)
+    return path
+
+
 @query
 def as_of(spark, sf):
-    return tables.as_of(_daily_orders(spark, sf), "1997-05-15")
+    return tables.as_of(tables.read_table(spark, _history(spark, sf)), "1997-05-15")
 
 
 @query
 def reload_without_doubling(spark, sf):
     """Append a history, load one of its days again, read the table as of a later day."""
-    history = f"{_scratch(spark)}/orders"
-    rows = _daily_orders(spark, sf)
-    tables.write_append(tables.spread_by_day(rows), history)
-    tables.write_day(tables.latest_delta(rows, "1997-05-01"), history)
+    history, day = _history(spark, sf), "1997-05-01"
+    for _ in range(2):
+        tables.write_day(tables.latest_delta(_daily_orders(spark, sf), day), history, day)
+    return tables.as_of(tables.read_table(spark, history), "1997-06-30")
+
+
+@query
+def reload_empty_day(spark, sf):
+    """A day loaded again without any row is empty afterwards; the other days stay."""
+    history, day = _history(spark, sf), "1997-05-01"
+    tables.write_day(tables.latest_delta(_daily_orders(spark, sf), day).filter("o_orderkey < 0"), history, day)
     return tables.as_of(tables.read_table(spark, history), "1997-06-30")
 
 
@@ -539,3 +552,188 @@ def landed_sales(spark, sf):
             f"{folder}/sales", f"{folder}/checkpoint",
         )
     return tables.read_table(spark, f"{folder}/sales")
+
+
+@query
+def landing_then_batch(spark, sf):
+    """One table fed by the landing stream, by a batch day and by the stream again; every row is seen."""
+    folder = _scratch(spark)
+    raw = standins.raw_sales(spark, sf)
+    urgent = F.col("ModelID").startswith("1")
+
+    def load(day):
+        load_new_files(
+            spark, f"{folder}/landing/*", "sales", lambda files: ingest.ingest_sales(files, day), f"{folder}/sales", f"{folder}/checkpoint"
+        )
+
+    tables.write_csv(raw.filter(urgent), f"{folder}/landing/first")
+    load("2021-08-01")
+    tables.write_day(ingest.ingest_sales(raw, "2021-08-02"), f"{folder}/sales", "2021-08-02")
+    tables.write_csv(raw.filter(~urgent), f"{folder}/landing/second")
+    load("2021-08-03")
+    return tables.read_table(spark, f"{folder}/sales").select("VehicleChassisNumber", "SalesOrderDate", "ModelID", "RunDate")
+
+
+@query
+def feed_job_cards(spark, sf):
+    """The job-card feed from files, through ingestion."""
+    folder = _scratch(spark)
+    tables.write_csv(standins.raw_job_cards(spark, sf).select(*schemas.names("job_cards")), f"{folder}/cards")
+    raw = feeds.read_feed(spark, f"{folder}/cards", "job_cards")
+    return ingest.ingest_job_cards(raw, _master(spark, sf), standins.dealers(spark, sf), ASOF)
+
+
+def _order_lines(spark, sf):
+    price = F.col("o_totalprice")
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("day"),
+        F.concat(F.lit("café à "), "o_orderpriority").alias("place"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.concat(price.cast("string"), F.lit(" Rs"))).otherwise(price.cast("string")).alias("price"),
+    )
+
+
+@query
+def feed_dates(spark, sf):
+    """A feed whose dates are written day first."""
+    path = f"{_scratch(spark)}/days"
+    tables.write_csv(_order_lines(spark, sf).select("o_orderkey", "day"), path)
+    return feeds.read_feed(spark, path, schemas.Feed("o_orderkey bigint, day date"), date_format="dd/MM/yyyy")
+
+
+@query
+def feed_inline_schema(spark, sf):
+    """Files without a header, read with a schema given on the spot."""
+    path = f"{_scratch(spark)}/plain"
+    _order_lines(spark, sf).select("o_orderkey", "place").write.csv(path)
+    return feeds.read_feed(spark, path, schemas.Feed("number bigint, place string"), header=False)
+
+
+@query
+def feed_encoding(spark, sf):
+    """Files in the fallback encoding."""
+    path = f"{_scratch(spark)}/latin"
+    _order_lines(spark, sf).select("o_orderkey", "place").write.options(header=True, encoding=feeds.FALLBACK_ENCODING).csv(path)
+    return feeds.read_feed(spark, path, schemas.Feed("number bigint, place string"), encoding=feeds.FALLBACK_ENCODING)
+
+
+def _priced_feed(spark, sf):
+    path = f"{_scratch(spark)}/prices"
+    tables.write_csv(_order_lines(spark, sf).select("o_orderkey", "price"), path)
+    return feeds.read_feed(spark, path, schemas.Feed("number bigint, price double"), keep_unreadable=True)
+
+
+@query
+def feed_bad_records(spark, sf):
+    """Lines with a number that cannot be read: kept with their text, and marked."""
+    return _priced_feed(spark, sf).select("number", "price", F.col(feeds.UNREADABLE).isNotNull().alias("unreadable"))
+
+
+@query
+def feed_bad_record_count(spark, sf):
+    return feeds.unreadable_lines(_priced_feed(spark, sf))
+
+
+@query
+def table_from_query(spark, sf):
+    """A catalog table made from a query, made again from another one."""
+    name, path = f"made_{uuid.uuid4().hex}", f"{_scratch(spark)}/made"
+    for rows in (_daily_orders(spark, sf).filter("o_orderkey < 0"), _daily_orders(spark, sf)):
+        tables.create_table(rows, name, path)
+    return spark.table(name)
+
+
+# ---- flows --------------------------------------------------------------
+
+FLOW_DAYS = ("2018-01-01", "2018-04-01")
+
+
+def _twice_a_day(run: Callable[[str], None]) -> None:
+    """Every run day of the flow queries, each run a second time."""
+    for day in FLOW_DAYS:
+        for _ in range(2):
+            run(day)
+
+
+@query
+def flow_relationship(spark, sf):
+    cards, out = job_cards_path(spark, sf), f"{_scratch(spark)}/relationship"
+    _twice_a_day(lambda day: daily.append_relationship(spark, cards, standins.excluded_parts(spark, sf), out, day))
+    return tables.read_table(spark, out)
+
+
+@query
+def flow_unplanned(spark, sf):
+    cards, folder = job_cards_path(spark, sf), _scratch(spark)
+    lists = _ignored(spark, sf), _service_codes(spark, sf)
+    _twice_a_day(lambda day: daily.append_unplanned(spark, cards, *lists, f"{folder}/visits", f"{folder}/share", day))
+    return tables.read_table(spark, f"{folder}/share").groupBy("RunDate", "DMart").agg(F.count(F.lit(1)).alias("Visits"))
+
+
+def _sold_cards_path(spark, sf) -> str:
+    """Job cards whose build date is the month of sale, as a table of their own."""
+    return _stored(spark, sf, "sold_cards", lambda: _built_when_sold(job_cards(spark, sf)), by_day=True)
+
+
+def _trigger_flow(spark, sf) -> str:
+    cards, folder = _sold_cards_path(spark, sf), _scratch(spark)
+    tables.write_csv(standins.engineering_changes(spark, sf).select(*schemas.names("engineering_changes")), f"{folder}/changes")
+    _twice_a_day(
+        lambda day: daily.append_trigger_cutoff(spark, cards, f"{folder}/changes", f"{folder}/table", f"{folder}/report", day)
+    )
+    return folder
+
+
+@query
+def flow_trigger(spark, sf):
+    return tables.read_table(spark, f"{_trigger_flow(spark, sf)}/table")
+
+
+@query
+def flow_trigger_summary(spark, sf):
+    """The summary sheet covers the whole table, not just the last day."""
+    sheet = spark.read.options(header=True, escape='"').csv(f"{_trigger_flow(spark, sf)}/report/summary")
+    return sheet.withColumns({"EffectiveDate": F.to_date("EffectiveDate"), "ReportedIssues": F.col("ReportedIssues").cast("bigint")})
+
+
+@query
+def flow_approvals(spark, sf):
+    cards, folder = _sold_cards_path(spark, sf), _scratch(spark)
+    tables.write_csv(standins.part_approvals(spark, sf).select(*schemas.names("part_approvals")), f"{folder}/approvals")
+    _twice_a_day(lambda day: daily.append_approvals(spark, cards, f"{folder}/approvals", f"{folder}/table", day))
+    return tables.read_table(spark, f"{folder}/table")
+
+
+@query
+def flow_repeats(spark, sf):
+    out = f"{_scratch(spark)}/repeats"
+    daily.rebuild_repeats(spark, job_cards_path(spark, sf, "p_type"), standins.excluded_parts(spark, sf, "p_type"), out, ASOF)
+    return tables.read_table(spark, out)
+
+
+@query
+def flow_maturity(spark, sf):
+    """Markers rebuilt from production and sales, then put onto a fact table in place."""
+    folder = _scratch(spark)
+    for name, rows in (("production", _production(spark, sf)), ("sales", _sales(spark, sf)), ("facts", _old_flags(_flagged_facts(spark, sf)))):
+        tables.write_replace(rows, f"{folder}/{name}")
+    daily.rebuild_markers(spark, f"{folder}/production", f"{folder}/sales", f"{folder}/markers", ASOF, first_month="2015-01")
+    daily.refresh_flags(spark, f"{folder}/facts", f"{folder}/markers", f"{folder}/staging", FLAGS)
+    return tables.read_table(spark, f"{folder}/facts")
+
+
+@query
+def flow_warranty_cost(spark, sf):
+    folder = _scratch(spark)
+    cards = _stored(spark, sf, "cost_cards", lambda: _cost_cards(spark, sf), by_day=True)
+    tables.write_replace(_markers(spark, sf, first_month="2019-01", eo_horizons=fixed.EO_HORIZONS), f"{folder}/markers")
+    daily.rebuild_warranty_cost(spark, cards, f"{folder}/markers", f"{folder}/cost", ASOF, mfg_after="2017-01-01")
+    return tables.read_table(spark, f"{folder}/cost")
+
+
+@query
+def flow_deltas(spark, sf):
+    folder = _scratch(spark)
+    paths = {"job cards": job_cards_path(spark, sf), "sold cards": _sold_cards_path(spark, sf)}
+    daily.report_deltas(spark, paths, f"{folder}/report", FLOW_DAYS[0])
+    return spark.read.option("header", True).csv(f"{folder}/report/delta").withColumn("DeltaRecords", F.col("DeltaRecords").cast("bigint"))

@@ -1,39 +1,45 @@
-"""The daily flows: feed files to tables, and tables to use-case tables.
+"""The daily and monthly flows: feed files to tables, and tables to use-case tables.
 
-Each flow reads tables by path, runs one operator and writes one table, so the
-use cases never re-run the ingestion and prune to the run day they need.
+Each flow reads tables by path, runs one operator on the rows of its run day
+(or on the whole history where the operator needs it) and writes one table, so
+the use cases never re-run the ingestion and a flow that runs again replaces
+what it wrote.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wrenchlake.operators import ingest, trigger, visits
+from wrenchlake.operators import cost, ingest, maturity, quality, trigger, visits
 from wrenchlake.schemas import RUN_DATE
 from wrenchlake.sources import feeds, tables
 
 
+def _cards_of(spark: SparkSession, job_cards: str, asof, run_date: str) -> DataFrame:
+    return tables.latest_delta(tables.read_table(spark, job_cards), asof, run_date)
+
+
 def load_job_cards(
     spark: SparkSession, files: str | list[str], parts: DataFrame, dealers: DataFrame, table: str, asof,
-    run_date: str = RUN_DATE,
+    run_date: str = RUN_DATE, date_format: str | None = None,
 ) -> None:
     """One day's job-card files into the job-card table; running it again replaces the day."""
-    raw = feeds.read_feed(spark, files, "job_cards")
-    tables.write_day(ingest.ingest_job_cards(raw, parts, dealers, asof, run_date), table, run_date)
+    raw = feeds.read_feed(spark, files, "job_cards", date_format=date_format)
+    tables.write_day(ingest.ingest_job_cards(raw, parts, dealers, asof, run_date), table, asof, run_date)
 
 
 def load_sales(spark: SparkSession, files: str | list[str], table: str, asof, run_date: str = RUN_DATE) -> None:
     """One day's sales files into the sales table."""
     raw = feeds.read_feed(spark, files, "sales")
-    tables.write_day(ingest.ingest_sales(raw, asof, run_date), table, run_date)
+    tables.write_day(ingest.ingest_sales(raw, asof, run_date), table, asof, run_date)
 
 
-def refresh_relationship(
+def append_relationship(
     spark: SparkSession, job_cards: str, exclude: DataFrame, table: str, asof, run_date: str = RUN_DATE
 ) -> None:
-    """Rebuild the relationship table from all job cards."""
-    cards = tables.read_table(spark, job_cards)
-    tables.write_replace(visits.relationship_tree(cards, exclude, asof, run_date=run_date), table)
+    """The run day's consequential-part rows into the relationship table."""
+    cards = _cards_of(spark, job_cards, asof, run_date)
+    tables.write_day(visits.relationship_tree(cards, exclude, asof, run_date=run_date), table, asof, run_date)
 
 
 def append_unplanned(
@@ -43,19 +49,63 @@ def append_unplanned(
     """The run day's unplanned visits, and the same rows with their denominator."""
     cards = tables.read_table(spark, job_cards)
     visited = visits.unplanned_visits(cards, ignored, service_codes, asof, run_date)
-    tables.write_day(visited, table, run_date)
+    tables.write_day(visited, table, asof, run_date)
     unplanned = tables.latest_delta(tables.read_table(spark, table, schema=visited.schema), asof, run_date)
-    tables.write_day(visits.unplanned_share(unplanned, cards, asof, run_date), share_table, run_date)
+    tables.write_day(visits.unplanned_share(unplanned, cards, asof, run_date), share_table, asof, run_date)
 
 
-def report_trigger_cutoff(
+def append_trigger_cutoff(
     spark: SparkSession, job_cards: str, changes: str | list[str], table: str, report: str, asof, run_date: str = RUN_DATE
 ) -> None:
-    """The run day's failures after part changes, with the summary and detail sheets of the report."""
+    """The run day's failures after part changes; the report has them in detail and sums up the whole table."""
     parsed = trigger.parse_engineering_changes(feeds.read_feed(spark, changes, "engineering_changes"))
-    rows = trigger.trigger_cutoff(
-        tables.read_table(spark, job_cards), parsed, trigger.ENGINEERING, asof, run_date=run_date
-    )
-    tables.write_day(rows, table, run_date)
-    written = tables.latest_delta(tables.read_table(spark, table, schema=rows.schema), asof, run_date)
-    tables.write_report({"summary": trigger.trigger_cutoff_summary(written), "details": written}, report)
+    rows = trigger.trigger_cutoff(_cards_of(spark, job_cards, asof, run_date), parsed, trigger.ENGINEERING, asof, run_date=run_date)
+    tables.write_day(rows, table, asof, run_date)
+    written = tables.read_table(spark, table, schema=rows.schema)
+    details = tables.latest_delta(written, asof, run_date)
+    tables.write_report({"summary": trigger.trigger_cutoff_summary(written), "details": details}, report)
+
+
+def append_approvals(
+    spark: SparkSession, job_cards: str, approvals: str | list[str], table: str, asof, run_date: str = RUN_DATE
+) -> None:
+    """The run day's failures after approved part changes."""
+    parsed = trigger.parse_part_approvals(feeds.read_feed(spark, approvals, "part_approvals"))
+    rows = trigger.trigger_cutoff(_cards_of(spark, job_cards, asof, run_date), parsed, trigger.APPROVAL, asof, run_date=run_date)
+    tables.write_day(rows, table, asof, run_date)
+
+
+def rebuild_repeats(
+    spark: SparkSession, job_cards: str, exclude: DataFrame, table: str, asof, run_date: str = RUN_DATE
+) -> None:
+    """The repeat-issue table from all job cards, since a visit's predecessor may be of any day."""
+    cards = tables.read_table(spark, job_cards)
+    tables.write_replace(visits.repeat_issues(cards, exclude, asof, run_date=run_date), table)
+
+
+def rebuild_markers(spark: SparkSession, production: str, sales: str, table: str, asof, **options) -> None:
+    """The month's maturity markers from the production and sales tables."""
+    made, sold = tables.read_table(spark, production), tables.read_table(spark, sales)
+    tables.write_replace(maturity.maturity_markers(made, sold, asof, **options), table)
+
+
+def refresh_flags(
+    spark: SparkSession, facts: str, markers: str, staging: str, flags: dict[str, str] | None = None, only_promote: bool = False
+) -> None:
+    """The month's markers onto the flags of a use-case table, in place."""
+    marked = maturity.refresh_maturity(tables.read_table(spark, facts), tables.read_table(spark, markers), flags, only_promote)
+    tables.rewrite(marked, facts, staging)
+
+
+def rebuild_warranty_cost(
+    spark: SparkSession, job_cards: str, markers: str, table: str, asof, mfg_after="2019-01-01", run_date: str = RUN_DATE
+) -> None:
+    """The warranty-cost table with the engine-opening markers."""
+    cards = tables.read_table(spark, job_cards)
+    tables.write_replace(cost.warranty_cost(cards, tables.read_table(spark, markers), asof, mfg_after, run_date=run_date), table)
+
+
+def report_deltas(spark: SparkSession, paths: dict[str, str], report: str, asof, run_date: str = RUN_DATE) -> None:
+    """Rows each table received on the run day, as a report."""
+    found = {name: (tables.read_table(spark, path), run_date) for name, path in paths.items()}
+    tables.write_report({"delta": quality.delta_counts(found, asof)}, report)

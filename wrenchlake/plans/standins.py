@@ -86,7 +86,7 @@ LOAD_DAY = "CAST(date_trunc('quarter', l_shipdate + INTERVAL 20 YEAR) AS DATE)"
 ORDER_MONTH = "CAST(date_trunc('month', o_orderdate + INTERVAL 20 YEAR) AS DATE)"
 
 PARTS = {
-    # Sheet 0 takes every part and repeats some under another name, the others a share each.
+    # Every sheet lacks some parts and repeats others under another name, so that there are parts to be missed.
     "sheets": [
         {"filter": "p_partkey % 3 <> 1"},
         {"filter": "p_partkey % 2 = 0"},
@@ -122,10 +122,13 @@ SALES = {
     "City": "'CITY_' || CAST(o_custkey % 60 AS STRING)",
 }
 
-# Three generations of changes per small part; half of them name two parts.
+# Three generations of changes per part; half of them name two parts. The lists are spelled in several ways: other
+# quotes, None far from its neighbours, None inside a text, a comma before the bracket.
 CHANGES = {
-    "PartDetails": "'[{''Part No'': ''P' || CAST(p_partkey AS STRING) || ''', ''Part Description'': ''' || p_name || '''}' || "
-    "CASE WHEN p_partkey % 2 = 0 THEN ',\n {''Part No'': ''P' || CAST(p_partkey + 1 AS STRING) || ''', ''Part Description'': None}]' ELSE ']' END",
+    "PartDetails": "'[{''Part No'': ''P' || CAST(p_partkey AS STRING) || ''', ''Part Description'': ' || "
+    "CASE WHEN p_partkey % 3 = 0 THEN '\"' || p_name || ', None, x\"' ELSE '''' || p_name || '''' END || '}' || "
+    "CASE WHEN p_partkey % 2 = 0 THEN ',\n {''Part No'': ''P' || CAST(p_partkey + 1 AS STRING) || ''', ''Part Description'':             None         }' "
+    "ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN ' , ]' ELSE ']' END",
     "PartDefectCode": "'DC' || CAST(p_partkey % 40 AS STRING)",
     "ApplicableModels": "'[''1-URGENT'', ''2-HIGH'', ''3-MEDIUM'', ''4-NOT SPECIFIED'']'",
     "MfgDate": "CAST(DATE '2016-01-01' + CAST(p_partkey % 365 + 700 * gen - 30 AS INT) AS DATE)",
@@ -196,8 +199,7 @@ def dealers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _generations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small = table(spark, sf_dir, "part").filter("p_size <= 10")
-    return small.withColumn("gen", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    return table(spark, sf_dir, "part").withColumn("gen", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
 
 
 def engineering_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +216,31 @@ def roadside_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def excluded_parts(spark: SparkSession, sf_dir: str, part: str = "l_partkey") -> DataFrame:
     """Exclude list; it holds a NULL to show that one does no harm."""
-    rows = table(spark, sf_dir, "part").filter("p_size <= 5")
+    rows = table(spark, sf_dir, "part")
     number = "'P' || CAST(p_partkey AS STRING)" if part == "l_partkey" else part
-    wanted = "p_partkey % 10 < 9" if part == "l_partkey" else "p_type = 'SMALL'"
+    wanted = "p_size <= 5 AND p_partkey % 10 < 9" if part == "l_partkey" else "p_size <= 5 AND p_type = 'SMALL'"
     return rows.select(F.expr(f"CASE WHEN {wanted} THEN {number} ELSE NULL END").alias("PartNo")).distinct()
+
+
+# Labour codes: every part has one; the ones of scheduled services are also part numbers.
+LABOUR = {
+    "Labor code": "CASE WHEN p_size = 50 THEN 'P' ELSE 'L' END || CAST(p_partkey AS STRING)",
+    "Labor description": "p_name",
+}
+
+# Visits by vehicle and brand; some lack the vehicle, some the part.
+HISTORY = {
+    "VehicleChassisNumber": "CASE WHEN o_custkey % 17 = 3 THEN NULL ELSE o_custkey END",
+    "PartNumber": "CASE WHEN l_linenumber = 6 THEN NULL ELSE p_brand END",
+    "JobCard": "l_orderkey",
+    "CreatedOn": "CAST(l_shipdate AS DATE)",
+    "Kilometers": "CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity * 700 AS BIGINT) END",
+}
+
+
+def labour_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project(table(spark, sf_dir, "part"), LABOUR)
+
+
+def visit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return project(_lines(spark, sf_dir), HISTORY)

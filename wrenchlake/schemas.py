@@ -77,6 +77,12 @@ FEEDS = {
     "part_approvals": PART_APPROVALS,
 }
 
+
+def names(feed: str) -> list[str]:
+    """Column names of a feed in file order."""
+    return [column.split()[0] for column in FEEDS[feed].ddl.replace("\n", " ").split(",")]
+
+
 # Job-card table after ingestion, in table order (the run day comes on top).
 JOB_CARD_TABLE = [
     "JobCard", "PartNumber", "LineAmount", "PartDescription", "ItemType", "Observation", "RequestedQuantity",

@@ -31,9 +31,18 @@ def write_append(df: DataFrame, path: str, run_date: str = RUN_DATE) -> None:
     df.write.mode("append").partitionBy(run_date).parquet(path)
 
 
-def write_day(df: DataFrame, path: str, run_date: str = RUN_DATE) -> None:
-    """Replace exactly the run days present in ``df``; a repeated run does not double rows."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_date).parquet(path)
+def write_day(df: DataFrame, path: str, day, run_date: str = RUN_DATE) -> None:
+    """Replace one run day of a table by ``df``; a repeated run does not double rows.
+
+    A day without rows is emptied. A row of another run day fails the write
+    before the table is touched.
+    """
+    whole = dates.day(day)
+    own = F.when(F.col(run_date).eqNullSafe(whole), True).otherwise(
+        F.raise_error(F.concat(F.lit("row of another run day: "), F.col(run_date).cast("string"))).cast("boolean")
+    )
+    label = df.sparkSession.range(1).select(whole.cast("string").alias("day")).first()["day"]
+    df.filter(own).drop(run_date).write.mode("overwrite").parquet(f"{path}/{run_date}={label}")
 
 
 def write_replace(df: DataFrame, path: str) -> None:
