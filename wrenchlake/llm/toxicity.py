@@ -6,12 +6,13 @@ counted per class; the log ratio of its two smoothed frequencies is the bin's
 scale. Only bins that are told apart from chance carry a feature: presence of
 the bin, times its scale. A logistic regression over these features is fitted
 on at most ``FIT_ROWS`` labelled rows, the ones whose hash is smallest, of
-each class (label 1 keeps its true share of the weight); scoring covers every text whole.
+each class, equal rows once (label 1 keeps its true share of the weight);
+scoring covers every text whole.
 
 Defined cases: a null or empty text has no feature, its score is the model's
 intercept alone. Training rows with a null label or id are left out. Without
-training rows of both classes every score is the share of label 1 (0 if there
-are no labels). Rows that repeat an id are labelled and scored one by one. A
+training rows of both classes, or without a bin that stands out, every score is
+the share of label 1 (0 if there are no labels). Rows that repeat an id are labelled and scored one by one. A
 doc_id with several labels counts as toxic if any of them says so.
 """
 
@@ -108,7 +109,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> DataFr
             yield batch.filter(pa.array(filtered.possible(batch.column("hash").to_numpy()))).select(["doc_id", "text"])
 
     own = texts.id_and_text(docs).withColumn("hash", F.xxhash64("doc_id")).mapInArrow(possible, "doc_id long, text string")
-    return own.join(marks, "doc_id")
+    # Labels grow with the table, so they are never broadcast, however few there are.
+    return own.join(marks.hint("merge"), "doc_id")
 
 
 def _class_counts(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -169,11 +171,11 @@ def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """Fit on rows of (doc_id, text, y); counts use all of them, the linear fit at most ``fit_rows`` per class."""
     rows = materialise(rows.select("doc_id", "text", "y"), "labelled")
     sizes, counts = _class_counts(rows)
-    if not sizes.min():
-        share = float(sizes[1] / sizes.sum()) if sizes.sum() else 0.0
-        return Model(np.zeros(BINS), float(np.log(max(share, 1e-9)) - np.log(max(1 - share, 1e-9))))
+    share = float(np.clip(sizes[1] / max(sizes.sum(), 1), 1e-9, 1 - 1e-9))
     scales = _scales(sizes, counts)
     chosen = np.flatnonzero(scales)
+    if not sizes.min() or not len(chosen):
+        return Model(np.zeros(BINS), float(np.log(share / (1 - share))))
     wanted = np.append(scales != 0, False)
     place = np.zeros(BINS, np.int32)
     place[chosen] = np.arange(len(chosen))
@@ -184,15 +186,16 @@ def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                 found = [place[bins].astype("<u2").tobytes() for bins in _present(*texts.utf8(part.column("text")), wanted)]
                 yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(found, pa.binary())], ["y", "found"])
 
-    picked = rows.withColumn("_order", F.xxhash64("doc_id", "text"))
-    picked = [picked.filter(F.col("y") == y).orderBy("_order").limit(fit_rows) for y in (0, 1)]
-    table = picked[0].unionByName(picked[1]).select("y", "text").mapInArrow(features, "y int, found binary").toArrow()
+    # The rows whose hash is smallest, found by the hash alone, so that no text is sorted.
+    ordered = rows.withColumn("_order", F.xxhash64("doc_id", "text"))
+    bounds = [ordered.filter(F.col("y") == y).select("_order").distinct().orderBy("_order").limit(fit_rows).agg(F.max("_order")).first()[0] for y in (0, 1)]
+    picked = ordered.filter(F.col("_order") <= F.when(F.col("y") == 0, F.lit(bounds[0])).otherwise(F.lit(bounds[1])))
+    once = picked.groupBy("y", "_order").agg(F.first("text").alias("text")).select("y", "text")
+    table = once.mapInArrow(features, "y int, found binary").toArrow()
     found = [np.frombuffer(x, "<u2").astype(np.int64) for x in table.column("found").to_pylist()]
     y = table.column("y").to_numpy().astype(float)
-    if not len(chosen):
-        return Model(np.zeros(BINS), 0.0 if y.mean() >= 0.5 else -2.0)
     lengths = [len(x) for x in found]
-    coef, bias = _fit(np.concatenate(found), np.repeat(np.arange(len(y)), lengths), y, scales[chosen], sizes[1] / sizes.sum())
+    coef, bias = _fit(np.concatenate(found), np.repeat(np.arange(len(y)), lengths), y, scales[chosen], share)
     weights = np.zeros(BINS)
     weights[chosen] = coef * scales[chosen]
     return Model(weights, bias)
