@@ -3,7 +3,7 @@
 A text is cut into sentences: after . ! ? (and closing marks) or at a line
 break. A sentence of more than LONG words is cut further, after words that
 their own hash picks, so the cuts inside a passage do not depend on what stands
-around it. Every run of ``run`` consecutive sentences, lengthened until it has
+around it; where the hash picks none for long, after every LONG words. Every run of ``run`` consecutive sentences, lengthened until it has
 ``least_words`` words, is hashed (words only, A-Z in lower case). Of equal runs
 in the whole table the first by (doc_id, text, position) counts as original;
 sentences that any later one covers are removed.
@@ -63,6 +63,11 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     length = np.diff(np.append(firsts, n))
     ends |= (np.repeat(length, length) > LONG) & (hashes % np.uint64(PART) == 0)
     firsts = np.append(0, np.flatnonzero(ends)[:-1] + 1)
+    # Where no hash picks a word for long (one word over and over, say), cut by number.
+    length = np.diff(np.append(firsts, n))
+    place = np.arange(n) - np.repeat(firsts, length)
+    ends |= (np.repeat(length, length) > 4 * LONG) & (place % LONG == LONG - 1)
+    firsts = np.append(0, np.flatnonzero(ends)[:-1] + 1)
     row_starts = np.concatenate([[0], np.cumsum(counts)])
     per_row = np.diff(np.searchsorted(firsts, row_starts))
     return hashes, firsts, starts[firsts], per_row
