@@ -34,7 +34,7 @@ from wrenchlake.session import materialise
 SHARD_ROWS = 8_192
 LEAF_ROWS = 128
 QUERY_BLOCK = 1_024
-RELAX = 1.3
+RELAX = 2.0
 # Entries kept beyond those asked for, against rounding in the block products.
 SPARE = 4
 
