@@ -85,4 +85,27 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_lm": op10_lm,
 }
-SQL: dict[str, str] = {}
+# The queries whose results SQL can state. The others need a tokenizer, a hash that SQL lacks (crc32), a trained
+# model, or are approximate; tests hold them against brute force.
+SQL = {
+    "op6_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS latest FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id < latest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < latest THEN latest END AS refers_to
+FROM p LEFT JOIN g ON p.payload_digest = g.payload_digest""",
+    "op7_jaccard": """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM split),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(x, y) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(y) FROM reach WHERE x = doc_id) AS component_id FROM sets""",
+}
