@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wrenchlake import schemas
 from wrenchlake.functions import dates, text
 from wrenchlake.operators.skew import bounded, keep_first
+from wrenchlake.session import materialise
 
 
 @dataclass(frozen=True)
@@ -141,7 +142,8 @@ def trigger_cutoff(
     change stamps on a failure joins it after the duplicates are gone.
     """
     listed = changes.withColumn("_change", _change_id(changes))
-    windows = change_windows(listed, kind.order_col).filter(F.col("_from").isNotNull())
+    # Written once: its years are looked up, its windows spread over them, its texts joined at the end.
+    windows = materialise(change_windows(listed, kind.order_col).filter(F.col("_from").isNotNull()), "windows")
     latest = windows.agg(F.max(F.greatest(F.year("_from"), F.year("_to")))).first()[0]  # of the list
     last_year = (latest or 1) + 2
     empty = F.col("_to").isNotNull() & (F.col("_to") <= F.col("_from"))
