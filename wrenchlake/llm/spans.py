@@ -100,9 +100,7 @@ def _occurrences(docs: DataFrame, run: int, least_words: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts: list[tuple[np.ndarray, ...]] = []
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            lacking = np.array(batch.column("doc_id").is_null())
-            ids = np.where(lacking, 0, np.nan_to_num(ids)).astype(np.int64) if lacking.any() else ids.astype(np.int64)
+            ids, lacking = batch.column("doc_id").fill_null(0).to_numpy(), np.array(batch.column("doc_id").is_null())
             content = batch.column("content").to_numpy()
             row = 0
             for part in texts.slices(batch):
