@@ -216,7 +216,8 @@ def score(docs: DataFrame, held_out, order: int = ORDER, mass: float = BACKOFF_M
 
     grouped = dealt.groupBy("block")
     answers = grouped.applyInArrow(ask, _QUESTION).groupBy("n", "part").applyInArrow(_answers, "n int, part int, block int, counts binary")
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         traverse,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
+    return scored.hint("rebalance")  # narrow rows, so that a reader or writer gets few and even parts

@@ -66,7 +66,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(_fold() == 0, F.lit(False))
     model = toxicity.train(toxicity.labelled(docs, _table(spark, sf_dir, "labels")).filter(~held_out))
-    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted").hint("rebalance")
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
