@@ -38,10 +38,12 @@ from pyspark.sql import functions as F
 from wrenchlake.llm import texts
 from wrenchlake.llm.components import components
 from wrenchlake.llm.membership import Membership
+from wrenchlake.operators.skew import bounded
 from wrenchlake.session import materialise
 
 SHINGLE = 5
 SIMILARITY = (80, 100)
+# Least length of a parity sketch in 64-bit words; it doubles until it has a bit for each shingle.
 SKETCH_WORDS = 16
 # Rows of one bucket that are held to compare its members with earlier buckets.
 BUCKET_ROWS = 8_192
@@ -103,10 +105,17 @@ def segment_keys(shingles: np.ndarray, band: int, bands: Bands) -> np.ndarray:
     return texts.mix(parity ^ texts.mix(filled + (np.uint64(band + 1) << np.uint64(32)))).view(np.int64)
 
 
-def parity_sketch(shingles: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
-    """One bit per shingle, XORed: the Hamming distance of two sketches is at most the symmetric difference."""
-    bit = texts.mix(shingles) % np.uint64(64 * words)
-    odd = np.bincount(bit.astype(np.int64), minlength=64 * words) & 1
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """One bit per shingle, XORed: the Hamming distance of two sketches is at most the symmetric difference.
+
+    The number of bits is a power of two and at least that of the shingles, so
+    that the sketch of a large set is not worn out. XORing its two halves gives
+    the sketch of half the length.
+    """
+    words = SKETCH_WORDS
+    while 64 * words < len(shingles):
+        words *= 2
+    odd = np.bincount((texts.mix(shingles) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
@@ -224,10 +233,15 @@ def _buckets(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "set_id").mapInArrow(run, "bucket long, leader long, member long")
 
 
-def _members(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """set_id, n, tokens and parity sketch of the wanted sets (one column, set_id), one row each."""
+def _looked_up(docs: DataFrame, size: int, wanted: DataFrame, whole: bool) -> DataFrame:
+    """One row for each wanted set (one column, set_id): its tokens if ``whole``, else its size n and parity sketch."""
     wanted = materialise(wanted, "wanted")
     filtered = Membership(wanted, "set_id")
+    names = ["set_id", "tokens"] if whole else ["set_id", "n", "sketch"]
+
+    def lists(arrays: list[np.ndarray]) -> pa.Array:
+        cuts = np.cumsum([0, *(len(x) for x in arrays)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(arrays).view(np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
@@ -243,39 +257,73 @@ def _members(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
                     met.add(own)
                     found.append((own, shingles))
             if found:
-                tokens = np.concatenate([s for _, s in found]).view(np.int64)
-                cuts = np.cumsum([0, *(len(s) for _, s in found)]).astype(np.int32)
-                sketch = np.concatenate([parity_sketch(s) for _, s in found])
-                places = np.arange(len(found) + 1, dtype=np.int32) * SKETCH_WORDS
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x for x, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(cuts), pa.array(tokens)),
-                     pa.ListArray.from_arrays(pa.array(places), pa.array(sketch))],
-                    ["set_id", "tokens", "sketch"],
-                )
+                ids = pa.array([x for x, _ in found], pa.int64())
+                if whole:
+                    columns = [ids, lists([s for _, s in found])]
+                else:
+                    columns = [ids, pa.array([len(s) for _, s in found], pa.int32()), lists([parity_sketch(s) for _, s in found])]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    found = texts.id_and_text(docs).mapInArrow(run, "set_id long, tokens array<long>, sketch array<long>")
-    one = found.groupBy("set_id").agg(F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"))
-    return materialise(one.join(wanted, "set_id", "left_semi"), "members")
+    schema = "set_id long, tokens array<long>" if whole else "set_id long, n int, sketch array<long>"
+    found = texts.id_and_text(docs).mapInArrow(run, schema)
+    one = found.groupBy("set_id").agg(*[F.first(name).alias(name) for name in names[1:]])
+    return materialise(one.join(wanted, "set_id", "left_semi"), "sets")
 
 
 def _close(a: str, b: str, p: int, q: int):
     """Whether sizes and sketches of two sides allow them to be similar: no similar pair fails this."""
     n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    apart = sum((F.bit_count(F.col(f"s_{a}")[k].bitwiseXOR(F.col(f"s_{b}")[k])) for k in range(SKETCH_WORDS)), F.lit(0))
-    return (F.least(n_a, n_b) * q >= F.greatest(n_a, n_b) * p) & (apart * (p + q) <= (n_a + n_b) * (q - p))
+    words = F.least(F.size(f"s_{a}"), F.size(f"s_{b}"))
+
+    def halved(name: str):
+        """The sketch at the length of the shorter one: its parts of that length, XORed."""
+        own = F.col(name)
+        parts = F.sequence(F.lit(0), F.floor(F.size(own) / words).cast("int") - 1)
+
+        def together(place):
+            return F.aggregate(parts, F.lit(0).cast("long"), lambda total, k: total.bitwiseXOR(F.get(own, place + k * words)))
+
+        return F.when(F.size(own) > words, F.transform(F.sequence(F.lit(0), words - 1), together)).otherwise(own)
+
+    differ = F.zip_with(halved(f"s_{a}"), halved(f"s_{b}"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differ, F.lit(0), lambda total, bits: total + bits)
+    sizes = F.least(n_a, n_b) * q >= F.greatest(n_a, n_b) * p
+    return F.when(sizes, apart * (p + q) <= (n_a + n_b) * (q - p)).otherwise(False)
 
 
 def _side(members: DataFrame, side: str) -> DataFrame:
-    return members.select(F.col("set_id").alias(side), F.size("tokens").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+    return members.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+
 
+class _Verifier:
+    """Checks pairs: sizes, then the sketches' bound, then the whole sets.
+
+    Whole sets are read from the documents again, and only those that a pair
+    which the sketches leave names and that have not been read before.
+    """
 
-def _verified(pairs: DataFrame, members: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: sizes, then the sketches' bound, then the whole sets."""
-    tried = pairs.join(_side(members, "a"), "a").join(_side(members, "b"), "b").filter(_close("a", "b", p, q)).select("a", "b")
-    for side in ("a", "b"):
-        tried = tried.join(members.select(F.col("set_id").alias(side), F.col("tokens").alias(f"t_{side}")), side)
-    common = F.size(F.array_intersect("t_a", "t_b"))
-    return tried.filter(common * (p + q) >= (F.size("t_a") + F.size("t_b")) * p).select("a", "b")
+    def __init__(self, docs: DataFrame, size: int, members: DataFrame, p: int, q: int):
+        self._docs, self._size, self._members, self._p, self._q = docs, size, members, p, q
+        self._held: DataFrame | None = None
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets are similar."""
+        p, q = self._p, self._q
+        sides = pairs.join(_side(self._members, "a"), "a").join(_side(self._members, "b"), "b")
+        close = bounded(sides.filter(_close("a", "b", p, q)).select("a", "b"))
+        needed = close.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        if self._held is not None:
+            needed = needed.join(self._held.select("set_id"), "set_id", "left_anti")
+        needed = materialise(needed, "needed")
+        if self._held is None or not needed.isEmpty():
+            fresh = _looked_up(self._docs, self._size, needed, whole=True)
+            self._held = fresh if self._held is None else self._held.unionByName(fresh)
+        # The pairs are broadcast while they are small, so that only sets they name are shuffled, each first set once.
+        first = self._held.join(bounded(close.select(F.col("a").alias("set_id")).distinct()), "set_id", "left_semi")
+        second = self._held.join(close, F.col("set_id") == F.col("b")).select("a", "b", F.col("tokens").alias("t_b"))
+        met = second.join(first.withColumnsRenamed({"set_id": "a", "tokens": "t_a"}), "a")
+        common = F.size(F.array_intersect("t_a", "t_b"))
+        return met.filter(common * (p + q) >= (F.size("t_a") + F.size("t_b")) * p).select("a", "b")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -298,11 +346,12 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, in
     """
     p, q = similarity
     buckets = materialise(_buckets(_segment_rows(docs, size, p, q)).hint("rebalance"), "buckets")
-    members = _members(docs, size, buckets.select(F.col("member").alias("set_id")).distinct())
+    members = _looked_up(docs, size, buckets.select(F.col("member").alias("set_id")).distinct(), whole=False)
+    verified = _Verifier(docs, size, members, p, q)
     stars = _ordered(buckets.filter("member != leader").select(F.col("leader").alias("a"), F.col("member").alias("b")))
     buckets = buckets.select("bucket", "member")
     bound = members.count()
-    found = components(_verified(stars, members, p, q), bound)
+    found = components(verified(stars), bound)
     # Buckets that still span components try other stars, each around a member that its own hash picks, as long as that
     # settles half of what is left.
     mixed = materialise(_mixed(buckets, found), "mixed", bound)
@@ -313,7 +362,7 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, in
         hubs = mixed.groupBy("bucket").agg(F.min_by("member", dice).alias("a"), F.min_by("component", dice).alias("_hub"))
         stars = _ordered(mixed.join(hubs, "bucket").filter("component != _hub").select("a", F.col("member").alias("b")))
         known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        found = components(known.unionByName(_verified(stars, members, p, q)), 2 * bound)
+        found = components(known.unionByName(verified(stars)), 2 * bound)
         mixed = materialise(_mixed(mixed.select("bucket", "member"), found), "mixed", left)
         before, left = left, mixed.count()
         if 2 * left > before:
@@ -325,7 +374,7 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, in
     others = mixed.select("bucket", "member", F.col("component").alias("_other")).join(_side(members, "b"), mixed.member == F.col("b")).drop("member")
     across = rows.join(others, (rows.bucket == others.bucket) & (F.col("component") < F.col("_other")) & _close("a", "b", p, q))
     known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return components(known.unionByName(_verified(_ordered(across.select("a", "b")), members, p, q)), 2 * bound)
+    return components(known.unionByName(verified(_ordered(across.select("a", "b")))), 2 * bound)
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
