@@ -108,10 +108,19 @@ def materialise(df: DataFrame, name: str = "table", rows: int | None = None) ->
 
 
 _SHIPPED: set[str] = set()
+# Rows of long texts that go to a Python worker at once; Spark's own default is 10,000.
+TEXT_ROWS = 2_000
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, unless their path has it already."""
+def ready_for_python(spark: SparkSession) -> None:
+    """Make a session fit for operators that run Python on texts.
+
+    Workers get this package, once per application, unless their path has it
+    already; Arrow batches shrink to TEXT_ROWS where the session has the default.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(TEXT_ROWS))
     context, parent = spark.sparkContext, Path(__file__).resolve().parents[1]
     on_path = [Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     if context.applicationId in _SHIPPED or parent in on_path:
