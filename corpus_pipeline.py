@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wrenchlake.llm import jaccard, packing, pii, spans, toxicity
-from wrenchlake.session import materialise, ship_package
+from wrenchlake.session import materialise, ready_for_python
 
 _COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -23,7 +23,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on all labelled ones, does not call toxic."""
-    ship_package(spark)
+    ready_for_python(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(toxicity.labelled(docs, labels))
     return toxicity.score(docs.select(*_COLUMNS), model).filter("predicted = 0").select(*_COLUMNS)
@@ -31,25 +31,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8)."""
-    ship_package(spark)
+    ready_for_python(spark)
     return jaccard.first_of_each(docs.select(*_COLUMNS))
 
 
 def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without sentences that repeat an earlier span."""
-    ship_package(spark)
+    ready_for_python(spark)
     return _with_length(spans.remove_repeated(docs.select(*_COLUMNS)))
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind."""
-    ship_package(spark)
+    ready_for_python(spark)
     return _with_length(pii.redact(docs.select(*_COLUMNS)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Training sequences with their token ids."""
-    ship_package(spark)
+    ready_for_python(spark)
     path = str(public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(docs, path, public_tokenizers.PATTERN)
 

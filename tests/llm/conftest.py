@@ -10,12 +10,12 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 from conftest_helpers import frame, prose  # noqa: E402
 
-from wrenchlake.session import ship_package  # noqa: E402
+from wrenchlake.session import ready_for_python  # noqa: E402
 
 
 @pytest.fixture(scope="session", autouse=True)
 def shipped(spark):
-    ship_package(spark)
+    ready_for_python(spark)
 
 
 @pytest.fixture(scope="session")

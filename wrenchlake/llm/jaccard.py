@@ -10,9 +10,10 @@ of the band below) that agree on a segment are candidates.
 Candidates are first linked as stars, to the least set of their bucket. A short
 parity sketch, one bit per shingle, whose Hamming distance is at most the
 symmetric difference, discards most false ones; the rest are verified on the
-whole sets. Buckets whose members ended up in different components try stars
-around other members, chosen by hash, while that settles most of them; at last
-all pairs across components of a bucket that the sketches allow are verified.
+whole sets. Where members of a bucket ended up in different components and the
+pairs across are many, stars around other members, chosen by hash, are tried
+while that settles most of them; at last all pairs across components of a
+bucket that the sketches allow are verified.
 No link that could join two components is lost, and a bucket of thousands of
 similar sets costs a few stars.
 
@@ -45,6 +46,8 @@ SHINGLE = 5
 SIMILARITY = (80, 100)
 # Least length of a parity sketch in 64-bit words; it doubles until it has a bit for each shingle.
 SKETCH_WORDS = 16
+# Other stars are tried where pairs across components outnumber the rows of their buckets this many times.
+PAIRS_PER_ROW = 8
 # Rows of one bucket that are held to compare its members with earlier buckets.
 BUCKET_ROWS = 8_192
 
@@ -339,6 +342,14 @@ def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return own.join(mixed.select("bucket"), "bucket", "left_semi")
 
 
+def _left(mixed: DataFrame) -> tuple[int, int]:
+    """Rows of the mixed buckets, and the pairs across components in them."""
+    parts = mixed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    found = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0.0))).first()
+    return found[0], int(found[1])
+
+
 def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """node, component over set ids: the components of similar sets with more than one set.
 
@@ -352,27 +363,26 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, in
     buckets = buckets.select("bucket", "member")
     bound = members.count()
     found = components(verified(stars), bound)
-    # Buckets that still span components try other stars, each around a member that its own hash picks, as long as that
-    # settles half of what is left.
+    # Buckets that still span many components' pairs try other stars, each around a member that its own hash picks, as
+    # long as that settles half of them.
     mixed = materialise(_mixed(buckets, found), "mixed", bound)
-    left, turn = mixed.count(), 0
-    while left:
+    (rows, pairs), before, turn = _left(mixed), None, 0
+    while pairs > PAIRS_PER_ROW * rows and (before is None or 2 * pairs <= before):
         turn += 1
         dice = F.xxhash64("bucket", "member", F.lit(turn))
         hubs = mixed.groupBy("bucket").agg(F.min_by("member", dice).alias("a"), F.min_by("component", dice).alias("_hub"))
         stars = _ordered(mixed.join(hubs, "bucket").filter("component != _hub").select("a", F.col("member").alias("b")))
         known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
         found = components(known.unionByName(verified(stars)), 2 * bound)
-        mixed = materialise(_mixed(mixed.select("bucket", "member"), found), "mixed", left)
-        before, left = left, mixed.count()
-        if 2 * left > before:
-            break
-    if not left:
+        mixed = materialise(_mixed(mixed.select("bucket", "member"), found), "mixed", rows)
+        before = pairs
+        rows, pairs = _left(mixed)
+    if not rows:
         return found
     # What then remains is compared pair by pair across components.
-    rows = mixed.join(_side(members, "a"), mixed.member == F.col("a")).drop("member")
+    own = mixed.join(_side(members, "a"), mixed.member == F.col("a")).drop("member")
     others = mixed.select("bucket", "member", F.col("component").alias("_other")).join(_side(members, "b"), mixed.member == F.col("b")).drop("member")
-    across = rows.join(others, (rows.bucket == others.bucket) & (F.col("component") < F.col("_other")) & _close("a", "b", p, q))
+    across = own.join(others, (own.bucket == others.bucket) & (F.col("component") < F.col("_other")) & _close("a", "b", p, q))
     known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
     return components(known.unionByName(verified(_ordered(across.select("a", "b")))), 2 * bound)
 

@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wrenchlake.llm import bpe, fingerprints, jaccard, lm, neighbours, packing, pii, spans, toxicity, warc
-from wrenchlake.session import ship_package
+from wrenchlake.session import ready_for_python
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    ready_for_python(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,7 +12,7 @@ import numpy as np
 import regex
 
 # Words remembered by one Python worker; beyond that it starts over, which costs time only.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 
 # The usual splitting pattern of byte-level BPE (a fixed value).
 USUAL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
