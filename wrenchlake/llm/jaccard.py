@@ -4,7 +4,8 @@ Copies of one set are one class from the start. For each band of set sizes the
 largest possible symmetric difference d of two similar sets is known. A set is
 sketched into more than d segments: every shingle flips a pseudo-random bit
 pattern in one segment (XOR), so two sets differ in at most as many segments
-as shingles, and two similar sets agree on some segment. Sets of a band (and
+as shingles, and two similar sets agree on some segments. A few segments more
+than needed allow each set to leave out its emptiest ones. Sets of a band (and
 of the band below) that agree on a segment are candidates.
 
 Candidates are first linked as stars, to the least set of their bucket. A short
@@ -79,10 +80,13 @@ class Bands:
             self.of(self._tops[-1] + 1)
         return math.floor(2 * self._tops[band] * self._share)
 
-    def segments(self, band: int) -> int:
-        """More segments than can differ, and a few to make up for empty ones."""
+    def spare(self, band: int) -> int:
+        """Segments beyond those that may differ and one; as many weak ones may be left out."""
         d = self.difference(band)
-        return d + 1 + (2 + d // 32 if d else 0)
+        return 2 + d // 5 if d else 0
+
+    def segments(self, band: int) -> int:
+        return self.difference(band) + 1 + self.spare(band)
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -92,20 +96,21 @@ def set_id(shingles: np.ndarray) -> int:
 def segment_keys(shingles: np.ndarray, band: int, bands: Bands) -> np.ndarray:
     """Hashes of the sketch segments of a set for one band, with their place.
 
-    Empty segments agree with each other too; they are left out only where the
-    filled ones alone outnumber what may differ. If that holds for either of
-    two similar sets, they agree on a filled segment; else both give all.
+    Two similar sets agree on more segments than ``spare``. Segments that hold
+    few shingles, or none, agree by chance as well, so a set leaves out all that
+    hold at most t, for the largest t at which no more than ``spare`` go. Where
+    two sets agree on a segment it holds as much in both, so of those they agree
+    on, no more than ``spare`` go in either: one at least is left.
     """
     m = bands.segments(band)
-    place = ((shingles >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # ascending with the shingles
+    place = (((shingles >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)  # ascending with the shingles
+    held = np.bincount(place, minlength=m)
     at = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
-    filled = place[at]
-    parity = np.bitwise_xor.reduceat(texts.mix(shingles + np.uint64(0xA0761D6478BD642F)), at)
-    if len(filled) <= bands.difference(band):
-        whole = np.zeros(m, np.uint64)
-        whole[filled.astype(np.int64)] = parity
-        filled, parity = np.arange(m, dtype=np.uint64), whole
-    return texts.mix(parity ^ texts.mix(filled + (np.uint64(band + 1) << np.uint64(32)))).view(np.int64)
+    parity = np.zeros(m, np.uint64)
+    parity[place[at]] = np.bitwise_xor.reduceat(texts.mix(shingles + np.uint64(0xA0761D6478BD642F)), at)
+    least = np.searchsorted(np.cumsum(np.bincount(held)), bands.spare(band), side="right")  # the fewest shingles of a kept one
+    kept = np.flatnonzero(held >= least)
+    return texts.mix(parity[kept] ^ texts.mix(kept.astype(np.uint64) + (np.uint64(band + 1) << np.uint64(32)))).view(np.int64)
 
 
 def parity_sketch(shingles: np.ndarray) -> np.ndarray:
