@@ -99,3 +99,28 @@ def test_awkward_rows(messy, messy_rows, empty):
     assert [r["text"] for r in rows if r["doc_id"] == 7] == [""]
     assert [r["text"] for r in rows if r["doc_id"] == 0] == [None]
     assert spans.remove_repeated(empty).count() == 0
+
+
+def test_every_fifty_words_inside_sentences_go(spark):
+    """Of a passage that begins and ends inside a sentence at least 31 of 50 words go, with marks and without."""
+    for marks in (True, False):
+        rng = random.Random(14)
+
+        def words(n):
+            made = [f"w{rng.randrange(5000)}" for _ in range(n)]
+            k = rng.randint(5, 25)
+            while marks and k < n - 5:
+                made[k] += "."
+                k += rng.randint(5, 25)
+            return " ".join(made)
+
+        rows, sizes = [], {}
+        for k in range(1000):
+            sizes[k] = rng.randint(50, 60)
+            passage = words(sizes[k])
+            rows += [(2 * k + j, f"{words(rng.randint(30, 90))} {passage} {words(rng.randint(30, 90))}") for j in (0, 1)]
+        kept = {r["doc_id"]: r["text"] for r in spans.remove_repeated(frame(spark, rows)).collect()}
+        for k, size in sizes.items():
+            first, second = rows[2 * k][1], rows[2 * k + 1][1]
+            assert kept[2 * k] == first
+            assert 31 <= len(second.split()) - len(kept[2 * k + 1].split()) <= size

@@ -2,20 +2,27 @@
 
 A text is cut into sentences: after . ! ? (and closing marks) or at a line
 break. A sentence of more than LONG words is cut further, after words that
-their own hash picks, so the cuts inside a passage do not depend on what stands
+their own hash picks, so the cuts inside a passage do not depend on what stand
 around it; where the hash picks none for long, after every LONG words. Every run of ``run`` consecutive sentences, lengthened until it has
-``least_words`` words, is hashed (words only, A-Z in lower case). Of equal runs
-in the whole table the first by (doc_id, text, position) counts as original;
-sentences that any later one covers are removed.
+``least_words`` words, is hashed (words only, A-Z in lower case).
+
+A passage that begins and ends inside a sentence may hold no such run, so runs
+of WINDOW words are hashed too, whatever the sentences. They begin at anchors:
+words whose hash is the smallest of REACH consecutive ones (of equal ones the
+last). Any REACH words hold an anchor that depends on nothing else, so any
+REACH - 1 + WINDOW = 50 words hold a whole run, wherever they stand.
+
+Of equal runs in the whole table the first by (doc_id, text, position) counts
+as original; words that any later one covers are removed.
 
 Runs that repeat within an Arrow batch are settled there; only the first of
 each goes through the shuffle, so a passage that sits in a third of all
 documents reaches its partition once per batch.
 
 Defined cases: a null or empty text has no sentence and stays empty (null stays
-null). Texts with fewer sentences or words than a run are kept whole. Rows
+null). Texts shorter than every sort of run are kept whole. Rows
 with equal doc_id and text are one document and get the same result. Null ids
-order last. A document all of whose sentences go keeps its row with an empty
+order last. A document all of whose words go keeps its row with an empty
 text. Columns beyond id and text pass through unchanged.
 """
 
@@ -35,6 +42,9 @@ LEAST_WORDS = 12
 LONG = 24
 # Of the words of a long sentence one in this many ends a part.
 PART = 8
+# Words of a run that begins at an anchor, and of the stretches that hold an anchor each.
+WINDOW = 31
+REACH = 20
 
 _END = np.zeros(256, bool)
 _END[list(b".!?")] = True
@@ -42,12 +52,12 @@ _CLOSING = np.zeros(256, bool)
 _CLOSING[list(b"\"')]}")] = True
 
 
-def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, first words of the sentences, their first bytes and the sentences per row."""
+def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, first bytes of the words, words per row, first words of the sentences and sentences per row."""
     hashes, starts, counts = texts.words(data, offsets)
     n = len(hashes)
     if not n:
-        return hashes, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
+        return hashes, starts, counts, np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
     nexts = np.append(starts[1:], len(data))
     solid = ~texts._SPACE[data]
     # Last byte of each word: the last solid byte before the next word.
@@ -70,11 +80,27 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     firsts = np.append(0, np.flatnonzero(ends)[:-1] + 1)
     row_starts = np.concatenate([[0], np.cumsum(counts)])
     per_row = np.diff(np.searchsorted(firsts, row_starts))
-    return hashes, firsts, starts[firsts], per_row
-
-
-def runs(hashes: np.ndarray, firsts: np.ndarray, per_row: np.ndarray, run: int, least_words: int) -> tuple[np.ndarray, ...]:
-    """Of every run its hash, first sentence and number of sentences (both counted in the whole slice)."""
+    return hashes, starts, counts, firsts, per_row
+
+
+def anchors(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Words that are the smallest of some REACH consecutive words of their row, of equal ones the last."""
+    at = np.arange(len(hashes))
+    row_start, row_stop = np.repeat(np.cumsum(counts) - counts, counts), np.repeat(np.cumsum(counts), counts)
+    reach = np.ones(len(hashes), np.int64)
+    before, after = np.ones(len(hashes), bool), np.ones(len(hashes), bool)
+    for d in range(1, min(REACH, len(hashes))):
+        before[d:] &= (hashes[:-d] >= hashes[d:]) & (at[d:] - d >= row_start[d:])
+        before[:d] = False
+        after[:-d] &= (hashes[d:] > hashes[:-d]) & (at[:-d] + d < row_stop[:-d])
+        after[-d:] = False
+        reach += before
+        reach += after
+    return np.flatnonzero(reach >= REACH)
+
+
+def runs(hashes: np.ndarray, counts: np.ndarray, firsts: np.ndarray, per_row: np.ndarray, run: int, least_words: int) -> tuple[np.ndarray, ...]:
+    """Of every run its hash, first word and number of words (both counted in the whole slice), and its row."""
     total = len(firsts)
     stops = np.append(firsts[1:], len(hashes))
     row_stop = np.repeat(np.cumsum(per_row), per_row)
@@ -84,14 +110,17 @@ def runs(hashes: np.ndarray, firsts: np.ndarray, per_row: np.ndarray, run: int,
     after = np.maximum(at + run, enough)
     fits = after <= row_stop
     at, after = at[fits], after[fits]
+    marked = anchors(hashes, counts)
+    marked = marked[marked + WINDOW <= np.repeat(np.cumsum(counts), counts)[marked]]
+    begin = np.concatenate([firsts[at], marked])
+    end = np.concatenate([stops[after - 1], marked + WINDOW])
     up, down = texts._power_tables(len(hashes) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(texts.mix(hashes) * up[: len(hashes)], dtype=np.uint64)])
-    begin, end = firsts[at], stops[after - 1]
     spans = texts.mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
-    return spans, at, after - at
+    return spans, begin, end - begin, np.repeat(np.arange(len(counts)), counts)[begin]
 
 
-_ROW = "place long, span long, doc_id long, content long, sentence int, sentences int"
+_ROW = "place long, span long, doc_id long, content long, word int, words int"
 
 
 def _occurrences(docs: DataFrame, run: int, least_words: int) -> DataFrame:
@@ -104,11 +133,9 @@ def _occurrences(docs: DataFrame, run: int, least_words: int) -> DataFrame:
             content = batch.column("content").to_numpy()
             row = 0
             for part in texts.slices(batch):
-                hashes, firsts, _, per_row = sentences(*texts.utf8(part.column("text")))
-                spans, at, size = runs(hashes, firsts, per_row, run, least_words)
-                rows = np.repeat(np.arange(row, row + part.num_rows), per_row)
-                own_first = np.repeat(np.cumsum(per_row) - per_row, per_row)
-                parts.append((spans, rows[at], at - own_first[at], size))
+                hashes, _, counts, firsts, per_row = sentences(*texts.utf8(part.column("text")))
+                spans, at, size, rows = runs(hashes, counts, firsts, per_row, run, least_words)
+                parts.append((spans, rows + row, at - (np.cumsum(counts) - counts)[rows], size))
                 row += part.num_rows
             if not parts:
                 continue
@@ -124,10 +151,13 @@ def _occurrences(docs: DataFrame, run: int, least_words: int) -> DataFrame:
             same = (ids[rows] == ids[rows[head]]) & (lacking[rows] == lacking[rows[head]]) & (content[rows] == content[rows[head]]) & (at == at[head])
             later &= ~same
             place = np.where(later, texts.mix(content[rows].view(np.uint64) + at.astype(np.uint64)).view(np.int64), spans)
+            # By document again, so that ids beside each other compress in the shuffle.
+            order = np.lexsort((at, rows))
+            place, spans, later, rows, at, size = (x[order] for x in (place, spans, later, rows, at, size))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(place), pa.array(spans, mask=later), pa.array(ids[rows], mask=lacking[rows]), pa.array(content[rows]),
                  pa.array(at.astype(np.int32)), pa.array(size.astype(np.int32))],
-                ["place", "span", "doc_id", "content", "sentence", "sentences"],
+                ["place", "span", "doc_id", "content", "word", "words"],
             )
 
     return docs.mapInArrow(find, _ROW)
@@ -137,14 +167,14 @@ def _later(rows: DataFrame) -> DataFrame:
     """Occurrences that are not the first of their span; rows come sorted by span and document, and are not held."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # span and (null id, id, content, sentence) of the original of the span under way
+        held = None  # span and (null id, id, content, word) of the original of the span under way
         for batch in batches:
             if not batch.num_rows:
                 continue
             settled = np.array(batch.column("span").is_null())
             keys = batch.column("span").fill_null(0).to_numpy()
             lacking = np.array(batch.column("doc_id").is_null())
-            place = [lacking, batch.column("doc_id").fill_null(0).to_numpy(), batch.column("content").to_numpy(), batch.column("sentence").to_numpy()]
+            place = [lacking, batch.column("doc_id").fill_null(0).to_numpy(), batch.column("content").to_numpy(), batch.column("word").to_numpy()]
             begins = np.append(True, (keys[1:] != keys[:-1]) | (settled[1:] != settled[:-1]))
             heads = np.flatnonzero(begins)
             head = heads[np.cumsum(begins) - 1]
@@ -157,22 +187,22 @@ def _later(rows: DataFrame) -> DataFrame:
             keep = settled | ~same
             if len(heads):
                 held = None if settled[heads[-1]] else (keys[heads[-1]], [x[heads[-1]] for x in place])
-            yield batch.filter(pa.array(keep)).select(["doc_id", "content", "sentence", "sentences"])
+            yield batch.filter(pa.array(keep)).select(["doc_id", "content", "word", "words"])
 
     return (
         rows.repartition("place")
-        .sortWithinPartitions(F.col("span"), F.col("doc_id").asc_nulls_last(), "content", "sentence")
-        .mapInArrow(pick, "doc_id long, content long, sentence int, sentences int")
+        .sortWithinPartitions(F.col("span"), F.col("doc_id").asc_nulls_last(), "content", "word")
+        .mapInArrow(pick, "doc_id long, content long, word int, words int")
     )
 
 
 def remove_repeated(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with ``text`` rid of repeated spans, and _sentences, _removed: how many it had and lost."""
+    """``docs`` with ``text`` rid of repeated spans, and _sentences, _removed: how many it had and how many went whole."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
     later = _later(_occurrences(own, run, least_words))
     gone = later.groupBy(F.col("doc_id").alias("_doc"), F.col("content").alias("_content")).agg(
-        F.collect_set(F.struct("sentence", "sentences")).alias("_gone")
+        F.collect_set(F.struct("word", "words")).alias("_gone")
     )
     on = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_content"))
     met = docs.join(gone, on, "left").drop("_doc", "_content")
@@ -186,11 +216,11 @@ def remove_repeated(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WO
             batch = pa.RecordBatch.from_arrays([found.fill_null("")], ["text"])
             for part in texts.slices(batch):
                 data, offsets = texts.utf8(part.column("text"))
-                _, _, begins, per_row = sentences(data, offsets)
-                begin = np.concatenate([[0], np.cumsum(per_row)])
+                _, starts, counts, firsts, per_row = sentences(data, offsets)
+                first_word, first_part = np.cumsum(counts) - counts, np.cumsum(per_row) - per_row
                 for k in range(part.num_rows):
-                    own_text, n = data[offsets[k] : offsets[k + 1]], int(per_row[k])
-                    total.append(n)
+                    own_text, n, parts = data[offsets[k] : offsets[k + 1]], int(counts[k]), int(per_row[k])
+                    total.append(parts)
                     asked = marks.iloc[row]
                     row += 1
                     if asked is None or not len(asked):
@@ -199,12 +229,14 @@ def remove_repeated(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WO
                         continue
                     gone_here = np.zeros(n + 1, np.int64)
                     for mark in asked:
-                        gone_here[mark["sentence"]] += 1
-                        gone_here[mark["sentence"] + mark["sentences"]] -= 1
-                    covered = np.cumsum(gone_here)[:n] > 0
-                    cuts = np.append(begins[begin[k] : begin[k + 1]] - offsets[k], len(own_text))
-                    kept.append(b"".join(own_text[cuts[s] : cuts[s + 1]].tobytes() for s in np.flatnonzero(~covered)).decode().rstrip())
-                    lost.append(int(covered.sum()))
+                        gone_here[mark["word"]] += 1
+                        gone_here[mark["word"] + mark["words"]] -= 1
+                    stays = np.cumsum(gone_here)[:n] == 0
+                    cuts = np.append(starts[first_word[k] : first_word[k] + n] - offsets[k], len(own_text))
+                    turns = cuts[np.flatnonzero(np.diff(stays, prepend=False, append=False))]
+                    kept.append(b"".join(own_text[a:b].tobytes() for a, b in turns.reshape(-1, 2)).decode().rstrip())
+                    own_firsts = firsts[first_part[k] : first_part[k] + parts] - first_word[k]
+                    lost.append(int((~np.logical_or.reduceat(stays, own_firsts)).sum()))
             whole = found.to_pylist()
             yield pd.DataFrame({"text": [w if k is None else k for k, w in zip(kept, whole, strict=True)], "sentences": total, "removed": lost})
 
