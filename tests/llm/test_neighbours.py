@@ -1,4 +1,7 @@
+import io
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +82,18 @@ def test_small_trees(n):
     data = np.ones((n, 2))
     best, rows = neighbours.Tree(data).search(np.ones((2, 2)), min(3, n), 1.0)
     assert (rows >= 0).all() and np.allclose(best, 0)
+
+
+def test_queries_are_numbered_alike_in_any_order():
+    """A block made anew after a lost executor has its queries at the same places."""
+    rng = np.random.default_rng(9)
+    ids = [*range(50), 7, 7]  # an id with several vectors
+    vectors = [rng.normal(size=4).astype("<f8").tobytes() for _ in ids]
+    made = []
+    for seed in range(5):
+        order = np.random.default_rng(seed).permutation(len(ids))
+        block = pa.table({"vec_id": pa.array([ids[k] for k in order]), "vec": pa.array([vectors[k] for k in order])})
+        blob = neighbours.pack_queries((pa.scalar(4), pa.scalar(2)), block).column("queries")[0].as_py()
+        stored = np.load(io.BytesIO(blob))
+        made.append((stored["ids"].tolist(), stored["points"].tolist()))
+    assert all(x == made[0] for x in made)

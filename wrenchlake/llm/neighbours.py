@@ -169,6 +169,18 @@ def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> tuple[
     return materialise(dealt.groupBy("dim", "shard").applyInArrow(run, "dim int, shard int, entries binary"), "shards"), shards
 
 
+def pack_queries(key: tuple, table: pa.Table) -> pa.Table:
+    """One row (dim, block, queries) of a block, the same whatever order its rows arrive in.
+
+    Rows of a blob are counted as query_row, so a task that runs again after a
+    lost executor must number the queries as the first one did.
+    """
+    dim, block = (x.as_py() for x in key)
+    table = table.sort_by([("vec_id", "ascending"), ("vec", "ascending")])
+    blob = _dump(points=_matrix(table.column("vec").to_pylist()), ids=table.column("vec_id").to_numpy())
+    return pa.table([pa.array([dim], pa.int32()), pa.array([block], pa.int32()), pa.array([blob], pa.binary())], names=["dim", "block", "queries"])
+
+
 def search(
     index: DataFrame, shards: dict[int, int], queries: DataFrame, k: int, relax: float = RELAX, query_block: int = QUERY_BLOCK
 ) -> DataFrame:
@@ -182,13 +194,8 @@ def search(
     blocks = max(1, math.ceil(n_queries / query_block))
     keep = k + 1 + SPARE
 
-    def packed(key: tuple, table: pa.Table) -> pa.Table:
-        dim, block = (x.as_py() for x in key)
-        blob = _dump(points=_matrix(table.column("vec").to_pylist()), ids=table.column("vec_id").to_numpy())
-        return pa.table([pa.array([dim], pa.int32()), pa.array([block], pa.int32()), pa.array([blob], pa.binary())], names=["dim", "block", "queries"])
-
     dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).cast("int"))
-    together = dealt.groupBy("dim", "block").applyInArrow(packed, "dim int, block int, queries binary")
+    together = dealt.groupBy("dim", "block").applyInArrow(pack_queries, "dim int, block int, queries binary")
     count = F.create_map(*[F.lit(x) for pair in shards.items() for x in pair])[F.col("dim")] if shards else F.lit(0)
     spread = together.withColumn("_last", count - 1).filter("_last >= 0").withColumn("shard", F.explode(F.sequence(F.lit(0), "_last"))).drop("_last")
 
