@@ -57,3 +57,29 @@ def test_awkward_rows(spark, messy, messy_rows, empty):
     one_class = toxicity.train(train.filter("y = 0"))
     assert all(r["predicted"] == 0 for r in toxicity.score(messy, one_class).collect())
     assert toxicity.train(train.limit(0)).intercept < 0
+
+
+def test_long_texts_are_scored_by_their_worst_window(spark):
+    rng = np.random.default_rng(4)
+    million = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 1_000_000))
+    sizes = [0, 1, 60_000, 131_072, 131_073, 200_001, 1_000_000]
+    data, offsets = texts.utf8(pa.array([million[:n] for n in sizes]))
+    cut, ends, firsts = toxicity._windows(data, offsets)
+    assert np.diff(ends).max() <= 131_072 and firsts[:5].tolist() == [0, 1, 2, 3, 4]
+    own = cut[ends[firsts[-1]] :].tobytes().decode()
+    stretches = [own[a : a + 131_072] for a in range(0, len(own), 131_072)]
+    assert all(x[65_536:] == y[:65_536] for x, y in zip(stretches[:-2], stretches[1:-1], strict=True))
+    assert stretches[0] + "".join(x[65_536:] for x in stretches[1:]) == million
+    # Every bin weighs a little: length alone must not make a text toxic.
+    clean = million.replace(" ", "")
+    column = texts.utf8(pa.array([clean]))
+    lit = max(len(x) for x in toxicity._present(*toxicity._windows(*column)[:2]))
+    whole = len(next(toxicity._present(*column)))
+    model = toxicity.Model(np.full(toxicity.BINS, 0.001), -0.001 * (lit + whole) / 2)
+    rows = frame(spark, [(1, clean), (2, "short"), (3, None)]).drop("score")
+    assert lit < whole and [r["predicted"] for r in toxicity.score(rows, model).collect()] == [0, 0, 0]
+    # A bad word late in a long text counts.
+    weights = np.zeros(toxicity.BINS)
+    weights[next(toxicity._present(*texts.utf8(pa.array(["~{|}~^"]))))] = 1.0
+    late = frame(spark, [(1, "a" * 990_000 + "~{|}~^" + "a" * 10_000), (2, "a" * 1_000_000)]).drop("score")
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.score(late, toxicity.Model(weights, -3.0)).collect()} == {1: 1, 2: 0}
