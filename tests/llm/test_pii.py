@@ -96,3 +96,11 @@ def test_redact(messy, messy_rows, empty):
     assert next(r["text"] for r in rows if r["doc_id"] == 14) == "mail <EMAIL> or <PHONE>, <IP> and <CARD>."
     assert next(r["text"] for r in rows if r["doc_id"] == 0) is None
     assert pii.redact(empty).count() == 0
+
+
+def test_prefilters_let_every_loose_shape_through():
+    for text in ("JOE [AT] EXAMPLE [DOT] COM", "Joe [At] Example [Dot] Com", "joe (At) example (dot) com", "JOE(aT)EXAMPLE(dOT)ORG"):
+        base, loose, codes = pii.candidates_of(text)
+        assert (base, loose) == ([], [(0, 0, len(text))]) and len(codes) == 1
+    hexes = "fe:dc:ba:ab:cd:ef:fa:ce"
+    assert pii.candidates_of(hexes)[1] == [(0, 1, len(hexes))]

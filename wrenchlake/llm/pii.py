@@ -44,9 +44,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-# Looser shapes, by kind.
+# Looser shapes, by kind, and what the lower-cased text must hold for one (none: always tried).
 _LOOSE = (
-    (0, re.compile(r"\b[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63})+", re.I), ("[at]", "(at)", "[AT]", "(AT)")),
+    (0, re.compile(r"\b[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63})+", re.I), ("[at]", "(at)")),
     (1, re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"), (":",)),
     (2, re.compile(r"(?<![0-9])[0-9]{4}(?:[./_][0-9]{4}){3}(?![0-9])"), None),
     (3, re.compile(r"(?<![0-9+])(?:00[1-9]|\(?0?[0-9]{2,4}\)?)[ ./-][0-9][0-9 ./()-]{4,18}[0-9](?![0-9])"), None),
@@ -113,9 +113,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Looser shapes that overlap no base span."""
-    out = []
+    out, lower = [], text.lower()
     for kind, pattern, needs in _LOOSE:
-        if needs and not any(x in text for x in needs):
+        if needs and not any(x in lower for x in needs):
             continue
         for found in pattern.finditer(text):
             a, b = found.span()
@@ -224,7 +224,7 @@ def fit(counts: dict[int, int], rounds: int = 50, steps: int = 500) -> Model:
 
 def candidates_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], list[int]]:
     """Base spans, looser spans, and the code of each, base first."""
-    if not text or not any(c in text for c in "0123456789@") and "at" not in text:
+    if not text or not any(c in text for c in "0123456789@:") and "at" not in text.lower():
         return [], [], []
     base = base_spans(text)
     loose = loose_spans(text, base)
