@@ -1,17 +1,18 @@
-"""Language-model scores from a weighted backoff automaton.
+"""Language-model scores with the weights of a backoff automaton.
 
 The model smooths n-gram counts hierarchically: the probability of a word
 after a history is (count of both + m * lower-order probability) / (count of
-the history + m). As an automaton, each seen history is a state, each seen
-n-gram an arc that carries its smoothed log-probability, and each state has a
-failure arc of weight m / (count + m) to the state of the shorter history. One
-left-to-right traversal keeps the state and adds up weights.
+the history + m). In a backoff automaton each seen history would be a state,
+each seen n-gram an arc that carries its smoothed log-probability, and each
+state would have a failure arc of weight m / (count + m) to the state of the
+shorter history. No automaton is built here: those weights are evaluated for
+all places of a block at once, which adds up to the same scores.
 
 Documents are dealt into blocks by the hash of id and text. A block asks for
 the counts of its distinct n-grams, which meet, from all blocks, in partitions
 by n-gram hash; there the training counts are summed and sent back as arrays
-in the order of the question. With them the block compiles the automaton of
-its own words and traverses its documents. Nothing is gathered on the driver
+in the order of the question. With them the block evaluates the weights
+at all places of its documents. Nothing is gathered on the driver
 but two numbers, no partition holds more than its share of hashes, and an
 n-gram's frequency costs nothing since each block sends it once.
 
