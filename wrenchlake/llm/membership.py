@@ -16,11 +16,11 @@ _PAGE = 4096
 class Membership:
     """Which 64-bit hashes may be in a set: no false negatives. Built by Spark, at most MOST_BITS / 8 bytes reach the driver."""
 
-    def __init__(self, hashes: DataFrame, column: str):
+    def __init__(self, hashes: DataFrame, column: str, bits_each: int = 16):
         spark = hashes.sparkSession
         hashed = hashes.select(F.col(column).alias("_h"))
         count = hashed.count()
-        self.bits = min(MOST_BITS, 1 << max(15, math.ceil(math.log2(16 * max(count, 1)))))
+        self.bits = min(MOST_BITS, 1 << max(15, math.ceil(math.log2(bits_each * max(count, 1)))))
         place = (F.pmod("_h", F.lit(self.bits)) + 1).alias("_x")
         pages = hashed.select(place).groupBy(F.expr("bitmap_bucket_number(_x)").alias("page")).agg(
             F.expr("bitmap_construct_agg(bitmap_bit_position(_x))").alias("bits")

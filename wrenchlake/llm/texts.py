@@ -22,6 +22,9 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# Bytes between alphanumeric words: all of ASCII but digits and letters.
+SYMBOLS = np.zeros(256, bool)
+SYMBOLS[[*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]] = True
 
 # Odd 64-bit multipliers of the hashes below.
 _BASE = 0x9E3779B97F4A7C15
@@ -86,12 +89,12 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes, word starts and the number of words of each row."""
+def words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes, word starts and the number of words of each row; ``gaps`` marks the bytes between words."""
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-    solid = ~_SPACE[data]
+    solid = ~gaps[data]
     first = np.empty(n, bool)
     first[0], first[1:] = True, ~solid[:-1]
     first[offsets[:-1][offsets[:-1] < n]] = True
