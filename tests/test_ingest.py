@@ -1,16 +1,17 @@
 """Feeds from files to tables."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from wrenchlake import schemas
 from wrenchlake.operators import ingest, visits
+from wrenchlake.operators.repeat_days import StaleDayError
 from wrenchlake.plans import daily
-from wrenchlake.sources import feeds, tables
-from wrenchlake.streaming import landing as landing_module
-from wrenchlake.streaming.landing import ChangedFileError, load_new_files
+from wrenchlake.sources import counts, feeds, tables
+from wrenchlake.streaming.landing import BATCH, ChangedFileError, load_new_files
 
 D = dt.date.fromisoformat
 NAMES = [c.split()[0] for c in schemas.JOB_CARDS.ddl.replace("\n", " ").split(",")]
@@ -158,17 +159,24 @@ def test_daily_flows(spark, tmp_path, rows):
     assert rows(share) == [("dms raw table", 4), ("unplanned table", 1)]
     quoted = "\"[{'Part No': 'A1', 'Part Description': 'filter'}]\""
     (tmp_path / "changes.csv").write_text(f"h\n{quoted},DC,\"['M']\",2018-01-01,TVT,mod,2018-01-01,why\n")
+    daily.load_changes(spark, str(tmp_path / "changes.csv"), f"{out}/changes")
     for day, of_the_day, in_all in ((first, 2, 2), (second, 1, 3), (second, 1, 3)):
-        daily.append_trigger_cutoff(spark, cards, str(tmp_path / "changes.csv"), f"{out}/trigger", f"{out}/report", day)
+        daily.append_trigger_cutoff(spark, cards, f"{out}/changes", f"{out}/trigger", f"{out}/report", day)
         assert spark.read.option("header", True).csv(f"{out}/report/details").count() == of_the_day
         assert spark.read.option("header", True).csv(f"{out}/report/summary").first().ReportedIssues == str(in_all)
     assert tables.read_table(spark, f"{out}/trigger").count() == 3
+    with pytest.raises(StaleDayError):
+        daily.append_trigger_cutoff(spark, cards, f"{out}/changes", f"{out}/trigger", f"{out}/report", first)
     (tmp_path / "approvals.csv").write_text("h\n\"['A1']\",\"['M']\",2018-01-01,N1,t,t,t,TVT,p,q\n")
+    daily.load_approvals(spark, str(tmp_path / "approvals.csv"), f"{out}/parsed")
     for day in (first, second):
-        daily.append_approvals(spark, cards, str(tmp_path / "approvals.csv"), f"{out}/approvals", day)
+        daily.append_approvals(spark, cards, f"{out}/parsed", f"{out}/approvals", day)
     assert rows(tables.read_table(spark, f"{out}/approvals").groupBy("RunDate").count()) == [(D(first), 2), (D(second), 1)]
-    daily.rebuild_repeats(spark, cards, exclude, f"{out}/repeats", second)
-    assert "PreviousJC" in tables.read_table(spark, f"{out}/repeats").columns
+    for day in (first, second):
+        daily.append_repeats(spark, cards, exclude, f"{out}/repeats", day)
+    assert "PreviousJC" in tables.read_table(spark, f"{out}/repeats/repeats").columns
+    with pytest.raises(StaleDayError):
+        daily.append_repeats(spark, cards, exclude, f"{out}/repeats", first)
     daily.report_deltas(spark, {"cards": cards}, f"{out}/deltas", second)
     assert spark.read.option("header", True).csv(f"{out}/deltas/delta").first().DeltaRecords == "1"
 
@@ -211,25 +219,116 @@ def test_landing_and_batch_share_a_table(spark, tmp_path):
     def load(day):
         load_new_files(spark, str(landing), "sales", lambda raw: ingest.ingest_sales(raw, day), table, checkpoint)
 
-    (landing / "a.csv").write_text("h\n" + line)
+    def daily_load(day):
+        batch = ingest.ingest_sales(feeds.read_feed(spark, str(landing / "a 1.csv"), "sales"), day).withColumn(BATCH, F.lit("daily"))
+        tables.write_day(batch, table, day, within=(BATCH,))
+
+    (landing / "a 1.csv").write_text("h\n" + line)
     load("2022-06-11")
-    batch = ingest.ingest_sales(feeds.read_feed(spark, str(landing / "a.csv"), "sales"), "2022-06-12")
-    tables.write_day(batch, table, "2022-06-12")
+    daily_load("2022-06-12")
     (landing / "b.csv").write_text("h\n" + line + line)
     load("2022-06-13")
     assert sorted(r.RunDate.day for r in tables.read_table(spark, table).collect()) == [11, 12, 13, 13]
-    (landing / "a.csv").write_text("h\n" + line * 5)
-    with pytest.raises(ChangedFileError, match="a.csv"):
+    (landing / "a 1.csv").write_text("h\n" + line * 5)
+    with pytest.raises(ChangedFileError, match="a%201.csv"):
         load("2022-06-14")
-    tables.write_day(ingest.ingest_sales(feeds.read_feed(spark, str(landing / "a.csv"), "sales"), "2022-06-11"), table, "2022-06-11")
+    daily_load("2022-06-11")
     assert tables.latest_delta(tables.read_table(spark, table), "2022-06-11").count() == 5
 
 
-def test_a_landed_batch_that_runs_again_adds_nothing(spark, tmp_path):
-    rows = spark.createDataFrame([(1, D("2022-01-01")), (2, D("2022-01-02"))], "x int, RunDate date")
-    for _ in range(2):
-        landing_module._add_once(rows, str(tmp_path / "t"), str(tmp_path / "staging"), "landed-1", "RunDate")
-    assert sorted(r.x for r in tables.read_table(spark, str(tmp_path / "t")).collect()) == [1, 2]
+def test_a_landed_batch_that_fails_runs_again_as_a_whole(spark, tmp_path):
+    """The first attempt writes its rows and dies before the batch counts as done; the second replaces them."""
+    landing, table, checkpoint = tmp_path / "landing", str(tmp_path / "t"), str(tmp_path / "cp")
+    landing.mkdir()
+    line = ",,dealer,2022-06-10 00:00:00,D1,M,F,Classic 350,ME3U30000KA000001,Z,R,S,C\n"
+    (landing / "a.csv").write_text("h\n" + line * 3)
+
+    def load():
+        load_new_files(spark, str(landing), "sales", lambda raw: ingest.ingest_sales(raw, "2022-06-11"), table, checkpoint)
+
+    load()
+    shutil.rmtree(tmp_path / "cp" / "commits")  # as if the run had been killed after the write
+    load()
+    assert tables.read_table(spark, table).count() == 3
+
+
+def orders(spark, *days):
+    return spark.createDataFrame([(k, D(day)) for k, day in enumerate(days)], "x int, RunDate date")
+
+
+def test_a_failed_day_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_append(orders(spark, "2022-01-01", "2022-01-02"), path)
+    with pytest.raises(Exception, match="another run day"):
+        tables.write_day(orders(spark, "2022-01-01", "2022-01-02", "2022-01-01"), path, "2022-01-01")
+    with pytest.raises(Exception, match="another run day: none"):
+        tables.write_day(orders(spark, "2022-01-01").withColumn("RunDate", F.lit(None).cast("date")), path, "2022-01-01")
+    assert sorted(r.x for r in tables.read_table(spark, path).collect()) == [0, 1]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith(".")) == ["RunDate=2022-01-01", "RunDate=2022-01-02", "_SUCCESS"]
+    # A day may be made from itself.
+    own = tables.latest_delta(tables.read_table(spark, path), "2022-01-02")
+    tables.write_day(own.withColumn("x", F.col("x") + 10), path, "2022-01-02")
+    assert sorted(r.x for r in tables.read_table(spark, path).collect()) == [0, 11]
+
+
+@pytest.mark.parametrize("old_is_gone", [False, True])
+def test_a_swap_that_was_cut_short_is_finished(spark, tmp_path, monkeypatch, old_is_gone):
+    path = str(tmp_path / "t")
+    tables.write_append(orders(spark, "2022-01-01", "2022-01-02"), path)
+    finish = tables.finish_swaps
+    monkeypatch.setattr(tables, "finish_swaps", lambda *_: None)  # the run dies when the new day is complete
+    tables.write_day(orders(spark, "2022-01-01", "2022-01-01"), path, "2022-01-01")
+    monkeypatch.setattr(tables, "finish_swaps", finish)
+    assert tables.read_table(spark, path).count() == 2
+    if old_is_gone:
+        shutil.rmtree(tmp_path / "t" / "RunDate=2022-01-01")
+    tables.write_day(orders(spark, "2022-01-03"), path, "2022-01-03")
+    assert sorted(r.RunDate.day for r in tables.read_table(spark, path).collect()) == [1, 1, 2, 3]
+    assert tables.run_days(spark, path) == ["2022-01-01", "2022-01-02", "2022-01-03"]
+
+
+def test_partitions_are_replaced_by_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "2020-01"), (2, "a b:c"), (3, None), (4, "2020-02")], "x int, month string")
+    rows.write.partitionBy("month").parquet(path)
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "month=2020-02").iterdir()}
+    now = tables.read_partitioned(spark, path, "month")
+    tables.replace_partitions(now.filter("x in (2, 3)").withColumn("x", F.col("x") * 10), path, "month", ["2020-01", "a b:c", None])
+    got = sorted((r.x, r.month) for r in tables.read_partitioned(spark, path, "month").collect())
+    assert got == [(4, "2020-02"), (20, "a b:c"), (30, None)]
+    assert untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "t" / "month=2020-02").iterdir()}
+    with pytest.raises(Exception, match="another partition"):
+        tables.replace_partitions(rows, path, "month", ["2020-01"])
+
+
+def test_ordered_report(spark, tmp_path):
+    path = str(tmp_path / "report")
+    rows = spark.range(5000).select((F.col("id") % 7 == 0).alias("hot"), (F.col("id") * 7919 % 5000).alias("n"), F.lit("x").alias("t"))
+    rows = rows.withColumn("key", F.when(F.col("hot"), 0).otherwise(F.col("n"))).repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.write_ordered(rows, path, [F.col("key").desc()])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "report").glob("part-*"))) > 1
+    got = [(r.key, r.hot, r.n) for r in tables.read_ordered(spark, path).orderBy("place").collect()]
+    assert got == sorted(((r.key, r.hot, r.n) for r in rows.collect()), key=lambda r: (-r[0], r[1], r[2]))
+    assert sorted(r.place for r in tables.read_ordered(spark, path).collect()) == list(range(1, 5001))
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_append(orders(spark, "2022-01-01", "2022-01-02", "2022-01-02", "2022-01-05"), path)
+    tables.write_day(orders(spark, "2022-01-05").filter("x < 0"), path, "2022-01-05")
+    with counts.footer_counts(spark):
+        plan = counts.counted_by(spark, path, "RunDate")._jdf.queryExecution().executedPlan().toString()
+        assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [RunDate]" in plan
+    found = {r.RunDate.day: r.Records for r in counts.rows_by_partition(spark, path).collect()}
+    assert {day: n for day, n in found.items() if n} == {1: 1, 2: 2}
+    assert sorted(r.RunDate.day for r in counts.missing_days(spark, path, "2022-01-01", "2022-01-05").collect()) == [3, 4, 5]
+    assert [tuple(r) for r in counts.delta_counts_of(spark, {"t": path, "u": path}, "2022-01-02").collect()] == [("t", 2), ("u", 2)]
+    assert counts.delta_counts_of(spark, {"t": path}, "2023-01-02").first().DeltaRecords == 0
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
 
 
 def test_rewrite_and_catalog_table(spark, tmp_path):

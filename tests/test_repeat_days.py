@@ -1,0 +1,65 @@
+"""Repeat issues taken in day by day equal those over all job cards."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from test_usecases import cards, number
+
+from wrenchlake.operators import repeat_days, visits
+from wrenchlake.sources import tables
+
+DAYS = [f"2022-01-{k:02d}" for k in range(1, 7)]
+
+
+def history(seed, n=240):
+    """Visits of few vehicles over six run days: in order, late, on the same date, and job cards that come again."""
+    rng, changes, loaded = random.Random(seed), [], []
+    for _ in range(n):
+        run = rng.randrange(6)
+        lag = rng.choice([0, 0, 0, 0, 40])
+        at = dt.date(2021, 1, 1) + dt.timedelta(days=30 * run + rng.randrange(30) - lag)
+        changes.append({
+            "JobCard": number(rng.randrange(90)), "PartNumber": rng.choice(["A1", "A2"]), "VehicleChassisNumber": f"ME3U30000KA0000{rng.randrange(10, 16)}",
+            "CreatedOn": at, "Kilometers": rng.choice([500, 900, 1500, 30 * n]), "Region": rng.choice("NS"),
+        })
+        loaded.append(DAYS[run])
+    return changes, loaded
+
+
+def loaded_cards(spark, seed):
+    changes, loaded = history(seed)
+    rows = [cards(spark, *[c for c, day in zip(changes, loaded, strict=True) if day == own]).withColumn("RunDate", F.lit(own).cast("date")) for own in DAYS]
+    whole = rows[0]
+    for more in rows[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+@pytest.mark.parametrize("seed, first", [(1, 1), (2, 3), (3, 1)])
+def test_days_equal_the_whole(spark, rows, tmp_path, seed, first):
+    whole = loaded_cards(spark, seed).cache()
+    exclude = spark.createDataFrame([("X9",)], "PartNo string")
+    folder = str(tmp_path / "repeats")
+    for k in range(first, len(DAYS) + 1):
+        new = whole.filter(F.col("RunDate").between(DAYS[0] if k == first else DAYS[k - 1], DAYS[k - 1]))
+        for _ in range(1 + (k % 2)):  # every other day runs twice
+            repeat_days.update_repeats(spark, new, exclude, folder, DAYS[k - 1])
+        so_far = whole.filter(F.col("RunDate") <= DAYS[k - 1])
+        expected = visits.repeat_issues(so_far, exclude, "2022-02-01")
+        assert rows(repeat_days.current_repeats(spark, folder, "2022-02-01").select(*expected.columns)) == rows(expected)
+    assert tables.run_days(spark, f"{folder}/last") == DAYS[-2:]
+    with pytest.raises(repeat_days.StaleDayError):
+        repeat_days.update_repeats(spark, whole, exclude, folder, DAYS[2])
+    whole.unpersist()
+
+
+def test_a_day_opens_no_history_without_need(spark, tmp_path):
+    exclude, folder = spark.createDataFrame([], "PartNo string"), str(tmp_path / "repeats")
+    for k in range(2):
+        day = dt.date(2021, 1, 1) + dt.timedelta(days=20 * k)
+        today = cards(spark, {"JobCard": number(k), "CreatedOn": day, "Kilometers": 100 * k})
+        repeat_days.update_repeats(spark, today.withColumn("RunDate", F.lit(DAYS[k]).cast("date")), exclude, folder, DAYS[k])
+    assert repeat_days.current_repeats(spark, folder, DAYS[1]).select("PreviousJC").first()[0] == number(0)
+    assert spark.read.parquet(f"{folder}/reopened").count() == 0

@@ -1,9 +1,13 @@
 """Golden frames for part changes."""
 
 import datetime as dt
+import random
+
+from pyspark.sql import functions as F
 
 from wrenchlake import schemas
 from wrenchlake.operators import trigger
+from wrenchlake.session import materialise
 
 D = dt.date.fromisoformat
 CARD_DDL = ", ".join(
@@ -136,3 +140,60 @@ def test_windows_of_one_part_do_not_overlap_when_dates_rise(spark):
     a, b = windows.alias("a"), windows.alias("b")
     clash = a.join(b, "_part_no").filter("a._from < b._from AND (a._to IS NULL OR a._to > b._from)")
     assert clash.count() == 0
+
+
+def test_sweep_equals_the_plain_interval_join(spark, rows):
+    """Windows that overlap, touch, are empty, open or without a date, and days on every bound."""
+    rng = random.Random(3)
+
+    def day():
+        return None if rng.random() < 0.1 else D("2020-01-01") + dt.timedelta(days=rng.randrange(40))
+
+    listed = [(rng.choice("AB"), d, day(), k) for k in range(60) if (d := day())]
+    days = sorted({(part, D("2019-12-25") + dt.timedelta(days=k)) for part in "ABC" for k in range(60) if rng.random() < 0.8})
+    windows = spark.createDataFrame(listed, "_part_no string, _from date, _to date, _change int")
+    got = rows(trigger.open_windows(spark.createDataFrame(days, "_part_no string, _day date"), windows), "_part_no", "_day", "_change")
+    assert got == sorted(((p, d, c) for p, d in days for part, start, end, c in listed if p == part and start <= d and (end is None or d < end)), key=repr)
+
+
+def test_a_hot_part_is_spread_over_its_build_dates(spark):
+    """A million cards of one part, a thousand windows: the join deals them by part and date."""
+    n = 1_000_000
+    filled = {c: F.lit("x") for c in schemas.CHANGE_FACT_COLUMNS} | {
+        "JobCard": F.col("id").cast("string"), "PartNumber": F.lit("A"), "ModelID": F.lit("M1"), "CreatedOn": F.lit("2022-01-01").cast("date"),
+        "MfgDate": F.date_add(F.lit("2015-01-01").cast("date"), (F.col("id") % 2500).cast("int")), "Kilometers": F.lit(1).cast("bigint"),
+    }
+    hot = spark.range(n).select(*[filled[c].alias(c) for c in schemas.CHANGE_FACT_COLUMNS])
+    at = [(D("2015-01-01") + dt.timedelta(days=2 * k)).isoformat() for k in range(1000)]
+    listed = changes(spark, *[change(["A"], day, day, f"c{k}") for k, day in enumerate(at)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = run(spark, hot, listed)
+        assert found.count() == n
+        tasks = found.withColumn("_task", F.spark_partition_id()).groupBy("_task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < n
+    last = found.groupBy("ReasonForChange").count()
+    assert {r["count"] for r in last.filter("ReasonForChange != 'c999'").collect()} == {800}
+
+
+def test_each_list_is_parsed_once(spark):
+    raw = spark.createDataFrame([change(["A"], "2020-01-01", "2020-01-01", "x")], schemas.ENGINEERING_CHANGES.ddl)
+    parts = trigger.text.parse_literal(F.col("PartDetails"), trigger.text.PART_LIST)
+    plan = raw.select(parts.alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 or plan.count("jsontostructs") == 1
+    found = run(spark, cards(spark, FACTS), trigger.parse_engineering_changes(raw))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in found and "from_json" not in found and "jsontostructs" not in found
+
+
+def test_folded_days_equal_one_summary(spark, rows):
+    found = run(spark, cards(spark, [(f"J{k % 9}", "A" if k % 4 else "B", "M1", f"2020-{k % 12 + 1:02d}-01") for k in range(60)]), listing(spark))
+    whole = materialise(found.withColumn("JobCard", F.when(F.col("JobCard") != "J3", F.col("JobCard"))))
+    parts = [whole.filter(F.pmod(F.hash(*whole.columns), F.lit(3)) == k) for k in range(3)]
+    totals = trigger.folded_summary(whole.limit(0).withColumn("ReportedIssues", F.lit(0).cast("bigint")), whole.limit(0), trigger.new_issues(whole.limit(0), whole.limit(0)))
+    known = whole.select("PartNumber", "EffectiveDate", "JobCard").limit(0)
+    for part in parts:
+        fresh = materialise(trigger.new_issues(part, known))
+        totals, known = materialise(trigger.folded_summary(totals, part, fresh)), known.unionByName(fresh)
+    assert rows(trigger.latest_changes(totals)) == rows(trigger.trigger_cutoff_summary(whole).select(*totals.columns))

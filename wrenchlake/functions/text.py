@@ -28,28 +28,35 @@ def one_line(c: Column) -> Column:
 _PIECES = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]++"""
 
 
+# What a Python literal has that JSON lacks; a text without any of it is read as it stands.
+_PYTHON_WORDS = {"None": "null", "True": "true", "False": "false"}
+_NOT_JSON = r"None|True|False|,\s*+[\]}]"
+
+
 def parse_literal(c: Column, ddl: str, strict: bool = True) -> Column:
     """Read a list written as a Python literal into an array.
 
     Strings may stand in single or double quotes; ``None``, ``True``, ``False``
     and a comma before a closing bracket are understood outside of quotes, with
     any blanks around them. A text that is no such list fails the query, or is
-    NULL with ``strict=False``; a blank text is NULL.
+    NULL with ``strict=False``; a blank text is NULL. The parse stands once in
+    the expression; give it a column of its own before it is used twice.
     """
-    outside = {r"\bNone\b": "null", r"\bTrue\b": "true", r"\bFalse\b": "false", r",(\s*[\]}])": "$1"}
+    line = one_line(c)
 
     def rewritten(piece: Column) -> Column:
         plain = piece
-        for pattern, new in outside.items():
-            plain = F.regexp_replace(plain, pattern, new)
-        return F.when(piece.rlike(r"^['\"]"), piece).otherwise(plain)
+        for word, new in _PYTHON_WORDS.items():
+            plain = F.replace(plain, F.lit(word), F.lit(new))
+        plain = F.regexp_replace(plain, r",(\s*[\]}])", "$1")
+        return F.when(F.substring(piece, 1, 1).isin("'", '"'), piece).otherwise(plain)
 
-    as_json = F.array_join(F.transform(F.regexp_extract_all(one_line(c), F.lit(_PIECES), F.lit(0)), rewritten), "")
+    pieces = F.transform(F.regexp_extract_all(line, F.lit(_PIECES), F.lit(0)), rewritten)
+    as_json = F.when(line.rlike(_NOT_JSON), F.array_join(pieces, "")).otherwise(line)
     parsed = F.from_json(as_json, ddl, {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"})
     if not strict:
         return parsed
-    unread = parsed.isNull() & (F.trim(one_line(c)) != "")
-    return F.when(unread, F.raise_error(F.concat(F.lit("not a list: "), c)).cast(ddl)).otherwise(parsed)
+    return F.coalesce(parsed, F.when(F.trim(line) != "", F.raise_error(F.concat(F.lit("not a list: "), c)).cast(ddl)))
 
 
 def joined_field(items: Column, field: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +112,23 @@ def attach_maturity(facts: DataFrame, markers: DataFrame, flags: dict[str, str]
     return _with_markers(facts, markers, flags, "").drop("_marked")
 
 
+def _refreshed(flags: dict[str, str], only_promote: bool) -> dict[str, Column]:
+    """The value of each flag after a refresh, over facts joined with markers."""
+
+    def value(target: str) -> Column:
+        old, new = F.col(target), F.col(f"_new_{target}")
+        if only_promote:
+            rises = (old == fixed.NOT_MATURED) & (new == fixed.MATURED)
+            return F.when(rises, new).otherwise(old)
+        return F.when(F.col("_marked"), new).otherwise(old)
+
+    return {target: value(target) for target in flags}
+
+
+def _all_flags(flags: dict[str, str] | None) -> dict[str, str]:
+    return flags or {f"{name}Maturity": f"{name}Maturity" for name in fixed.FF_HORIZONS}
+
+
 def refresh_maturity(
     facts: DataFrame, markers: DataFrame, flags: dict[str, str] | None = None, only_promote: bool = False
 ) -> DataFrame:
@@ -118,17 +137,19 @@ def refresh_maturity(
     Rows without a marker keep their flags. With ``only_promote`` a flag changes
     from NotMatured to Matured and in no other way.
     """
-    flags = flags or {f"{name}Maturity": f"{name}Maturity" for name in fixed.FF_HORIZONS}
+    flags = _all_flags(flags)
     joined = _with_markers(facts, markers, flags, "_new_")
+    return joined.withColumns(_refreshed(flags, only_promote)).select(*facts.columns)
 
-    def refreshed(target: str) -> Column:
-        old, new = F.col(target), F.col(f"_new_{target}")
-        if only_promote:
-            rises = (old == fixed.NOT_MATURED) & (new == fixed.MATURED)
-            return F.when(rises, new).otherwise(old)
-        return F.when(F.col("_marked"), new).otherwise(old)
 
-    return joined.withColumns({target: refreshed(target) for target in flags}).select(*facts.columns)
+def stale_months(
+    facts: DataFrame, markers: DataFrame, flags: dict[str, str] | None = None, only_promote: bool = False
+) -> DataFrame:
+    """Build months (MfgMonthYear) in which ``refresh_maturity`` would change a flag; reads keys and flags only."""
+    flags = _all_flags(flags)
+    joined = _with_markers(facts.select("MfgMonthYear", "ModelType", *flags), markers, flags, "_new_")
+    differs = [~F.col(target).eqNullSafe(value) for target, value in _refreshed(flags, only_promote).items()]
+    return joined.filter(reduce(Column.__or__, differs)).select("MfgMonthYear").distinct()
 
 
 def changed_flags(old: DataFrame, new: DataFrame, flag: str = "FF1Maturity") -> DataFrame:

@@ -56,25 +56,39 @@ APPROVAL = ChangeKind(
 )
 
 
+def _parsed(raw: DataFrame, lists: dict[str, Column]) -> DataFrame:
+    """``raw`` with its text lists parsed once each, as a written table.
+
+    A change list is a small file, or a few, often one task to read; its rows
+    are spread over the cores before the parse.
+    """
+    spread = raw.repartition(max(raw.sparkSession.sparkContext.defaultParallelism, 1))
+    return materialise(spread.withColumns(lists), "parsed_changes")
+
+
 def parse_engineering_changes(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Change list with text lists turned into arrays: Parts (number, description) and Models.
 
     A text that is no list fails the query; ``strict=False`` leaves its array
-    NULL (see ``unread_changes``).
+    NULL (see ``unread_changes``). The list is parsed here, into a table.
     """
-    parts = text.parse_literal(F.col("PartDetails"), text.PART_LIST, strict)
-    models = text.parse_literal(F.col("ApplicableModels"), text.TEXT_LIST, strict)
-    return raw.withColumns(
+    lists = _parsed(
+        raw,
+        {
+            "_parts": text.parse_literal(F.col("PartDetails"), text.PART_LIST, strict),
+            "Models": text.parse_literal(F.col("ApplicableModels"), text.TEXT_LIST, strict),
+        },
+    )
+    return lists.withColumns(
         {
             "Parts": F.transform(
-                parts,
+                "_parts",
                 lambda p: F.struct(p["Part No"].alias("PartNumber"), p["Part Description"].alias("PartDescription")),
             ),
-            "Models": models,
-            "PartDetails": text.joined_field(parts, "Part No"),
-            "ApplicableModels": F.array_join(models, ","),
+            "PartDetails": text.joined_field(F.col("_parts"), "Part No"),
+            "ApplicableModels": F.array_join("Models", ","),
         }
-    )
+    ).drop("_parts")
 
 
 def unread_changes(raw: DataFrame, column: str = "PartDetails", ddl: str = text.PART_LIST) -> DataFrame:
@@ -85,15 +99,15 @@ def unread_changes(raw: DataFrame, column: str = "PartDetails", ddl: str = text.
 
 def parse_part_approvals(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Approval list with text lists turned into arrays; approvals carry no part description."""
-    parts = text.parse_literal(F.col("PartDetailsNew"), text.TEXT_LIST, strict)
-    return raw.withColumns(
+    lists = _parsed(
+        raw,
         {
-            "Parts": F.transform(
-                parts, lambda p: F.struct(p.alias("PartNumber"), F.lit(None).cast("string").alias("PartDescription"))
-            ),
+            "_parts": text.parse_literal(F.col("PartDetailsNew"), text.TEXT_LIST, strict),
             "Models": text.parse_literal(F.col("ModelDetails"), text.TEXT_LIST, strict),
-        }
+        },
     )
+    described = F.transform("_parts", lambda p: F.struct(p.alias("PartNumber"), F.lit(None).cast("string").alias("PartDescription")))
+    return lists.withColumn("Parts", described).drop("_parts")
 
 
 def change_windows(changes: DataFrame, order_col: str) -> DataFrame:
@@ -117,9 +131,32 @@ def change_windows(changes: DataFrame, order_col: str) -> DataFrame:
     return items.withColumn("_from", F.col("MfgDate")).join(steps, on, "left").drop("_part", "_step_part", "_step")
 
 
-def _year_slot(day: Column, last_year: int) -> Column:
-    """Calendar year, with everything later than ``last_year`` folded onto it."""
-    return F.least(F.year(day), F.lit(last_year))
+def open_windows(days: DataFrame, windows: DataFrame) -> DataFrame:
+    """_part_no, _day, _change for every window of the part that is open on the day.
+
+    ``days`` holds distinct (_part_no, _day), ``windows`` [_from, _to) per
+    _change and _part_no. The starts and ends of a part's windows cut time into
+    steps, counted in order. Sweeping a part's days and steps by date gives the
+    step each day lies in; a window spans a run of steps, so day and window meet
+    by (part, step). No pair of a day and a window that is closed then is made.
+    """
+    marks = windows.select("_part_no", F.explode(F.array("_from", "_to")).alias("_at")).filter(F.col("_at").isNotNull()).distinct()
+    count = F.row_number().over(Window.partitionBy("_part_no").orderBy("_at"))
+    steps = materialise(marks.withColumn("_step", count), "steps")
+
+    stream = steps.select("_part_no", F.col("_at").alias("_day"), "_step").unionByName(days.withColumn("_step", F.lit(None).cast("int")))
+    # A step begins before the days of its own date.
+    in_order = Window.partitionBy("_part_no").orderBy("_day", F.col("_step").asc_nulls_last())
+    swept = stream.select("_part_no", "_day", F.col("_step").isNull().alias("_asked"), F.last("_step", ignorenulls=True).over(in_order).alias("_step"))
+    placed = swept.filter(F.col("_asked") & F.col("_step").isNotNull()).drop("_asked")
+
+    first = steps.select("_part_no", F.col("_at").alias("_from"), F.col("_step").alias("_opens"))
+    last = steps.select("_part_no", F.col("_at").alias("_to"), F.col("_step").alias("_closes"))
+    ends = steps.groupBy("_part_no").agg((F.max("_step") + 1).alias("_end"))
+    spans = windows.join(first, ["_part_no", "_from"]).join(last, ["_part_no", "_to"], "left").join(ends, "_part_no")
+    until = F.coalesce("_closes", "_end") - 1
+    spans = spans.filter(until >= F.col("_opens")).select("_part_no", "_change", F.explode(F.sequence("_opens", until)).alias("_step"))
+    return placed.join(spans, ["_part_no", "_step"]).select("_part_no", "_day", "_change")
 
 
 def trigger_cutoff(
@@ -133,40 +170,27 @@ def trigger_cutoff(
     """Job cards of a changed part on vehicles built inside the change's window.
 
     ``changes`` is a parsed list (see ``parse_engineering_changes``). A job card
-    counts once per change and part. Windows are repeated once per build year
-    they touch, so the join is an equi-join on (part, year): a part with a long
-    history or very many failures is spread over its years, and a row is
-    compared only with the windows of its own year. The years end two after the
-    latest date of the list; builds later than that share the last slot, so no
-    row is lost. A change listed twice in the same words counts as one. What the
-    change stamps on a failure joins it after the duplicates are gone.
+    counts once per change and part. The build dates of the listed parts, each
+    once, are swept against the windows (``open_windows``); a job card then
+    meets exactly the windows open on its date, by (part, date). So a part with
+    very many failures or changes is spread over its build dates. A change
+    listed twice in the same words counts as one. What the change stamps on a
+    failure joins it after the duplicates are gone.
     """
     listed = changes.withColumn("_change", _change_id(changes))
-    # Written once: its years are looked up, its windows spread over them, its texts joined at the end.
+    # Written once: swept against the build dates, joined for models and plant, and for its texts at the end.
     windows = materialise(change_windows(listed, kind.order_col).filter(F.col("_from").isNotNull()), "windows")
-    latest = windows.agg(F.max(F.greatest(F.year("_from"), F.year("_to")))).first()[0]  # of the list
-    last_year = (latest or 1) + 2
-    empty = F.col("_to").isNotNull() & (F.col("_to") <= F.col("_from"))
-    opens = _year_slot(F.col("_from"), last_year)
-    closes = F.when(F.col("_to").isNull(), F.lit(last_year)).otherwise(_year_slot(F.date_sub("_to", 1), last_year))
-    slotted = windows.filter(~empty).select(
-        "_change", "_part_no", "Models", "_from", "_to", F.col(kind.plant_col).alias("_plant"), F.explode(F.sequence(opens, closes)).alias("_year")
-    )
-    facts = (
-        jobcards.select(*schemas.CHANGE_FACT_COLUMNS)
-        .filter(F.col("PartNumber").isNotNull() & F.col("MfgDate").isNotNull())
-        .withColumn("_built_year", _year_slot(F.col("MfgDate"), last_year))
-    )
-    on = (
-        (F.col("PartNumber") == F.col("_part_no"))
-        & (F.col("_built_year") == F.col("_year"))
-        & (F.col("MfgDate") >= F.col("_from"))
-        & (F.col("_to").isNull() | (F.col("MfgDate") < F.col("_to")))
-        & F.array_contains("Models", F.col("ModelID"))
-    )
+    facts = jobcards.select(*schemas.CHANGE_FACT_COLUMNS).filter(F.col("PartNumber").isNotNull() & F.col("MfgDate").isNotNull())
+    parts = bounded(windows.select("_part_no").distinct())
+    built = facts.select(F.col("PartNumber").alias("_part_no"), F.col("MfgDate").alias("_day"))
+    days = built.join(parts, "_part_no", "left_semi").distinct()
+    bounds = windows.select("_part_no", "_from", "_to", "_change").distinct()
+    terms = windows.select("_part_no", "_change", "Models", F.col(kind.plant_col).alias("_plant")).distinct()
+    open_then = open_windows(days, bounds).join(terms, ["_part_no", "_change"])
+    on = (F.col("PartNumber") == F.col("_part_no")) & (F.col("MfgDate") == F.col("_day")) & F.array_contains("Models", F.col("ModelID"))
     if match_plant:
         on = on & (F.col("Plant") == F.col("_plant"))
-    matched = facts.join(bounded(slotted.distinct()), on).select("_change", *schemas.CHANGE_FACT_COLUMNS)
+    matched = facts.join(bounded(open_then), on).select("_change", *schemas.CHANGE_FACT_COLUMNS)
     rest = [c for c in schemas.CHANGE_FACT_COLUMNS if c not in ("JobCard", "PartNumber", "CreatedOn")]
     once = keep_first(matched, ["_change", "PartNumber", "JobCard"], [F.col(c) for c in ("CreatedOn", *rest)])
     stamped = {f"_stamp_{target}": F.col(source) for source, target in kind.stamps.items()}
@@ -195,10 +219,40 @@ def _change_id(changes: DataFrame) -> Column:
     return F.unhex(F.substring(F.sha2(F.to_json(F.struct(*[F.col(c) for c in changes.columns])), 256), 1, 24))
 
 
+_SUMMED_TEXTS = ["PartDescription", "PartDefect", "ReasonForChange", "ModificationDetail"]
+
+
 def trigger_cutoff_summary(rows: DataFrame) -> DataFrame:
     """Reported issues of the latest change of each part."""
-    texts = ["PartDescription", "PartDefect", "ReasonForChange", "ModificationDetail"]
     per_change = rows.groupBy("PartNumber", "EffectiveDate").agg(
-        *[F.max(c).alias(c) for c in texts], F.count_distinct("JobCard").alias("ReportedIssues")
+        *[F.max(c).alias(c) for c in _SUMMED_TEXTS], F.count_distinct("JobCard").alias("ReportedIssues")
     )
+    return latest_changes(per_change)
+
+
+def latest_changes(per_change: DataFrame) -> DataFrame:
+    """The latest change of each part, from one row per part and date."""
     return keep_first(per_change, ["PartNumber"], [F.col("EffectiveDate").desc()])
+
+
+def new_issues(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """PartNumber, EffectiveDate, JobCard that ``rows`` report and ``known`` does not hold, each once."""
+    keys = ["PartNumber", "EffectiveDate", "JobCard"]
+    reported = rows.select(*keys).filter(F.col("JobCard").isNotNull()).distinct()
+    old = known.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    on = [F.col("JobCard") == F.col("_JobCard")] + [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys[:2]]
+    return reported.join(old, on, "left_anti")
+
+
+def folded_summary(totals: DataFrame, rows: DataFrame, issues: DataFrame) -> DataFrame:
+    """Totals per part and date with one more run day: its ``rows``, and the ``issues`` that were not reported before.
+
+    ``totals`` is what this function returned for the day before, or a frame of
+    its columns without rows; the sums of all days equal one sum over all rows.
+    """
+    keys = ["PartNumber", "EffectiveDate"]
+    no_text = [F.lit(None).cast("string").alias(c) for c in _SUMMED_TEXTS]
+    texts = rows.groupBy(*keys).agg(*[F.max(c).alias(c) for c in _SUMMED_TEXTS]).withColumn("ReportedIssues", F.lit(0).cast("bigint"))
+    counts = issues.groupBy(*keys).agg(F.count(F.lit(1)).alias("ReportedIssues")).select(*keys, *no_text, "ReportedIssues")
+    together = totals.select(*keys, *_SUMMED_TEXTS, "ReportedIssues").unionByName(texts).unionByName(counts)
+    return together.groupBy(*keys).agg(*[F.max(c).alias(c) for c in _SUMMED_TEXTS], F.sum("ReportedIssues").alias("ReportedIssues"))

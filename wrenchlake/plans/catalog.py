@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from wrenchlake import schemas
 from wrenchlake.functions import bands, dates, text, vehicle
 from wrenchlake.functions import fixed_values as fixed
-from wrenchlake.operators import cost, ingest, maturity, quality, trigger, visits
+from wrenchlake.operators import cost, ingest, maturity, quality, repeat_days, top, trigger, visits
 from wrenchlake.operators.decode import DECODED, decode_vehicle
 from wrenchlake.plans import daily, standins
 from wrenchlake.plans.standins import table
 from wrenchlake.session import scratch_path, scratch_root
-from wrenchlake.sources import feeds, tables
-from wrenchlake.streaming.landing import load_new_files
+from wrenchlake.sources import counts, feeds, tables
+from wrenchlake.streaming.landing import BATCH, load_new_files
 
 ASOF = "2021-08-01"
 LOAD_DAY = "2018-01-01"
@@ -506,6 +506,57 @@ def reload_empty_day(spark, sf):
     return tables.as_of(tables.read_table(spark, history), "1997-06-30")
 
 
+@query
+def reload_failed_day(spark, sf):
+    """A day loaded again with a row of another day among its rows: the load fails and the old day is still there."""
+    history, day = _history(spark, sf), "1997-05-01"
+    rows = _daily_orders(spark, sf).filter(F.col(schemas.RUN_DATE).between(dates.day(day), dates.day("1997-06-01")))
+    try:
+        tables.write_day(rows, history, day)
+    except Exception as error:
+        if "row of another run day" not in str(error):
+            raise
+    else:
+        raise RuntimeError("a row of another run day was taken")
+    return tables.as_of(tables.read_table(spark, history), "1997-06-30")
+
+
+@query
+def ordered_report(spark, sf):
+    """The maturity markers as a report in order, each row with its place in the files."""
+    path = f"{_scratch(spark)}/report"
+    marks = _markers(spark, sf).select("MfgMonthYear", "ModelGroup", "PCount", "SCount", "FF12Maturity")
+    tables.write_ordered(marks, path, [F.col("FF12Maturity"), F.col("MfgMonthYear").desc()])
+    return tables.read_ordered(spark, path)
+
+
+@query
+def first_rows(spark, sf):
+    """The dearest lines of all; many lines share a quantity and a discount."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
+    return top.first_rows(lines, 25, [F.col("l_quantity").desc(), F.col("l_discount").desc()])
+
+
+@query
+def first_rows_per_group(spark, sf):
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    return top.first_rows_per_group(lines, ["l_returnflag", "l_linestatus"], 7, [F.col("l_quantity").desc()], "place")
+
+
+@query
+def loaded_rows(spark, sf):
+    """Rows of each run month of a table, from its file footers."""
+    return counts.rows_by_partition(spark, _history(spark, sf))
+
+
+@query
+def missing_run_days(spark, sf):
+    """Days without rows in a table, one of them emptied by a load without rows."""
+    history, day = _history(spark, sf), "1997-05-01"
+    tables.write_day(_daily_orders(spark, sf).filter("o_orderkey < 0"), history, day)
+    return counts.missing_days(spark, history, "1997-01-01", "1997-12-31")
+
+
 @query
 def feed_files(spark, sf):
     """Sales written as two sets of delimited files and read back as one feed."""
@@ -551,7 +602,7 @@ def landed_sales(spark, sf):
             spark, f"{folder}/landing", "sales", lambda raw, d=day: ingest.ingest_sales(raw, d),
             f"{folder}/sales", f"{folder}/checkpoint",
         )
-    return tables.read_table(spark, f"{folder}/sales")
+    return tables.read_table(spark, f"{folder}/sales").drop(BATCH)
 
 
 @query
@@ -568,7 +619,8 @@ def landing_then_batch(spark, sf):
 
     tables.write_csv(raw.filter(urgent), f"{folder}/landing/first")
     load("2021-08-01")
-    tables.write_day(ingest.ingest_sales(raw, "2021-08-02"), f"{folder}/sales", "2021-08-02")
+    whole = ingest.ingest_sales(raw, "2021-08-02").withColumn(BATCH, F.lit("daily"))
+    tables.write_day(whole, f"{folder}/sales", "2021-08-02", within=(BATCH,))
     tables.write_csv(raw.filter(~urgent), f"{folder}/landing/second")
     load("2021-08-03")
     return tables.read_table(spark, f"{folder}/sales").select("VehicleChassisNumber", "SalesOrderDate", "ModelID", "RunDate")
@@ -678,8 +730,9 @@ def _sold_cards_path(spark, sf) -> str:
 def _trigger_flow(spark, sf) -> str:
     cards, folder = _sold_cards_path(spark, sf), _scratch(spark)
     tables.write_csv(standins.engineering_changes(spark, sf).select(*schemas.names("engineering_changes")), f"{folder}/changes")
+    daily.load_changes(spark, f"{folder}/changes", f"{folder}/parsed")
     _twice_a_day(
-        lambda day: daily.append_trigger_cutoff(spark, cards, f"{folder}/changes", f"{folder}/table", f"{folder}/report", day)
+        lambda day: daily.append_trigger_cutoff(spark, cards, f"{folder}/parsed", f"{folder}/table", f"{folder}/report", day)
     )
     return folder
 
@@ -700,15 +753,20 @@ def flow_trigger_summary(spark, sf):
 def flow_approvals(spark, sf):
     cards, folder = _sold_cards_path(spark, sf), _scratch(spark)
     tables.write_csv(standins.part_approvals(spark, sf).select(*schemas.names("part_approvals")), f"{folder}/approvals")
-    _twice_a_day(lambda day: daily.append_approvals(spark, cards, f"{folder}/approvals", f"{folder}/table", day))
+    daily.load_approvals(spark, f"{folder}/approvals", f"{folder}/parsed")
+    _twice_a_day(lambda day: daily.append_approvals(spark, cards, f"{folder}/parsed", f"{folder}/table", day))
     return tables.read_table(spark, f"{folder}/table")
 
 
 @query
 def flow_repeats(spark, sf):
-    out = f"{_scratch(spark)}/repeats"
-    daily.rebuild_repeats(spark, job_cards_path(spark, sf, "p_type"), standins.excluded_parts(spark, sf, "p_type"), out, ASOF)
-    return tables.read_table(spark, out)
+    """All load days: the older ones taken in together, the others day by day, the last one twice."""
+    folder, cards = f"{_scratch(spark)}/repeats", job_cards_path(spark, sf, "p_type")
+    exclude, days = standins.excluded_parts(spark, sf, "p_type"), tables.run_days(spark, cards)
+    daily.append_repeats(spark, cards, exclude, folder, days[-5], since=days[0])
+    for day in (*days[-4:], days[-1]):
+        daily.append_repeats(spark, cards, exclude, folder, day)
+    return repeat_days.current_repeats(spark, folder, ASOF)
 
 
 @query
@@ -722,6 +780,49 @@ def flow_maturity(spark, sf):
     return tables.read_table(spark, f"{folder}/facts")
 
 
+def _monthly_facts(spark, sf, folder: str) -> tuple[str, str]:
+    """A fact table partitioned by build month and its markers, as tables."""
+    facts, markers = f"{folder}/facts", f"{folder}/markers"
+    tables.spread_by_day(_old_flags(_flagged_facts(spark, sf)), "MfgMonthYear").write.partitionBy("MfgMonthYear").parquet(facts)
+    tables.write_replace(_markers(spark, sf), markers)
+    return facts, markers
+
+
+@query
+def refresh_partitions(spark, sf):
+    """The refresh of a table by build month, which writes the months with a changed flag and no others; run twice."""
+    facts, markers = _monthly_facts(spark, sf, _scratch(spark))
+    daily.refresh_flag_partitions(spark, facts, markers, FLAGS)
+    if daily.refresh_flag_partitions(spark, facts, markers, FLAGS):
+        raise RuntimeError("a second refresh found something to change")
+    return tables.read_partitioned(spark, facts, "MfgMonthYear")
+
+
+@query
+def flow_promote(spark, sf):
+    """The monthly promotion of flags, by partition."""
+    facts, markers = _monthly_facts(spark, sf, _scratch(spark))
+    daily.refresh_flag_partitions(spark, facts, markers, FLAGS, only_promote=True)
+    return tables.read_partitioned(spark, facts, "MfgMonthYear")
+
+
+@query
+def flow_missing_parts(spark, sf):
+    """The monthly report of parts that the master lacks, in order."""
+    report = f"{_scratch(spark)}/missing"
+    daily.report_missing_parts(spark, job_cards_path(spark, sf), _master(spark, sf), report)
+    return tables.read_ordered(spark, report)
+
+
+@query
+def flow_duplicate_chassis(spark, sf):
+    """The monthly report of chassis numbers sold more than once, in order."""
+    folder = _scratch(spark)
+    tables.write_replace(ingest.ingest_sales(standins.raw_sales(spark, sf), ASOF), f"{folder}/sales")
+    daily.report_duplicate_chassis(spark, f"{folder}/sales", f"{folder}/report")
+    return tables.read_ordered(spark, f"{folder}/report")
+
+
 @query
 def flow_warranty_cost(spark, sf):
     folder = _scratch(spark)

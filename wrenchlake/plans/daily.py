@@ -9,10 +9,13 @@ what it wrote.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wrenchlake.functions import dates
 from wrenchlake.operators import cost, ingest, maturity, quality, trigger, visits
+from wrenchlake.operators.repeat_days import StaleDayError, update_repeats
 from wrenchlake.schemas import RUN_DATE
-from wrenchlake.sources import feeds, tables
+from wrenchlake.sources import counts, feeds, tables
 
 
 def _cards_of(spark: SparkSession, job_cards: str, asof, run_date: str) -> DataFrame:
@@ -54,33 +57,66 @@ def append_unplanned(
     tables.write_day(visits.unplanned_share(unplanned, cards, asof, run_date), share_table, asof, run_date)
 
 
+def load_changes(spark: SparkSession, files: str | list[str], table: str, strict: bool = True) -> None:
+    """The engineering changes of the files into a table, their lists parsed."""
+    tables.write_replace(trigger.parse_engineering_changes(feeds.read_feed(spark, files, "engineering_changes"), strict), table)
+
+
+def load_approvals(spark: SparkSession, files: str | list[str], table: str, strict: bool = True) -> None:
+    """The part approvals of the files into a table, their lists parsed."""
+    tables.write_replace(trigger.parse_part_approvals(feeds.read_feed(spark, files, "part_approvals"), strict), table)
+
+
 def append_trigger_cutoff(
-    spark: SparkSession, job_cards: str, changes: str | list[str], table: str, report: str, asof, run_date: str = RUN_DATE
+    spark: SparkSession, job_cards: str, changes: str, table: str, report: str, asof: str, run_date: str = RUN_DATE
 ) -> None:
-    """The run day's failures after part changes; the report has them in detail and sums up the whole table."""
-    parsed = trigger.parse_engineering_changes(feeds.read_feed(spark, changes, "engineering_changes"))
+    """The run day's failures after part changes; the report has them in detail and sums up all days.
+
+    ``changes`` is the table of ``load_changes``. The sums are kept beside the
+    table: ``<table>-totals`` per part and date, and the job cards that count in
+    them in ``<table>-issues``. A run adds its own day to the totals of the day
+    before. A day that later ones rest on is refused.
+    """
+    totals, issues = f"{table}-totals", f"{table}-issues"
+    done = tables.run_days(spark, totals, run_date)
+    if any(d > asof for d in done):
+        raise StaleDayError(f"{asof} lies before {max(done)}, which rests on it")
+    before = [d for d in done if d < asof]
+    parsed = tables.read_table(spark, changes)
     rows = trigger.trigger_cutoff(_cards_of(spark, job_cards, asof, run_date), parsed, trigger.ENGINEERING, asof, run_date=run_date)
     tables.write_day(rows, table, asof, run_date)
-    written = tables.read_table(spark, table, schema=rows.schema)
-    details = tables.latest_delta(written, asof, run_date)
-    tables.write_report({"summary": trigger.trigger_cutoff_summary(written), "details": details}, report)
+    details = tables.latest_delta(tables.read_table(spark, table, schema=rows.schema), asof, run_date)
+    keys = details.select("PartNumber", "EffectiveDate", "JobCard")
+    known = tables.read_table(spark, issues, schema=keys.withColumn(run_date, dates.day(asof)).schema) if before else keys.withColumn(run_date, dates.day(asof))
+    fresh = trigger.new_issues(keys, known.filter(F.col(run_date) < dates.day(asof)))
+    tables.write_day(fresh.withColumn(run_date, dates.day(asof)), issues, asof, run_date)
+    added = tables.latest_delta(tables.read_table(spark, issues), asof, run_date)
+    none = trigger.folded_summary(details.limit(0).withColumn("ReportedIssues", F.lit(0).cast("bigint")), details.limit(0), added.limit(0))
+    so_far = tables.latest_delta(tables.read_table(spark, totals), before[-1], run_date) if before else none
+    summed = trigger.folded_summary(so_far, details, added).withColumn(run_date, dates.day(asof))
+    tables.write_day(summed, totals, asof, run_date)
+    if before:
+        tables.drop_days(spark, totals, before[-1], run_date)
+    current = tables.latest_delta(tables.read_table(spark, totals), asof, run_date).drop(run_date)
+    tables.write_report({"summary": trigger.latest_changes(current), "details": details}, report)
 
 
 def append_approvals(
-    spark: SparkSession, job_cards: str, approvals: str | list[str], table: str, asof, run_date: str = RUN_DATE
+    spark: SparkSession, job_cards: str, approvals: str, table: str, asof, run_date: str = RUN_DATE
 ) -> None:
-    """The run day's failures after approved part changes."""
-    parsed = trigger.parse_part_approvals(feeds.read_feed(spark, approvals, "part_approvals"))
+    """The run day's failures after approved part changes; ``approvals`` is the table of ``load_approvals``."""
+    parsed = tables.read_table(spark, approvals)
     rows = trigger.trigger_cutoff(_cards_of(spark, job_cards, asof, run_date), parsed, trigger.APPROVAL, asof, run_date=run_date)
     tables.write_day(rows, table, asof, run_date)
 
 
-def rebuild_repeats(
-    spark: SparkSession, job_cards: str, exclude: DataFrame, table: str, asof, run_date: str = RUN_DATE
+def append_repeats(
+    spark: SparkSession, job_cards: str, exclude: DataFrame, folder: str, asof: str, since: str | None = None, run_date: str = RUN_DATE
 ) -> None:
-    """The repeat-issue table from all job cards, since a visit's predecessor may be of any day."""
+    """The run day's job cards into the repeat-issue tables; ``since`` takes in all days from that one on."""
     cards = tables.read_table(spark, job_cards)
-    tables.write_replace(visits.repeat_issues(cards, exclude, asof, run_date=run_date), table)
+    first = asof if since is None else since
+    update_repeats(spark, cards.filter(F.col(run_date).between(dates.day(first), dates.day(asof))), exclude, folder, asof, run_date)
 
 
 def rebuild_markers(spark: SparkSession, production: str, sales: str, table: str, asof, **options) -> None:
@@ -97,6 +133,21 @@ def refresh_flags(
     tables.rewrite(marked, facts, staging)
 
 
+def refresh_flag_partitions(
+    spark: SparkSession, facts: str, markers: str, flags: dict[str, str] | None = None, only_promote: bool = False
+) -> list[str | None]:
+    """The same for a table partitioned by build month: only the months with a changed flag are written anew.
+
+    Returns these months. Their number is at most that of the table's folders.
+    """
+    rows, marks = tables.read_partitioned(spark, facts, "MfgMonthYear"), tables.read_table(spark, markers)
+    stale = sorted((r[0] for r in maturity.stale_months(rows, marks, flags, only_promote).collect()), key=lambda m: m or "")
+    if stale:
+        own = F.coalesce(F.col("MfgMonthYear").isin([m for m in stale if m is not None]), F.lit(None in stale))
+        tables.replace_partitions(maturity.refresh_maturity(rows.filter(own), marks, flags, only_promote), facts, "MfgMonthYear", stale)
+    return stale
+
+
 def rebuild_warranty_cost(
     spark: SparkSession, job_cards: str, markers: str, table: str, asof, mfg_after="2019-01-01", run_date: str = RUN_DATE
 ) -> None:
@@ -106,6 +157,17 @@ def rebuild_warranty_cost(
 
 
 def report_deltas(spark: SparkSession, paths: dict[str, str], report: str, asof, run_date: str = RUN_DATE) -> None:
-    """Rows each table received on the run day, as a report."""
-    found = {name: (tables.read_table(spark, path), run_date) for name, path in paths.items()}
-    tables.write_report({"delta": quality.delta_counts(found, asof)}, report)
+    """Rows each table received on the run day, as a report; counted from file footers."""
+    tables.write_report({"delta": counts.delta_counts_of(spark, paths, asof, run_date)}, report)
+
+
+def report_missing_parts(spark: SparkSession, job_cards: str, parts: DataFrame, report: str) -> None:
+    """The month's parts that the master lacks, in order of part and model type, with their place."""
+    found = quality.missing_parts(tables.read_table(spark, job_cards, ["PartNumber", "ModelType"]), parts)
+    tables.write_ordered(found, report, [F.col("PartNumber"), F.col("ModelType")])
+
+
+def report_duplicate_chassis(spark: SparkSession, sales: str, report: str) -> None:
+    """The month's chassis numbers that were sold more than once, the most frequent first."""
+    found = quality.duplicate_keys(tables.read_table(spark, sales, ["VehicleChassisNumber"]), ["VehicleChassisNumber"])
+    tables.write_ordered(found, report, [F.col("Count").desc(), F.col("VehicleChassisNumber")])

@@ -10,54 +10,35 @@ from pyspark.sql import functions as F
 
 from wrenchlake.schemas import FEEDS, RUN_DATE, Feed
 
+# Partition column below the run day that names the batch a row came with.
+BATCH = "Batch"
+
 
 class ChangedFileError(ValueError):
     """A file that was loaded before has been uploaded again."""
 
 
-def _listed(spark: SparkSession, landing: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(landing).select("path", "modificationTime", "length")
-
-
-def _refuse_changed(spark: SparkSession, landing: str, ledger: str) -> DataFrame:
-    """The files at hand; raises if one that the ledger knows has changed since."""
-    present = _listed(spark, landing)
-    if _folder(spark, ledger)[0].exists(_folder(spark, ledger)[1]):
-        known = spark.read.parquet(ledger)
-        same = ["path", "modificationTime", "length"]
-        changed = [r.path for r in present.join(known, "path", "left_semi").join(known, same, "left_anti").select("path").limit(20).collect()]
-        if changed:
-            raise ChangedFileError(
-                f"loaded before and uploaded again: {', '.join(sorted(changed))}; load their day anew from the files (write_day replaces it)"
-            )
-    return present
-
-
-def _folder(spark: SparkSession, path: str):
-    """File system and path object of a folder."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+def changed_files(spark: SparkSession, landing: str, checkpoint: str) -> DataFrame:
+    """Paths of files that the stream has taken in and that have another time now.
 
+    What was taken in is read from the stream's own checkpoint, one line for
+    each file and batch.
+    """
+    log = f"{checkpoint}/sources/0"
+    present = spark.read.format("binaryFile").load(landing).select(
+        F.col("_metadata.file_path").alias("path"), F.unix_millis("_metadata.file_modification_time").alias("now")
+    )
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return present.select("path").limit(0)
+    entry = F.from_json("value", "path string, timestamp bigint")
+    taken = spark.read.text(log).filter(F.col("value").startswith("{")).select(entry.alias("e")).select("e.path", "e.timestamp").distinct()
 
-def _add_once(batch: DataFrame, table: str, staging: str, mark: str, run_date: str) -> None:
-    """Add a batch to a partitioned table under file names of its own.
+    def plain(path):
+        return F.regexp_replace(path, "^([a-zA-Z0-9]+:)/+", "$1/")
 
-    The rows are complete in the staging folder before a file moves. A batch
-    that runs again after a failure first removes what it had moved.
-    """
-    spark = batch.sparkSession
-    batch.write.mode("overwrite").partitionBy(run_date).parquet(staging)
-    fs, source = _folder(spark, staging)
-    target = _folder(spark, table)[1]
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    for old in fs.globStatus(path(target, f"{run_date}=*/{mark}-*")) or []:
-        fs.delete(old.getPath(), False)
-    for number, new in enumerate(fs.globStatus(path(source, f"{run_date}=*/part-*")) or []):
-        day = path(target, new.getPath().getParent().getName())
-        fs.mkdirs(day)
-        if not fs.rename(new.getPath(), path(day, f"{mark}-{number:05d}.parquet")):
-            raise OSError(f"cannot move {new.getPath()} to {day}")
-    fs.delete(source, True)
+    met = present.withColumn("_at", plain(F.col("path"))).join(taken.select(plain(F.col("path")).alias("_at"), "timestamp"), "_at")
+    return met.filter(F.col("now") != F.col("timestamp")).select("path").distinct()
 
 
 def load_new_files(
@@ -69,18 +50,22 @@ def load_new_files(
     checkpoint: str,
     run_date: str = RUN_DATE,
 ) -> None:
-    """Read every new file of a feed once, transform it and add it to a partitioned table.
+    """Read every new file of a feed once, transform it and add it to a table partitioned by run day and batch.
 
     The daily job in streaming form: the checkpoint in shared storage remembers
     the files already taken, so a repeated or restarted run adds nothing twice.
-    The files are plain ones, so a table may be fed by this and by
-    ``write_day`` or ``write_append`` alike. A file uploaded again under its old
-    name raises ``ChangedFileError``; its day is then loaded anew from files.
-    The call returns when all files present at its start are loaded.
+    A batch overwrites its own partitions and no others, so one that is killed
+    half-way and runs again replaces what it had written. Batch days go into the
+    same table with ``write_day(..., within=(BATCH,))``. A file uploaded again
+    under its old name raises ``ChangedFileError``; its day is then loaded anew
+    from files. The call returns when all files present at its start are loaded.
     """
     declared = FEEDS[feed] if isinstance(feed, str) else feed
-    ledger = f"{checkpoint}-files"
-    present = _refuse_changed(spark, landing, ledger).collect()  # names of one folder
+    changed = [r.path for r in changed_files(spark, landing, checkpoint).limit(20).collect()]
+    if changed:
+        raise ChangedFileError(
+            f"loaded before and uploaded again: {', '.join(sorted(changed))}; load their day anew from the files (write_day replaces it)"
+        )
     files = (
         spark.readStream.schema(declared.ddl)
         .options(header=True, enforceSchema=True, multiLine=declared.multi_line, escape='"', mode="FAILFAST", **declared.options)
@@ -89,9 +74,8 @@ def load_new_files(
     stream = f"landed-{zlib.crc32(checkpoint.encode()):08x}"
 
     def add(batch: DataFrame, number: int) -> None:
-        _add_once(batch, table, f"{checkpoint}-staging/{number}", f"{stream}-{number:08d}", run_date)
+        own = batch.withColumn(BATCH, F.lit(f"{stream}-{number:08d}"))
+        own.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run_date, BATCH).parquet(table)
 
     query = transform(files).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    schema = "path string, modificationTime timestamp, length long"
-    spark.createDataFrame([tuple(r) for r in present], schema).coalesce(1).write.mode("overwrite").parquet(ledger)
