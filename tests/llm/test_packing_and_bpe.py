@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import json
+import pathlib
 import random
 import zlib
 
@@ -16,9 +18,7 @@ FILE, RANKS = str(P.path("byte_bpe_50k.json")), str(P.path("byte_bpe_multi_50k.t
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(FILE)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(FILE)
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +38,7 @@ def test_word_ids_equal_the_tokenizers(tokenizer, reference):
     assert words.tokenizer_ids(FILE, P.PATTERN)(texts) == [
         np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)
     ]
+    assert words.tokenizer_ids(FILE, P.PATTERN)(["x<|endoftext|>y"])[0] == np.array([87, 50256, 88], "<u4").tobytes()
     replay = words.WordIds(P.PATTERN, bpe.MergeReplay(bpe.read_ranks(RANKS)))
     assert replay.of(texts) == [np.array(reference.encode_ordinary(t), "<u4").tobytes() for t in texts]
 
@@ -58,17 +59,40 @@ def test_replay_takes_a_lower_rank_first():
         assert np.frombuffer(replay([word])[0], "<u4").tolist() == made.encode_ordinary(word)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 1023, 1024, 1025, 4097])
-def test_lengths_are_powers_of_two(n):
-    pieces = packing.lengths(n)
-    assert sum(pieces) == n and all(p & (p - 1) == 0 and p <= 1024 for p in pieces)
-    assert len(pieces) == n // 1024 + bin(n % 1024).count("1")
+def test_ranks_and_file_agree_on_all_sorts_of_characters(tokenizer):
+    rng = random.Random(8)
+    encode = words.tokenizer_ids(FILE, P.PATTERN)
+    texts = []
+    for _ in range(3000):
+        c = [chr(x) for x in (rng.randrange(0x110000) for _ in range(6)) if not 0xD800 <= x < 0xE000] + ["x", " ", "1", "\n", "  "]
+        texts.append("".join(rng.choices(c, k=14)))
+    assert encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_ranks_are_refused_where_merges_say_otherwise(tokenizer):
+    made = json.loads(pathlib.Path(FILE).read_text())
+    assert words._ranks(made, tokenizer, P.PATTERN) and words._ranks(made, tokenizer, "[a-z]+") is None
+    made["model"]["merges"][5:7] = made["model"]["merges"][6:4:-1]
+    assert words._ranks(made, tokenizer, P.PATTERN) is None
+    assert words._ranks(made | {"normalizer": {"type": "NFC"}}, tokenizer, P.PATTERN) is None
+
+
+def test_pieces_are_powers_of_two():
+    totals = np.array([1, 2, 3, 0, 1023, 1024, 1025, 4097, 6, 1])
+    row, start, size = packing.pieces(totals)
+    for k, n in enumerate(totals.tolist()):
+        own = np.flatnonzero(row == k)
+        assert start[own].tolist() == np.append(0, np.cumsum(size[own])).tolist()[: len(own)] and size[own].sum() == n
+        assert all(p & (p - 1) == 0 and p <= 1024 for p in size[own].tolist()) and sorted(size[own], reverse=True) == size[own].tolist()
+        assert len(own) == n // 1024 + bin(n % 1024).count("1")
 
 
 def test_pack(spark, messy, messy_rows, empty, tokenizer):
     rows = packing.pack(messy, FILE, P.PATTERN).collect()
     ids = {r["sequence_id"] for r in rows}
-    assert len(ids) == len(rows) and all(r["offset"] == 0 for r in rows)
+    assert len(ids) == len(rows) and all(r["offset"] == 0 and 1 << r["bucket"] == r["length"] for r in rows)
+    in_order = [r["bucket"] for r in sorted(rows, key=lambda r: r["sequence_id"])]
+    assert in_order == sorted(in_order)
     found = {}
     for r in rows:
         found.setdefault((r["doc_id"], r["doc_tokens"]), []).append((r["start"], r["ids"], r["ids_crc32"], r["length"]))

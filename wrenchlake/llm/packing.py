@@ -3,8 +3,8 @@
 A document of n tokens is cut into as many pieces of the full length as fit and
 then into the powers of two of the binary form of the rest. Each piece is a
 sequence of its own: its length is a power of two, so nothing is padded, and no
-sequence crosses documents. Sequences of one length form a bucket; a training
-batch is drawn from one bucket.
+sequence crosses documents. Sequences of one length form a bucket, a range of
+sequence ids; a training batch is drawn from one bucket.
 
 Defined cases: a null or empty text is its end token alone, one piece of length
 1. Equal rows are packed each on their own. An empty table gives no piece.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +29,19 @@ END_ID = 0
 _encoders: dict[tuple[str, str], Callable] = {}
 
 
-def lengths(n: int, longest: int = LONGEST) -> list[int]:
-    """Piece lengths of n tokens, longest first; ``longest`` is a power of two."""
-    rest = n % longest
-    return [longest] * (n // longest) + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
+def pieces(totals: np.ndarray, longest: int = LONGEST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, start and length of the pieces of documents of so many tokens, in order."""
+    full, rest = totals // longest, totals % longest
+    rows, starts, sizes = [np.repeat(np.arange(len(totals)), full)], [], [np.full(int(full.sum()), longest)]
+    starts.append(longest * (np.arange(int(full.sum())) - np.repeat(np.cumsum(full) - full, full)))
+    for k in range(longest.bit_length() - 1):
+        own = np.flatnonzero(rest >> k & 1)
+        rows.append(own)
+        starts.append(totals[own] - rest[own] % (2 << k))  # what is behind it are the smaller powers and itself
+        sizes.append(np.full(len(own), 1 << k))
+    row, start, size = map(np.concatenate, (rows, starts, sizes))
+    order = np.lexsort((start, row))
+    return row[order], start[order], size[order]
 
 
 def _encoder(path: str, pattern: str) -> Callable:
@@ -48,40 +58,38 @@ def pack(
     end_id: int = END_ID,
     with_ids: bool = True,
 ) -> DataFrame:
-    """One row per sequence: doc_id, start, length, ids, doc_tokens, ids_crc32.
+    """One row per sequence: doc_id, start, length, ids, doc_tokens, ids_crc32, bucket, sequence_id, offset.
 
     ``ids`` (little-endian unsigned 32-bit) is left out with ``with_ids=False``.
-    ``length`` is the bucket; ``sequence_id`` is unique. Rows are made where
-    their document is read, without a shuffle.
+    ``bucket`` is the binary logarithm of the length. Sequences of one bucket
+    have ids of one range, so a reader of ids meets buckets one by one; ids are
+    unique. Rows are made where their document is read, without a shuffle.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "bucket"]
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer_path, pattern)
         for batch in batches:
             for part in texts.slices(batch):
-                out: dict[str, list] = {name: [] for name in [*names, "ids"]}
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist()), strict=True):
-                    ids += end
-                    start, total = 0, len(ids) // 4
-                    for length in lengths(total, longest):
-                        piece = ids[4 * start : 4 * (start + length)]
-                        for name, value in zip(names, (doc_id, start, length, zlib.crc32(piece), total), strict=True):
-                            out[name].append(value)
-                        if with_ids:
-                            out["ids"].append(piece)
-                        start += length
-                columns = [pa.array(out[name], pa.int64()) for name in names]
+                ids = [own + end for own in encode(part.column("text").to_pylist())]
+                totals = np.array([len(own) // 4 for own in ids])
+                row, start, length = pieces(totals, longest)
+                cuts = zip(row.tolist(), (4 * start).tolist(), (4 * (start + length)).tolist(), strict=True)
+                found = [ids[k][a:b] for k, a, b in cuts]
+                crc = np.fromiter(map(zlib.crc32, found), np.int64, len(found))
+                bucket = np.bitwise_count((length - 1).astype(np.uint64)).astype(np.int64)
+                columns = [part.column("doc_id").take(pa.array(row)), *map(pa.array, (start, length, crc, totals[row], bucket))]
                 if with_ids:
-                    columns.append(pa.array(out["ids"], pa.binary()))
+                    columns.append(pa.array(found, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, [*names, "ids"][: len(columns)])
 
     schema = ", ".join(f"{name} long" for name in names) + (", ids binary" if with_ids else "")
-    pieces = texts.id_and_text(docs).mapInArrow(cut, schema)
-    return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    made = texts.id_and_text(docs).mapInArrow(cut, schema)
+    sequence = F.shiftleft("bucket", 58).bitwiseOR(F.monotonically_increasing_id())
+    return made.withColumns({"sequence_id": sequence, "offset": F.lit(0).cast("long")})
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
