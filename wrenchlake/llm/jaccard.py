@@ -11,12 +11,13 @@ of the band below) that agree on a segment are candidates.
 Candidates are first linked as stars, to the least set of their bucket. A short
 parity sketch, one bit per shingle, whose Hamming distance is at most the
 symmetric difference, discards most false ones; the rest are verified on the
-whole sets. Where members of a bucket ended up in different components and the
-pairs across are many, stars around other members, chosen by hash, are tried
-while that settles most of them; at last all pairs across components of a
-bucket that the sketches allow are verified.
-No link that could join two components is lost, and a bucket of thousands of
-similar sets costs a few stars.
+whole sets. The leader of a bucket has then met all its members. Buckets whose
+other members still lie in several components are dealt out in pairs of blocks
+of bounded size, by (bucket, block, block): a task compares the sketches of two
+blocks at once as matrices and passes on only pairs across components that the
+sketches allow, and of the buckets two sets share only the least one does so.
+These pairs are verified as well. No pair that could join two components is
+lost, and no pair is a row before its sketches allow it.
 
 Defined cases: a null or empty text, or one without words, is the empty set:
 0 shingles, linked with nothing, a component of its own. A text with fewer
@@ -34,6 +35,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,10 +49,14 @@ SHINGLE = 5
 SIMILARITY = (80, 100)
 # Least length of a parity sketch in 64-bit words; it doubles until it has a bit for each shingle.
 SKETCH_WORDS = 16
-# Other stars are tried where pairs across components outnumber the rows of their buckets this many times.
-PAIRS_PER_ROW = 8
-# Different orders by which buckets pick the middle of another star.
-DICE = 8
+# Members of a block; two blocks are compared at once.
+BLOCK_SETS = 1_024
+# Words of sketches that are compared at once.
+STRIP_WORDS = 1 << 19
+# Buckets of a member that are looked through for a smaller common one; with more, a pair may come from several buckets.
+LISTED = 32
+# Sets that a task remembers to have met, to spare repeats.
+MET = 1 << 16
 # Rows of one bucket that are held to compare its members with earlier buckets.
 BUCKET_ROWS = 8_192
 
@@ -136,17 +142,20 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Arr
             yield part.column("doc_id"), texts.shingles(hashes, counts, size)
 
 
-def shingle_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles and set_id (null for the empty set) of every row."""
+def shingle_sets(docs: DataFrame, size: int = SHINGLE, row=None) -> DataFrame:
+    """doc_id, n_shingles, set_id (null for the empty set) and ``row`` (a long over ``docs``) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sets in _sets(batches, size):
-            own = [set_id(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(own, pa.int64())], ["doc_id", "n_shingles", "set_id"]
-            )
+        names = ["doc_id", "n_shingles", "set_id", "row"]
+        for batch in batches:
+            for part in texts.slices(batch):
+                hashes, _, counts = texts.words(*texts.utf8(part.column("text")))
+                sets = texts.shingles(hashes, counts, size)
+                own = pa.array([set_id(s) if len(s) else None for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), own, part.column("row")], names)
 
-    return texts.id_and_text(docs).mapInArrow(run, "doc_id long, n_shingles long, set_id long")
+    marked = docs.select(*texts.columns_of_id_and_text(), (F.lit(0) if row is None else row).cast("long").alias("row"))
+    return marked.mapInArrow(run, "doc_id long, n_shingles long, set_id long, row long")
 
 
 def _segment_rows(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
@@ -162,7 +171,7 @@ def _segment_rows(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
                 own = set_id(shingles)
                 if own in met:
                     continue
-                if len(met) >= 1_000_000:
+                if len(met) >= MET:
                     met.clear()
                 met.add(own)
                 band = bands.of(len(shingles))
@@ -179,9 +188,10 @@ def _segment_rows(docs: DataFrame, size: int, p: int, q: int) -> DataFrame:
 def _buckets(rows: DataFrame) -> DataFrame:
     """(bucket, leader, member) of every bucket with at least two sets; the leader is its own member too.
 
-    Rows arrive sorted by key. A bucket whose members equal those of an earlier
-    bucket of the same task is dropped. A bucket of more than BUCKET_ROWS rows
-    is passed on as it comes, so the largest one needs no more memory.
+    Rows arrive sorted by key. A bucket is named by its members, so equal ones
+    are one, in whatever task they arise. A bucket of more than BUCKET_ROWS rows
+    keeps its key and is passed on as it comes, so the largest one needs no more
+    memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,10 +209,10 @@ def _buckets(rows: DataFrame) -> DataFrame:
                 sign = hashlib.blake2b(members.tobytes(), digest_size=8).digest()
                 if sign in met:
                     continue
-                if len(met) >= 1_000_000:
+                if len(met) >= MET:
                     met.clear()
                 met.add(sign)
-                yield int(keys[a]), int(members[0]), members
+                yield int.from_bytes(sign, "little", signed=True), int(members[0]), members
 
         def out(found: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
             sizes = [len(m) for _, _, m in found]
@@ -262,7 +272,7 @@ def _looked_up(docs: DataFrame, size: int, wanted: DataFrame, whole: bool) -> Da
                     continue
                 own = set_id(shingles)
                 if own not in met and filtered.possible(np.array([own]))[0]:
-                    if len(met) >= 1_000_000:
+                    if len(met) >= MET:
                         met.clear()
                     met.add(own)
                     found.append((own, shingles))
@@ -280,25 +290,41 @@ def _looked_up(docs: DataFrame, size: int, wanted: DataFrame, whole: bool) -> Da
     return materialise(one.join(wanted, "set_id", "left_semi"), "sets")
 
 
-def _close(a: str, b: str, p: int, q: int):
-    """Whether sizes and sketches of two sides allow them to be similar: no similar pair fails this."""
-    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    words = F.least(F.size(f"s_{a}"), F.size(f"s_{b}"))
+def _folded(sketches: list[np.ndarray], words: int) -> np.ndarray:
+    """Sketches at one length: their parts of that length, XORed."""
+    out = np.empty((len(sketches), words), np.uint64)
+    for k, sketch in enumerate(sketches):
+        out[k] = np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
+    return out
+
 
-    def halved(name: str):
-        """The sketch at the length of the shorter one: its parts of that length, XORed."""
-        own = F.col(name)
-        parts = F.sequence(F.lit(0), F.floor(F.size(own) / words).cast("int") - 1)
+def _allowed(n_a: np.ndarray, n_b: np.ndarray, apart: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Whether sizes and sketch distances allow similarity: no similar pair fails this."""
+    return (np.minimum(n_a, n_b) * q >= np.maximum(n_a, n_b) * p) & (apart * (p + q) <= (n_a + n_b) * (q - p))
 
-        def together(place):
-            return F.aggregate(parts, F.lit(0).cast("long"), lambda total, k: total.bitwiseXOR(F.get(own, place + k * words)))
 
-        return F.when(F.size(own) > words, F.transform(F.sequence(F.lit(0), words - 1), together)).otherwise(own)
+def _sketches_of(column: pa.Array) -> list[np.ndarray]:
+    cuts = column.offsets.to_numpy()
+    values = column.values.to_numpy().view(np.uint64)
+    return [values[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
-    differ = F.zip_with(halved(f"s_{a}"), halved(f"s_{b}"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    apart = F.aggregate(differ, F.lit(0), lambda total, bits: total + bits)
-    sizes = F.least(n_a, n_b) * q >= F.greatest(n_a, n_b) * p
-    return F.when(sizes, apart * (p + q) <= (n_a + n_b) * (q - p)).otherwise(False)
+
+def _close(pairs: DataFrame, p: int, q: int) -> DataFrame:
+    """Of rows (a, b, n_a, n_b, s_a, s_b) the pairs (a, b) that sizes and sketches allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, second = (_sketches_of(batch.column(name)) for name in ("s_a", "s_b"))
+            words = np.array([min(len(x), len(y)) for x, y in zip(first, second, strict=True)], np.int64)
+            apart = np.zeros(batch.num_rows, np.int64)
+            for w in np.unique(words).tolist():
+                own = np.flatnonzero(words == w)
+                x, y = (_folded([side[k] for k in own], w) for side in (first, second))
+                apart[own] = np.bitwise_count(x ^ y).sum(1)
+            n_a, n_b = (batch.column(name).to_numpy().astype(np.int64) for name in ("n_a", "n_b"))
+            yield batch.filter(pa.array(_allowed(n_a, n_b, apart, p, q))).select(["a", "b"])
+
+    return pairs.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
 def _side(members: DataFrame, side: str) -> DataFrame:
@@ -320,7 +346,7 @@ class _Verifier:
         """The pairs (a, b) whose sets are similar."""
         p, q = self._p, self._q
         sides = pairs.join(_side(self._members, "a"), "a").join(_side(self._members, "b"), "b")
-        close = bounded(sides.filter(_close("a", "b", p, q)).select("a", "b"))
+        close = bounded(_close(sides, p, q))
         needed = close.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
         if self._held is not None:
             needed = needed.join(self._held.select("set_id"), "set_id", "left_anti")
@@ -340,21 +366,100 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _mixed(buckets: DataFrame, found: DataFrame) -> DataFrame:
-    """(bucket, member, component) of the buckets whose members lie in several components."""
-    own = buckets.join(found.withColumnRenamed("node", "member"), "member", "left").select(
-        "bucket", "member", F.coalesce("component", "member").alias("component")
+def _others(state: DataFrame) -> DataFrame:
+    """(member, component, bucket) of all members but the leader of a bucket."""
+    return state.select("member", "component", F.explode(F.array_except("buckets", "leads")).alias("bucket"))
+
+
+def _open_buckets(state: DataFrame) -> DataFrame:
+    """Buckets whose members, but the leader, lie in several components, and how many members those are."""
+    by_bucket = _others(state).groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("size"))
+    return by_bucket.filter("_low < _high").select("bucket", "size")
+
+
+def _met(left: dict, right: dict, same: bool, bucket: int, p: int, q: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Members of two blocks of a bucket that lie in different components and may be similar."""
+    words = min(min(map(len, side["sketch"])) for side in (left, right))
+    a, b = _folded(left["sketch"], words), _folded(right["sketch"], words)
+    # Which of the smaller buckets a member is in: two that share one of them meet there.
+    smaller = np.unique(np.concatenate([x for side in (left, right) for x in side["listed"]] or [np.zeros(0, np.int64)]))
+    smaller = smaller[smaller < bucket]
+
+    def inside(side: dict) -> np.ndarray:
+        out = np.zeros((len(side["listed"]), len(smaller)), np.float32)
+        for k, listed in enumerate(side["listed"]):
+            out[k, np.searchsorted(smaller, listed[listed < bucket])] = 1
+        return out
+
+    in_a, in_b = inside(left), inside(right)
+    strip = max(1, STRIP_WORDS // max(words * len(b), 1))
+    for at in range(0, len(a), strip):
+        own = slice(at, at + strip)
+        apart = np.bitwise_count(a[own, None, :] ^ b[None, :, :]).sum(2, dtype=np.int64)
+        found = _allowed(left["n"][own, None], right["n"][None, :], apart, p, q) & (left["component"][own, None] != right["component"][None, :])
+        if found.any() and len(smaller):
+            found &= in_a[own] @ in_b.T == 0
+        x, y = np.nonzero(found)
+        x += at
+        if same:
+            x, y = x[x < y], y[x < y]
+        if len(x):
+            yield left["member"][x], right["member"][y]
+
+
+def _across(state: DataFrame, buckets: DataFrame, members: DataFrame, p: int, q: int) -> DataFrame:
+    """Pairs (a, b) across components of a bucket that sizes and sketches allow.
+
+    A bucket of n members has n / BLOCK_SETS blocks. A task holds two of them.
+    """
+    rows = materialise(_others(state).join(bounded(buckets), "bucket"), "open")
+    listed = rows.groupBy("member").agg(F.array_sort(F.collect_set("bucket")).alias("listed"))
+    listed = listed.select("member", F.slice("listed", 1, LISTED).alias("listed"))
+    whole = rows.join(listed.join(members.withColumnRenamed("set_id", "member"), "member"), "member")
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK_SETS)).cast("int")
+    whole = whole.withColumn("own", F.pmod(F.xxhash64("member", "bucket"), blocks).cast("int"))
+    dealt = whole.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select(
+        "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "member", "component", "n", "sketch", "listed"
     )
-    mixed = own.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high")).filter("_low < _high")
-    return own.join(mixed.select("bucket"), "bucket", "left_semi")
+    key = ["bucket", "low", "high"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def side(table: pa.Table, block: int) -> dict | None:
+            own = table.filter(pa.compute.equal(table.column("own"), block)).combine_chunks()
+            if not own.num_rows:
+                return None
+            one = {name: own.column(name).chunk(0) for name in ("sketch", "listed", "member", "component", "n")}
+            out = {name: one[name].to_numpy().astype(np.int64) for name in ("member", "component", "n")}
+            return out | {"sketch": _sketches_of(one["sketch"]), "listed": [x.view(np.int64) for x in _sketches_of(one["listed"])]}
+
+        def compared() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            bucket, low, high = (table.column(name)[0].as_py() for name in key)
+            left = side(table, low)
+            right = left if low == high else side(table, high)
+            if left and right:
+                for x, y in _met(left, right, low == high, bucket, p, q):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
-def _left(mixed: DataFrame) -> tuple[int, int]:
-    """Rows of the mixed buckets, and the pairs across components in them."""
-    parts = mixed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    buckets = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    found = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.lit(0.0))).first()
-    return found[0], int(found[1])
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = [batch.column(name).to_numpy() for name in key]
+            turns = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in names])) + 1
+            for a, b in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows], strict=True):
+                part = batch.slice(a, b - a)
+                if held and any(held[0].column(name)[0] != part.column(name)[0] for name in key):
+                    yield from compared()
+                    held = []
+                held.append(part)
+        if held:
+            yield from compared()
+
+    ordered = dealt.repartition(*key).sortWithinPartitions(*key)
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -363,78 +468,73 @@ def similar_sets(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, in
     Sets A and B are similar if q * |A and B| >= p * |A or B| for similarity (p, q).
     """
     p, q = similarity
-    buckets = materialise(_buckets(_segment_rows(docs, size, p, q)).hint("rebalance"), "buckets")
-    members = _looked_up(docs, size, buckets.select(F.col("member").alias("set_id")).distinct(), whole=False)
+    rows = _buckets(_segment_rows(docs, size, p, q))
+    # One row per member, with its buckets and their leaders; buckets with the same members become one here.
+    leads = F.collect_set(F.when(F.col("leader") == F.col("member"), F.col("bucket"))).alias("leads")
+    held = materialise(rows.groupBy("member").agg(F.collect_set("leader").alias("leaders"), F.collect_set("bucket").alias("buckets"), leads), "members")
+    members = _looked_up(docs, size, held.select(F.col("member").alias("set_id")), whole=False)
     verified = _Verifier(docs, size, members, p, q)
-    stars = _ordered(buckets.filter("member != leader").select(F.col("leader").alias("a"), F.col("member").alias("b")))
-    buckets = buckets.select("bucket", "member")
+    stars = held.select(F.explode("leaders").alias("a"), F.col("member").alias("b")).filter("a != b")
     bound = members.count()
-    found = components(verified(stars), bound)
-    # Buckets that still span many components' pairs try other stars, each around a member that its own hash picks, as
-    # long as that settles half of them.
-    mixed = materialise(_mixed(buckets, found), "mixed", bound)
-    (rows, pairs), before, turn = _left(mixed), None, 0
-    while pairs > PAIRS_PER_ROW * rows and (before is None or 2 * pairs <= before):
-        turn += 1
-        dice = F.xxhash64(F.pmod("bucket", F.lit(DICE)), "member", F.lit(turn))  # few orders, so that buckets agree on hubs
-        hubs = mixed.groupBy("bucket").agg(F.min_by("member", dice).alias("a"), F.min_by("component", dice).alias("_hub"))
-        stars = _ordered(mixed.join(hubs, "bucket").filter("component != _hub").select("a", F.col("member").alias("b")))
-        known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        found = components(known.unionByName(verified(stars)), 2 * bound)
-        mixed = materialise(_mixed(mixed.select("bucket", "member"), found), "mixed", rows)
-        before = pairs
-        rows, pairs = _left(mixed)
-    if not rows:
+    found = components(verified(_ordered(stars)), bound)
+    own = held.join(found.withColumnRenamed("node", "member"), "member", "left")
+    state = materialise(own.select("member", F.coalesce("component", "member").alias("component"), "buckets", "leads"), "state")
+    buckets = materialise(_open_buckets(state), "open_buckets")
+    if buckets.isEmpty():
         return found
-    # What then remains is compared pair by pair across components.
-    own = mixed.join(_side(members, "a"), mixed.member == F.col("a")).drop("member")
-    others = mixed.select("bucket", "member", F.col("component").alias("_other")).join(_side(members, "b"), mixed.member == F.col("b")).drop("member")
-    across = own.join(others, (own.bucket == others.bucket) & (F.col("component") < F.col("_other")) & _close("a", "b", p, q))
     known = found.select(F.col("component").alias("a"), F.col("node").alias("b"))
-    return components(known.unionByName(verified(_ordered(across.select("a", "b")))), 2 * bound)
+    return components(known.unionByName(verified(_across(state, buckets, members, p, q))), 2 * bound)
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles, set_id, component_set, component_id of every row.
-
-    component_id is the least doc_id of the component, component_set its least
-    set id (null for the empty set).
-    """
-    sets = materialise(shingle_sets(docs, size).hint("rebalance"), "sets")
+def _classified(docs: DataFrame, size: int, similarity: tuple[int, int], row=None) -> DataFrame:
+    """doc_id, n_shingles, set_id, row, component_set and component_id of every row."""
+    sets = materialise(shingle_sets(docs, size, row).hint("rebalance"), "sets")
     least = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("_least"), F.count(F.lit(1)).alias("_rows"))
     similar = similar_sets(docs, size, similarity)
     named = least.join(similar.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("_root", F.coalesce("component", "set_id"))
     roots = named.groupBy("_root").agg(F.min("_least").alias("component_id"), F.sum("_rows").alias("_rows")).filter("_rows > 1").drop("_rows")
     named = materialise(named.select("set_id", "_root").join(roots, "_root"), "named")
-    linked = named.withColumn("_linked", F.lit(True))
-    joined = sets.join(linked, "set_id", "left")
+    joined = sets.join(named.withColumn("_linked", F.lit(True)), "set_id", "left")
     return joined.select(
-        "doc_id", "n_shingles", "set_id", F.coalesce("_root", "set_id").alias("component_set"),
+        "doc_id", "n_shingles", "set_id", "row", F.coalesce("_root", "set_id").alias("component_set"),
         F.when(F.col("_linked"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
+def near_duplicates(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles, set_id, component_set, component_id of every row.
+
+    component_id is the least doc_id of the component, component_set its least
+    set id (null for the empty set).
+    """
+    return _classified(docs, size, similarity).drop("row")
+
+
 def first_of_each(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """``docs`` without near duplicates: of each component the row that names it stays (one, if it is repeated).
+    """``docs`` without near duplicates: of each component one row stays.
 
-    Rows without words stay, as they are linked with nothing.
+    It is the row with the least id; of several with that id the one with the
+    least set id, then with the least hash over all its columns, so the choice
+    is the same in every run. Equal rows leave one. Rows without words stay, as
+    they are linked with nothing.
     """
-    found = near_duplicates(docs, size, similarity)
-    rank = F.struct(F.col("doc_id").isNull().alias("lacking"), "doc_id", "set_id")
-    least = found.filter(F.col("set_id").isNotNull()).groupBy("component_set").agg(F.min(rank).alias("_kept"))
-    least = materialise(least.select(F.col("_kept.doc_id").alias("_keep_id"), F.col("_kept.set_id").alias("_keep_set")), "kept")
-
-    def ids(series: Iterator) -> Iterator:
-        import pandas as pd
-
-        for column in series:
-            text = pa.array(column, pa.string(), from_pandas=True).fill_null("")
-            batch = pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), text], ["doc_id", "text"])
-            own = [set_id(s) if len(s) else None for _, sets in _sets(iter([batch]), size) for s in sets]
-            yield pd.Series(own, dtype="Int64")
-
-    one = F.pandas_udf(ids, "long", functionType=F.PandasUDFType.SCALAR_ITER)
-    marked = docs.withColumn("_set_id", one(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_keep_id")) & (F.col("_set_id") == F.col("_keep_set"))
-    stay = marked.filter(F.col("_set_id").isNotNull()).join(least, on, "left_semi").dropDuplicates(["doc_id", "_set_id"])
-    return stay.unionByName(marked.filter(F.col("_set_id").isNull())).drop("_set_id")
+    kinds = dict(docs.dtypes)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if "map<" not in kinds[c]])
+    rank = F.struct(F.col("doc_id").isNull().alias("lacking"), "doc_id", "set_id", "row")
+    found = materialise(_classified(docs, size, similarity, row), "classified")
+    blank = found.filter(F.col("set_id").isNull())
+    firsts = found.filter(F.col("set_id").isNotNull()).groupBy("component_set").agg(F.min(rank).alias("kept")).select("kept.doc_id", "kept.row")
+    once = firsts.withColumn("once", F.lit(True)).unionByName(blank.select("doc_id", "row").distinct().withColumn("once", F.lit(False)))
+    key, kept_id, kept_row, single = texts.free_names(docs, "_key", "_kept_id", "_kept_row", "_once")
+    names = once.select(F.col("doc_id").alias(kept_id), F.col("row").alias(kept_row), F.col("once").alias(single))
+    on = (F.col(key) == F.col(kept_row)) & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id))
+    met = docs.withColumn(key, row).join(bounded(names), on).drop(kept_id, kept_row)
+    # Rows that are equal in every column and not blank: one of each stays.
+    worded = found.filter(F.col("set_id").isNotNull()).join(firsts, "row", "left_semi")
+    again = bounded(worded.groupBy("row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("row").alias(kept_row)))
+    if again.isEmpty():
+        return met.select(*docs.columns)
+    repeated = F.col(single) & (F.col(key) == F.col(kept_row))
+    alone = met.join(again, repeated, "left_anti")
+    one = met.join(again, repeated, "left_semi").dropDuplicates([key])
+    return alone.unionByName(one).select(*docs.columns)

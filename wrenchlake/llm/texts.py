@@ -8,6 +8,7 @@ lower case; they are hashed to 64 bits.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +35,35 @@ _STEPS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+_C = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker between two tasks holds little."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):  # glibc
+        _C.malloc_trim(0)
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Column names like the wanted ones that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def id_and_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Just the id (long) and the text (null as empty)."""
-    return docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
-    )
+    return docs.select(*columns_of_id_and_text(id_column, text_column))
+
+
+def columns_of_id_and_text(id_column: str = "doc_id", text_column: str = "text") -> list:
+    return [F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")]
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -52,6 +77,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         stop = min(max(stop, start + 1), batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+    give_back()
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
