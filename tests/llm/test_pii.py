@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from conftest_helpers import frame
 
@@ -104,3 +105,33 @@ def test_prefilters_let_every_loose_shape_through():
         assert (base, loose) == ([], [(0, 0, len(text))]) and len(codes) == 1
     hexes = "fe:dc:ba:ab:cd:ef:fa:ce"
     assert pii.candidates_of(hexes)[1] == [(0, 1, len(hexes))]
+
+
+def test_a_long_text_takes_linear_time():
+    """10 MB of numbers that look like phones: every loose span meets its neighbours only."""
+    rng = random.Random(6)
+    lines = [f"({rng.randint(10, 999)}) {rng.randint(200, 999)} {rng.randint(1000, 9999)} or +49 30 {rng.randint(100000, 9999999)}, " for _ in range(300_000)]
+    text = "".join(lines)
+    assert len(text) > 9_000_000
+    start = time.process_time()
+    base, loose, codes = pii.candidates_of(text)
+    kept = pii.accepted_spans(base, loose, codes, dict.fromkeys(codes, 0.9))
+    assert time.process_time() - start < 120 and len(base) > 200_000 and len(loose) > 200_000
+    assert all(a[2] <= b[0] for a, b in zip(kept, kept[1:]))
+
+
+def test_overlaps_equal_the_plain_ones():
+    rng = random.Random(7)
+    for _ in range(200):
+        base = sorted((a, rng.randrange(4), a + rng.randint(1, 9)) for a in rng.sample(range(200), 12))
+        text = "".join(rng.choices("0123 ()-+./", k=220))
+        plain = [(m.start(), k, m.end()) for k, p, needs in pii._LOOSE if not needs or any(x in text for x in needs) for m in p.finditer(text)]
+        plain = sorted(x for x in plain if not any(x[0] < end and start < x[2] for start, _, end in base))
+        assert pii.loose_spans(text, base) == plain
+        codes = [rng.randrange(40) for _ in [*base, *plain]]
+        accepted = {c: rng.random() for c in codes}
+        kept = []
+        for span, code in sorted(zip(plain, codes[len(base) :], strict=True), key=lambda x: (-accepted[x[1]], x[0])):
+            if accepted[code] >= 0.5 and not any(span[0] < b and a < span[2] for a, _, b in kept):
+                kept.append(span)
+        assert pii.accepted_spans(base, plain, codes, accepted) == sorted(base + kept)

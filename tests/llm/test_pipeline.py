@@ -15,14 +15,19 @@ DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(llm.QUERIES) <= set(names)
 
 
 @pytest.mark.parametrize("name", sorted(llm.QUERIES, key=lambda n: int(n[2:].split("_")[0])))
 def test_query_covers_its_table(spark, name):
     rows = llm.QUERIES[name](spark, SF)
-    table, key = {"op4": ("embeddings", "query_id"), "op6": ("pages", "page_id")}.get(name[:3], ("documents", "doc_id"))
+    if name.startswith("op13"):
+        convs = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id").distinct().count()
+        assert [r["n_convs"] for r in rows.filter("depth = 0").collect()] == [convs]
+        return
+    others = {"op4": ("embeddings", "query_id"), "op6": ("pages", "page_id"), "op11": ("benchmark", "item_id")}
+    table, key = others.get(name.split("_")[0], ("documents", "doc_id"))
     own = spark.read.parquet(f"{SF}/{table}.parquet")
     found = {r[0] for r in rows.select(key).distinct().collect()}
     want = {r[0] for r in own.select(own.columns[0]).collect()}

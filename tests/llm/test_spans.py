@@ -2,7 +2,9 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 from conftest_helpers import frame, prose, words_of
+from pyspark.sql import functions as F
 
 from wrenchlake.llm import spans
 
@@ -124,3 +126,51 @@ def test_every_fifty_words_inside_sentences_go(spark):
             first, second = rows[2 * k][1], rows[2 * k + 1][1]
             assert kept[2 * k] == first
             assert 31 <= len(second.split()) - len(kept[2 * k + 1].split()) <= size
+
+
+def test_internal_names_are_free(spark):
+    rng = random.Random(3)
+    rows = [(k, prose(rng, 40)) for k in range(3)]
+    rows += [(9, rows[0][1])]
+    docs = frame(spark, rows)
+    plain = spans.remove_repeated(docs)
+    for name in ("_doc", "_content", "_gone", "_cut", "_sentences", "_removed"):
+        docs = docs.withColumn(name, F.lit(name))
+    done = spans.remove_repeated(docs)
+    assert done.columns[:-2] == docs.columns
+    texts_of = lambda df: sorted((r["doc_id"], r["text"], r[-2], r[-1]) for r in df.collect())
+    assert texts_of(done) == texts_of(plain) and {r["_cut"] for r in done.select("_cut").collect()} == {"_cut"}
+
+
+def plain_anchors(hashes):
+    """Words that are the least of some REACH consecutive ones, of equal ones the last; all by comparing."""
+    out, reach = set(), spans.REACH
+    for at in range(len(hashes) - reach + 1):
+        window = hashes[at : at + reach]
+        out.add(at + max(k for k, h in enumerate(window) if h == min(window)))
+    return sorted(out)
+
+
+def test_anchored_runs_word_by_word():
+    """Runs of WINDOW words begin at the anchors, stay in their row and are equal where their words are."""
+    rng = np.random.default_rng(12)
+    counts = np.array([0, 200, 19, 33, 0, 120, 31, 50])
+    hashes = rng.integers(0, 90, int(counts.sum())).astype(np.uint64)
+    passage = rng.integers(0, 2**63, 60).astype(np.uint64)
+    hashes[40:100], hashes[270:330] = passage, passage
+    anchors, at = [], 0
+    for n in counts.tolist():
+        anchors += [at + k for k in plain_anchors(hashes[at : at + n].tolist())]
+        at += n
+    assert spans.anchors(hashes, counts).tolist() == anchors
+    starts, stops = np.cumsum(counts) - counts, np.cumsum(counts)
+    row = np.repeat(np.arange(len(counts)), counts)
+    found, begin, size, rows = spans.runs(hashes, counts, starts[counts > 0], (counts > 0).astype(int), 10**6, 12)
+    assert begin.tolist() == [a for a in anchors if a + spans.WINDOW <= stops[row[a]]] and set(size.tolist()) == {spans.WINDOW}
+    assert rows.tolist() == row[begin].tolist()
+    words = {}
+    for span, a in zip(found.tolist(), begin.tolist(), strict=True):
+        words.setdefault(span, set()).add(tuple(hashes[a : a + spans.WINDOW].tolist()))
+    assert all(len(x) == 1 for x in words.values())
+    both = [a for a in begin.tolist() if 40 <= a and a + spans.WINDOW <= 100]
+    assert both and {a + 230 for a in both} <= set(begin.tolist())

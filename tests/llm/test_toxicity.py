@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -83,3 +84,55 @@ def test_long_texts_are_scored_by_their_worst_window(spark):
     weights[next(toxicity._present(*texts.utf8(pa.array(["~{|}~^"]))))] = 1.0
     late = frame(spark, [(1, "a" * 990_000 + "~{|}~^" + "a" * 10_000), (2, "a" * 1_000_000)]).drop("score")
     assert {r["doc_id"]: r["predicted"] for r in toxicity.score(late, toxicity.Model(weights, -3.0)).collect()} == {1: 1, 2: 0}
+
+
+def plain_bins(text):
+    """Bins of a text, gram by gram, as the module states them."""
+    lowered = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    out = set()
+    for n in toxicity.ORDERS:
+        for at in range(len(lowered) - n + 1):
+            rolled = 0
+            for b in lowered[at : at + n]:
+                rolled = (rolled * 0x01000193 + b + 1) & 0xFFFFFFFF
+            mixed = ((rolled ^ (rolled >> 15)) * 0x85EBCA6B + (n - 1) * 0x9E37) & 0xFFFFFFFF
+            out.add((mixed ^ (mixed >> 13)) & (toxicity.BINS - 1))
+    return out
+
+
+def test_scores_equal_the_stated_formula(spark):
+    """Counts, ratios and their errors, and scores, all by plain sets and sums; the fit is a stationary point."""
+    rows, labels = corpus(600)
+    rows, labels = rows + [(600, ""), (601, "Été BON")], labels + [(600, 1, 0), (601, 1, 0)]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train(toxicity.labelled(frame(spark, rows).repartition(3), marks))
+    bins, y = [plain_bins(text) for _, text in rows], [toxic for _, _, toxic in labels]
+    sizes = [y.count(0), y.count(1)]
+    counts = [Counter(b for own, t in zip(bins, y, strict=True) if t == c for b in own) for c in (0, 1)]
+    scales = {}
+    for b in counts[0].keys() | counts[1].keys():
+        n = [counts[0][b], counts[1][b]]
+        rate = [(n[c] + 1) / (sizes[c] + 2) for c in (0, 1)]
+        ratio = np.log(rate[1]) - np.log(rate[0])
+        error = np.sqrt((1 - rate[1]) / (n[1] + 1) + (1 - rate[0]) / (n[0] + 1))
+        if sum(n) >= toxicity.LEAST_TEXTS and abs(ratio) / error >= toxicity.LEAST_Z:
+            scales[b] = ratio
+    assert set(np.flatnonzero(model.weights).tolist()) <= scales.keys() and len(scales) > 2
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score(frame(spark, rows).drop("score"), model).collect()}
+    margins = [model.intercept + sum(model.weights[b] for b in own) for own in bins]
+    assert all(abs(scored[k] - 1 / (1 + np.exp(-m))) < 1e-9 for (k, _), m in zip(rows, margins, strict=True))
+    wrong = [1 / (1 + np.exp(-m)) - t for m, t in zip(margins, y, strict=True)]
+    assert abs(np.mean(wrong)) < 1e-3
+    for b, scale in scales.items():
+        slope = scale * sum(w for w, own in zip(wrong, bins, strict=True) if b in own) / len(y) + toxicity.RIDGE * model.weights[b] / scale
+        assert abs(slope) < 2e-2
+
+
+def test_chunks_of_the_fit_change_nothing(monkeypatch):
+    rng = np.random.default_rng(3)
+    found = [np.sort(rng.choice(40, rng.integers(0, 9), replace=False)).astype(np.int32) for _ in range(60)]
+    y, scale = rng.integers(0, 2, 60).astype(float), rng.normal(size=40)
+    whole = toxicity._fit(found, y, scale, 0.3)
+    monkeypatch.setattr(toxicity, "FIT_CHUNK", 7)
+    parts = toxicity._fit(found, y, scale, 0.3)
+    assert np.allclose(whole[0], parts[0]) and np.isclose(whole[1], parts[1])

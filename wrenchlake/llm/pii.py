@@ -22,10 +22,11 @@ pattern is written to pass over a text once.
 
 from __future__ import annotations
 
-import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -114,12 +115,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Looser shapes that overlap no base span."""
     out, lower = [], text.lower()
+    starts = [start for start, _, _ in base]
+    furthest = list(accumulate((end for _, _, end in base), max))  # end of all base spans up to each
     for kind, pattern, needs in _LOOSE:
         if needs and not any(x in lower for x in needs):
             continue
         for found in pattern.finditer(text):
             a, b = found.span()
-            if not any(a < end and start < b for start, _, end in base):
+            before = bisect_left(starts, b)
+            if not before or furthest[before - 1] <= a:
                 out.append((a, kind, b))
     return sorted(out)
 
@@ -210,15 +214,15 @@ def fit(counts: dict[int, int], rounds: int = 50, steps: int = 500) -> Model:
         c = unpack_code(code)
         on = [("kind", c["kind"])] + [(name, c["kind"], c[name]) for name in ("speaks", "touched", "valid", "near", "size", "varied", "marks")]
         columns.append(on)
+    # One feature of each sort is on, so a code is eight places; codes times features would be gigabytes at the bound.
     names = {name: k for k, name in enumerate(sorted({x for on in columns for x in on}, key=repr))}
-    design = np.zeros((len(codes), len(names)))
-    for row, on in enumerate(columns):
-        design[row, [names[x] for x in on]] = 1
+    design = np.array([[names[x] for x in on] for on in columns])
     coef, share = np.zeros(len(names)), weight / weight.sum()
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(design @ coef, -30, 30)))
-        coef -= 1.0 * (design.T @ (share * (p - truth)) + 1e-4 * coef)
-    p = 1 / (1 + np.exp(-np.clip(design @ coef, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(coef[design].sum(1), -30, 30)))
+        pull = np.repeat(share * (p - truth), design.shape[1])
+        coef -= 1.0 * (np.bincount(design.ravel(), pull, len(names)) + 1e-4 * coef)
+    p = 1 / (1 + np.exp(-np.clip(coef[design].sum(1), -30, 30)))
     return Model({c: float(x) for c, x in zip(codes, p, strict=True)}, tuple(float(x) for x in right))
 
 
@@ -232,7 +236,7 @@ def candidates_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int
     places = sorted(x[0] for x, _ in every)
     codes = []
     for (start, kind, end), exact in every:
-        at = int(np.searchsorted(places, start)) if len(places) > 8 else sum(p < start for p in places)
+        at = bisect_left(places, start)
         near = (at > 0 and start - places[at - 1] < 80) or (at + 1 < len(places) and places[at + 1] - start < 80)
         codes.append(code_of(text, start, kind, end, exact, near))
     return base, loose, codes
@@ -240,11 +244,14 @@ def candidates_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int
 
 def accepted_spans(base: list, loose: list, codes: list[int], accepted: dict[int, float]) -> list[tuple[int, int, int]]:
     """All base spans, and of the looser ones the accepted; of overlapping ones the more likely."""
-    kept = []
+    kept: list[tuple[int, int, int]] = []  # in order; they do not overlap, so a new one meets its neighbours only
     ranked = sorted(zip(loose, codes[len(base) :], strict=True), key=lambda x: (-accepted.get(x[1], 0.0), x[0]))
     for span, code in ranked:
-        if accepted.get(code, 0.0) >= 0.5 and not any(span[0] < b and a < span[2] for a, _, b in kept):
-            kept.append(span)
+        if accepted.get(code, 0.0) < 0.5:
+            break
+        at = bisect_left(kept, span)
+        if (at == 0 or kept[at - 1][2] <= span[0]) and (at == len(kept) or span[2] <= kept[at][0]):
+            kept.insert(at, span)
     return sorted(base + kept)
 
 
@@ -323,11 +330,3 @@ def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:
     one = F.pandas_udf(run, "string", functionType=F.PandasUDFType.SCALAR_ITER)
     return docs.withColumn("text", one(F.col("text").cast("string")))
 
-
-def base_digest(spans) -> object:
-    """sha256 (hex) of the base string, as a column."""
-    return F.sha2(spans, 256)
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

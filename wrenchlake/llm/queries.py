@@ -31,7 +31,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents"))
-    return found.withColumn("base_sha256", F.sha2("base", 256)).drop("base")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
 
 
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,8 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = spans.remove_repeated(_table(spark, sf_dir, "documents"))
-    return done.select("doc_id", "text", F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))
+    sentences, removed = done.columns[-2:]
+    return done.select("doc_id", "text", F.col(sentences).alias("n_sentences"), F.col(removed).alias("n_removed"))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

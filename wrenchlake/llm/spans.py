@@ -197,15 +197,18 @@ def _later(rows: DataFrame) -> DataFrame:
 
 
 def remove_repeated(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``docs`` with ``text`` rid of repeated spans, and _sentences, _removed: how many it had and how many went whole."""
+    """``docs`` with ``text`` rid of repeated spans, and two columns behind: how many sentences it had, how many went whole.
+
+    These are _sentences and _removed, or these names and underscores where
+    ``docs`` has such columns.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc, content, marks, done_name, n_all, n_gone = texts.free_names(docs, "_doc", "_content", "_gone", "_cut", "_sentences", "_removed")
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("content"))
     later = _later(_occurrences(own, run, least_words))
-    gone = later.groupBy(F.col("doc_id").alias("_doc"), F.col("content").alias("_content")).agg(
-        F.collect_set(F.struct("word", "words")).alias("_gone")
-    )
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_content"))
-    met = docs.join(gone, on, "left").drop("_doc", "_content")
+    gone = later.groupBy(F.col("doc_id").alias(doc), F.col("content").alias(content)).agg(F.collect_set(F.struct("word", "words")).alias(marks))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(content))
+    met = docs.join(gone, on, "left").drop(doc, content)
 
     def cut(frames: Iterator) -> Iterator:
         import pandas as pd
@@ -241,6 +244,6 @@ def remove_repeated(docs: DataFrame, run: int = RUN, least_words: int = LEAST_WO
             yield pd.DataFrame({"text": [w if k is None else k for k, w in zip(kept, whole, strict=True)], "sentences": total, "removed": lost})
 
     one = F.pandas_udf(cut, "text string, sentences long, removed long", functionType=F.PandasUDFType.SCALAR_ITER)
-    done = met.withColumn("_cut", one(F.col("text").cast("string"), F.col("_gone")))
-    columns = [F.col("_cut.text").alias("text") if name == "text" else F.col(f"`{name}`") for name in docs.columns]
-    return done.select(*columns, F.col("_cut.sentences").alias("_sentences"), F.col("_cut.removed").alias("_removed"))
+    done = met.withColumn(done_name, one(F.col("text").cast("string"), F.col(marks)))
+    columns = [F.col(f"{done_name}.text").alias("text") if name == "text" else F.col(f"`{name}`") for name in docs.columns]
+    return done.select(*columns, F.col(f"{done_name}.sentences").alias(n_all), F.col(f"{done_name}.removed").alias(n_gone))

@@ -7,9 +7,10 @@ scale. Only bins that are told apart from chance carry a feature: presence of
 the bin, times its scale. A logistic regression over these features is fitted
 on at most ``FIT_ROWS`` labelled rows, the ones whose hash is smallest, of
 each class, equal rows once (label 1 keeps its true share of the weight);
-scoring covers every text whole. A text of more than WINDOW bytes is scored by
-the worst of windows that overlap by half, since presence alone adds up with
-length: a long enough clean text holds most bins.
+scoring covers every text whole. A text's score is that of its worst window of
+WINDOW bytes; windows overlap by half and cover it, and a shorter text is one
+window. Presence alone adds up with length: a long enough clean text holds most
+bins.
 
 Defined cases: a null or empty text has no feature, its score is the model's
 intercept alone. Training rows with a null label or id are left out. Without
@@ -39,10 +40,10 @@ LEAST_TEXTS = 5
 LEAST_Z = 6.0
 # Most labelled rows of either class that the linear fit sees (documented bound of the fit).
 FIT_ROWS = 4_000
-# Most features of the linear fit, the ones with the largest standardised ratios.
-FEATURES = 4_096
-# Bytes of a text that are scored at once.
+# Bytes of a window; a text's score is that of its worst window, of which a shorter text has one.
 WINDOW = 1 << 17
+# Features of the fitted rows that a gradient step takes at once.
+FIT_CHUNK = 1 << 20
 SMOOTHING = 1.0
 RIDGE = 1e-4
 STEPS = 300
@@ -158,26 +159,41 @@ def _scales(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     error = np.sqrt((1 - rate[1]) / (counts[1] + SMOOTHING) + (1 - rate[0]) / (counts[0] + SMOOTHING))
     z = np.abs(ratio) / np.maximum(error, 1e-9)
     z[(counts.sum(0) < LEAST_TEXTS) | (z < LEAST_Z)] = 0
-    keep = np.argsort(-z, kind="stable")[:FEATURES]
-    keep = keep[z[keep] > 0]
-    out = np.zeros(BINS)
-    out[keep] = ratio[keep]
+    return np.where(z > 0, ratio, 0.0)
+
+
+def _chunks(found: list[np.ndarray]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Rows in chunks of about FIT_CHUNK features: first row, features, and the row of each within the chunk."""
+    out, at = [], 0
+    while at < len(found):
+        stop, held = at, 0
+        while stop < len(found) and (stop == at or held + len(found[stop]) <= FIT_CHUNK):
+            held += len(found[stop])
+            stop += 1
+        lengths = [len(x) for x in found[at:stop]]
+        out.append((at, np.concatenate(found[at:stop]), np.repeat(np.arange(stop - at, dtype=np.int32), lengths)))
+        at = stop
     return out
 
 
-def _fit(index: np.ndarray, rows: np.ndarray, y: np.ndarray, scale: np.ndarray, share: float) -> tuple[np.ndarray, float]:
+def _fit(found: list[np.ndarray], y: np.ndarray, scale: np.ndarray, share: float) -> tuple[np.ndarray, float]:
     """Logistic regression by accelerated gradient steps on sparse rows; label 1 has its true share of the weight."""
     n, m = len(y), len(scale)
     weight = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max(n - y.sum(), 1))
-    values = scale[index]
-    norm = np.bincount(rows, values**2, n)
+    chunks = _chunks(found)
+    norm = np.array([float((scale[x] ** 2).sum()) for x in found])
     step = 1.0 / (0.25 * float((weight * (norm + 1)).sum()) + RIDGE)
     coef, look, bias, look_bias = np.zeros(m), np.zeros(m), 0.0, 0.0
+    ends = [at for at, _, _ in chunks[1:]] + [n]
     for k in range(STEPS):
-        margin = np.bincount(rows, values * look[index], n) + look_bias
-        wrong = weight * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y)
-        new = look - step * (np.bincount(index, values * wrong[rows], m) + RIDGE * look)
-        new_bias = look_bias - step * wrong.sum()
+        slope, wrong_sum, scaled = np.zeros(m), 0.0, scale * look
+        for (at, index, rows), end in zip(chunks, ends, strict=True):
+            margin = np.bincount(rows, scaled[index], end - at) + look_bias
+            wrong = weight[at:end] * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[at:end])
+            slope += np.bincount(index, wrong[rows], m)
+            wrong_sum += wrong.sum()
+        new = look - step * (scale * slope + RIDGE * look)
+        new_bias = look_bias - step * wrong_sum
         pull = k / (k + 3)
         look, look_bias = new + pull * (new - coef), new_bias + pull * (new_bias - bias)
         coef, bias = new, new_bias
@@ -200,7 +216,7 @@ def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in texts.slices(batch):
-                found = [place[bins].astype("<u2").tobytes() for bins in _present(*texts.utf8(part.column("text")), wanted)]
+                found = [place[bins].astype("<i4").tobytes() for bins in _present(*texts.utf8(part.column("text")), wanted)]
                 yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(found, pa.binary())], ["y", "found"])
 
     # The rows whose hash is smallest, found by the hash alone, so that no text is sorted.
@@ -209,10 +225,8 @@ def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     picked = ordered.filter(F.col("_order") <= F.when(F.col("y") == 0, F.lit(bounds[0])).otherwise(F.lit(bounds[1])))
     once = picked.groupBy("y", "_order").agg(F.first("text").alias("text")).select("y", "text")
     table = once.mapInArrow(features, "y int, found binary").toArrow()
-    found = [np.frombuffer(x, "<u2").astype(np.int64) for x in table.column("found").to_pylist()]
-    y = table.column("y").to_numpy().astype(float)
-    lengths = [len(x) for x in found]
-    coef, bias = _fit(np.concatenate(found), np.repeat(np.arange(len(y)), lengths), y, scales[chosen], share)
+    found = [np.frombuffer(x, "<i4") for x in table.column("found").to_pylist()]
+    coef, bias = _fit(found, table.column("y").to_numpy().astype(float), scales[chosen], share)
     weights = np.zeros(BINS)
     weights[chosen] = coef * scales[chosen]
     return Model(weights, bias)
