@@ -1,7 +1,10 @@
 import math
+import random
 import zlib
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from conftest_helpers import frame, prose, words_of
 from pyspark.sql import functions as F
@@ -61,14 +64,26 @@ def test_against_counts(messy, messy_rows, order):
 
 
 def test_one_block_equals_many(spark):
-    import random
-
     rng = random.Random(17)
     rows = [(k, prose(rng, 80)) for k in range(60)]
     docs = frame(spark, rows)
     assert got(lm.score(docs, held())) == got(lm.score(docs, held(), block_bytes=2_000)) == brute(rows, 2, lm.BACKOFF_MASS)
 
 
+@pytest.mark.parametrize("order, stretch", [(2, 1), (2, 7), (3, 1), (3, 2), (4, 5), (1, 3)])
+def test_stretches_arrive_in_the_state_of_the_whole_text(monkeypatch, order, stretch):
+    rng = random.Random(order)
+    rows = [(k, " ".join(rng.choices("abcd", k=rng.randrange(30)))) for k in range(40)]
+    table = pa.table({"doc_id": [k for k, _ in rows], "text": [t for _, t in rows], "held_out": [fold(k) == 1 for k, _ in rows]})
+    asked = lm._questions(table, 0, order, 3)
+    answers = pa.concat_tables([lm._answers(asked.filter(pc.and_(pc.equal(asked["n"], n), pc.equal(asked["part"], p)))) for n in range(1, order + 1) for p in range(3)])
+    want = brute(rows, order, 2.0)
+    monkeypatch.setattr(lm, "STRETCH", stretch)
+    types = len({t for k, text in rows if fold(k) != 1 for t in [*words_of(text), None]})
+    done = lm._scored(table, answers, order, 3, want[0][4], types, 2.0).to_pylist()
+    assert sorted((repr(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in done) == want
+
+
 def test_no_rows(empty, spark):
     assert lm.score(empty, held()).count() == 0
     none = lm.score(frame(spark, [(1, "a b"), (2, None)]), F.lit(True)).collect()

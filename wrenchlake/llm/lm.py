@@ -1,19 +1,19 @@
-"""Language-model scores with the weights of a backoff automaton.
+"""Language-model scores by a weighted backoff automaton.
 
 The model smooths n-gram counts hierarchically: the probability of a word
 after a history is (count of both + m * lower-order probability) / (count of
-the history + m). In a backoff automaton each seen history would be a state,
-each seen n-gram an arc that carries its smoothed log-probability, and each
-state would have a failure arc of weight m / (count + m) to the state of the
-shorter history. No automaton is built here: those weights are evaluated for
-all places of a block at once, which adds up to the same scores.
+the history + m). Each history that training texts go on from is a state, each
+seen n-gram an arc that carries its smoothed log-probability, and each state
+has a failure arc of weight log m / (count + m) to the state of the shorter
+history. A text is read from left to right: where its state has no arc for the
+word, the failure arc is taken, until one has; the weights on the way add up.
 
 Documents are dealt into blocks by the hash of id and text. A block asks for
 the counts of its distinct n-grams, which meet, from all blocks, in partitions
 by n-gram hash; there the training counts are summed and sent back as arrays
-in the order of the question. With them the block evaluates the weights
-at all places of its documents. Nothing is gathered on the driver
-but two numbers, no partition holds more than its share of hashes, and an
+in the order of the question. With them the block compiles the automaton of its
+own n-grams and traverses its documents, all in step. Nothing is gathered on
+the driver but two numbers, no partition holds more than its share of hashes, and an
 n-gram's frequency costs nothing since each block sends it once.
 
 Defined cases: a null or empty text is its end token alone. A null id counts
@@ -38,6 +38,8 @@ ORDER = 2
 BACKOFF_MASS = 8.0
 # Text of a block, and of the n-grams that one counting partition gets, in bytes.
 BLOCK_BYTES = 12 << 20
+# Words of a text that are read in one go; longer texts are read in stretches, side by side.
+STRETCH = 512
 _START = np.uint64(0x8F1BBCDC8F1BBCDC)
 _END = np.uint64(0x5BE0CD195BE0CD19)
 
@@ -134,45 +136,146 @@ def _totals(table: pa.Table) -> pa.Table:
     return pa.table([pa.array([int(total.sum())]), pa.array([int((total > 0).sum())])], names=["tokens", "types"])
 
 
+class Automaton:
+    """States, arcs and failure arcs of the n-grams of a block.
+
+    A state is a history that training texts go on from: the empty one (0), the
+    start of a text, or the last words of one. An arc of a state reads a word
+    that was seen after the history, a failure arc reads nothing and leads to
+    the history without its first word. Arcs are kept sorted by state and word.
+    """
+
+    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], offsets: np.ndarray, n_tokens: int, n_types: int, mass: float):
+        """``levels`` holds for n = 1, 2, ... the n-gram that ends at each place (as a number) and the count of each n-gram."""
+        order, heads = len(levels), offsets[:-1]
+        n_places = len(levels[0][0])
+        self.words = levels[0][0]
+        self.n_words = len(levels[0][1])
+        starts = int(levels[0][1][self.words[offsets[1:] - 1][0]]) if len(heads) else 0  # every training text starts as often as it ends
+        head = np.zeros(n_places, bool)
+        head[heads] = True
+        # States: the empty history, the starts (one for each length of history), then the seen n-grams below the order.
+        fail, fail_weight, numbered, size = [np.zeros(1, np.int64)], [np.zeros(1)], [], 1
+        start_states = [0]
+        for _ in range(1, order):
+            if starts:
+                fail.append(np.array([start_states[-1]]))
+                fail_weight.append(np.log10(np.array([mass / (starts + mass)])))
+                start_states.append(size)
+                size += 1
+            else:
+                start_states.append(0)
+        firsts = [self._first_places(gram, len(count)) for gram, count in levels]
+        for k in range(order - 1):
+            gram, count = levels[k]
+            seen = np.flatnonzero(count > 0)
+            state = np.zeros(len(count), np.int64)
+            state[seen] = size + np.arange(len(seen))
+            size += len(seen)
+            numbered.append(state)
+            fail.append(np.zeros(len(seen), np.int64) if k == 0 else numbered[k - 1][levels[k - 1][0][firsts[k][seen]]])
+            fail_weight.append(np.log10(mass / (count[seen] + mass)))
+        self.fail, self.fail_weight = np.concatenate(fail), np.concatenate(fail_weight)
+        self.start = start_states[-1]
+
+        count = levels[0][1].astype(float)
+        self.base = np.log10((count + 0.5) / (n_tokens + 0.5 * (n_types + 1)))
+        keys, weights = [np.arange(self.n_words, dtype=np.int64)], [self.base]
+        targets = [numbered[0] if order > 1 else np.zeros(self.n_words, np.int64)]
+        lower = self.base
+        for k in range(1, order):
+            gram, count = levels[k]
+            seen = np.flatnonzero(count > 0)
+            at = firsts[k][seen]
+            before = np.maximum(at - 1, 0)
+            history, context = levels[k - 1][0][before], levels[k - 1][1]
+            source = np.where(head[at], start_states[k], numbered[k - 1][history])
+            met = np.where(head[at], starts, context[history]).astype(float)
+            weight = np.full(len(count), -np.inf)
+            weight[seen] = np.log10((count[seen] + mass * 10.0 ** lower[levels[k - 1][0][at]]) / (met + mass))
+            keys.append(source * self.n_words + self.words[at])
+            weights.append(weight[seen])
+            targets.append(numbered[k][seen] if k < order - 1 else numbered[k - 1][levels[k - 1][0][at]])
+            lower = weight
+        keys, weights, targets = (np.concatenate(x) for x in (keys, weights, targets))
+        sort = np.argsort(keys)
+        self.keys, self.weights, self.targets = keys[sort], weights[sort], targets[sort]
+        self.order = order
+
+    @staticmethod
+    def _first_places(gram: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros(n, np.int64)
+        out[gram[::-1]] = np.arange(len(gram))[::-1]
+        return out
+
+    def read(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one word each, and the log-probabilities gathered on the way: failure arcs, then one arc."""
+        state, total, waiting = state.copy(), np.zeros(len(state)), np.arange(len(state))
+        while len(waiting):
+            key = state[waiting] * self.n_words + word[waiting]
+            place = np.searchsorted(self.keys, key)
+            place[place == len(self.keys)] = 0
+            hit = self.keys[place] == key
+            done, arcs = waiting[hit], place[hit]
+            total[done] += self.weights[arcs]
+            state[done] = self.targets[arcs]
+            waiting = waiting[~hit]
+            total[waiting] += self.fail_weight[state[waiting]]
+            state[waiting] = self.fail[state[waiting]]
+        return state, total
+
+    def traverse(self, offsets: np.ndarray) -> np.ndarray:
+        """Log-probability of every word, the texts read from left to right in step.
+
+        A long text is read in stretches. A state holds no more than the last
+        order - 1 words, so a stretch that begins that many words early, without
+        adding weights, arrives in the state that the whole text would have.
+        """
+        sizes = np.diff(offsets)
+        parts = -(-sizes // STRETCH)
+        head = np.repeat(offsets[:-1], parts)
+        begin = head + STRETCH * (np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts))
+        stop = np.minimum(begin + STRETCH, np.repeat(offsets[1:], parts))
+        early = np.maximum(begin - (self.order - 1), head)
+        longest_first = np.argsort(-(stop - early), kind="stable")
+        begin, stop, early, head = (x[longest_first] for x in (begin, stop, early, head))
+        state = np.where(early == head, self.start, 0)
+        out = np.zeros(len(self.words))
+        left = stop - early
+        for step in range(int(left.max(initial=0))):
+            n = int(np.searchsorted(-left, -step, side="left"))  # stretches with more than ``step`` words
+            at = early[:n] + step
+            state[:n], weight = self.read(state[:n], self.words[at])
+            own = at >= begin[:n]
+            out[at[own]] = weight[own]
+        return out
+
+
 def _scored(docs: pa.Table, answers: pa.Table, order: int, parts: int, n_tokens: int, n_types: int, mass: float) -> pa.Table:
     tokens, offsets = tokens_of(_column(docs, "text"))
     heads = offsets[:-1]
     by_order: dict[int, list] = {}
     for n, part, counts in zip(*(answers.column(x).to_pylist() for x in ("n", "part", "counts")), strict=True):
         by_order.setdefault(n, []).append((part, counts))
-    context = None
+    levels = []
     for n, grams in enumerate(grams_of(tokens, offsets, order), 1):
-        distinct, cuts, inverse = _asked(grams, parts)
+        _, cuts, inverse = _asked(grams, parts)
         asked = np.flatnonzero(np.diff(cuts))
         answered = dict(by_order.get(n, []))
         if sorted(answered) != asked.tolist():
             raise RuntimeError("a block's n-grams differ from the ones it asked for; the documents changed meanwhile")
-        total = np.concatenate([_long(answered[part], cuts[part + 1] - cuts[part]) for part in asked.tolist()])
-        count = total[inverse].astype(float)
-        if n == 1:
-            known = (count > 0).astype(np.int64)
-            weight = np.log10((count + 0.5) / (n_tokens + 0.5 * (n_types + 1)))  # arcs of the root
-            base = weight
-            starts = count[offsets[1:] - 1]  # every training text starts as often as it ends
-        else:
-            # Arcs of the states of n - 1 words; where there is none, the failure arc.
-            fail = np.log10(mass / (context + mass))
-            arc = np.log10((count + mass * 10.0**weight) / (context + mass))
-            weight = np.where(count > 0, arc, fail + weight)
-        # How often the history of the next token was seen with a token after it.
-        context = np.empty(len(tokens))
-        context[1:] = count[:-1]
-        context[heads] = starts
+        levels.append((inverse, np.concatenate([_long(answered[part], cuts[part + 1] - cuts[part]) for part in asked.tolist()])))
+    model = Automaton(levels, offsets, n_tokens, n_types, mass)
     add = np.add.reduceat
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
             "n_tokens": pa.array(np.diff(offsets)),
-            "n_known": pa.array(add(known, heads)),
+            "n_known": pa.array(add((levels[0][1] > 0).astype(np.int64)[model.words], heads)),
             "train_tokens": pa.array(np.full(len(heads), n_tokens)),
-            "base_score": pa.array(add(base, heads)),
-            "score": pa.array(add(weight, heads)),
+            "base_score": pa.array(add(model.base[model.words], heads)),
+            "score": pa.array(add(model.traverse(offsets), heads)),
         }
     )
 
