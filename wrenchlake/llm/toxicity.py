@@ -42,11 +42,14 @@ LEAST_Z = 6.0
 FIT_ROWS = 4_000
 # Bytes of a window; a text's score is that of its worst window, of which a shorter text has one.
 WINDOW = 1 << 17
-# Features of the fitted rows that a gradient step takes at once.
-FIT_CHUNK = 1 << 20
+# Tasks that sum up the slopes of a step; each sends one number per feature to the driver, BINS at most.
+FIT_TASKS = 8
 SMOOTHING = 1.0
 RIDGE = 1e-4
-STEPS = 300
+# Most steps of the fit, the steps it remembers, and the slope at which it ends.
+STEPS = 60
+MEMORY = 8
+TOLERANCE = 1e-5
 
 
 @dataclass(frozen=True)
@@ -162,42 +165,74 @@ def _scales(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(z > 0, ratio, 0.0)
 
 
-def _chunks(found: list[np.ndarray]) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Rows in chunks of about FIT_CHUNK features: first row, features, and the row of each within the chunk."""
-    out, at = [], 0
-    while at < len(found):
-        stop, held = at, 0
-        while stop < len(found) and (stop == at or held + len(found[stop]) <= FIT_CHUNK):
-            held += len(found[stop])
-            stop += 1
-        lengths = [len(x) for x in found[at:stop]]
-        out.append((at, np.concatenate(found[at:stop]), np.repeat(np.arange(stop - at, dtype=np.int32), lengths)))
-        at = stop
-    return out
-
-
-def _fit(found: list[np.ndarray], y: np.ndarray, scale: np.ndarray, share: float) -> tuple[np.ndarray, float]:
-    """Logistic regression by accelerated gradient steps on sparse rows; label 1 has its true share of the weight."""
-    n, m = len(y), len(scale)
-    weight = np.where(y == 1, share / max(y.sum(), 1), (1 - share) / max(n - y.sum(), 1))
-    chunks = _chunks(found)
-    norm = np.array([float((scale[x] ** 2).sum()) for x in found])
-    step = 1.0 / (0.25 * float((weight * (norm + 1)).sum()) + RIDGE)
-    coef, look, bias, look_bias = np.zeros(m), np.zeros(m), 0.0, 0.0
-    ends = [at for at, _, _ in chunks[1:]] + [n]
-    for k in range(STEPS):
-        slope, wrong_sum, scaled = np.zeros(m), 0.0, scale * look
-        for (at, index, rows), end in zip(chunks, ends, strict=True):
-            margin = np.bincount(rows, scaled[index], end - at) + look_bias
-            wrong = weight[at:end] * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y[at:end])
-            slope += np.bincount(index, wrong[rows], m)
-            wrong_sum += wrong.sum()
-        new = look - step * (scale * slope + RIDGE * look)
-        new_bias = look_bias - step * wrong_sum
-        pull = k / (k + 3)
-        look, look_bias = new + pull * (new - coef), new_bias + pull * (new_bias - bias)
-        coef, bias = new, new_bias
-    return coef, bias
+def _slopes(batches: Iterator[pa.RecordBatch], scaled: np.ndarray, bias: float, by_class: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Of the rows of a task: weighted loss, its slope in the bias, and in each scaled feature (before its scale)."""
+    loss, pull, slope = 0.0, 0.0, np.zeros(len(scaled))
+    for batch in batches:
+        y = batch.column("y").to_numpy().astype(float)
+        blobs = batch.column("found").to_pylist()
+        index = np.frombuffer(b"".join(blobs), "<i4")
+        rows = np.repeat(np.arange(len(blobs)), [len(x) // 4 for x in blobs])
+        margin = np.bincount(rows, scaled[index], len(blobs)) + bias
+        weight = by_class[y.astype(int)]
+        loss += float((weight * np.logaddexp(0, np.where(y == 1, -margin, margin))).sum())
+        wrong = weight * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - y)
+        pull += float(wrong.sum())
+        slope += np.bincount(index, wrong[rows], len(scaled))
+    yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([pull]), pa.array([slope.tobytes()], pa.binary())], ["loss", "pull", "slope"])
+
+
+def _fit(features: DataFrame, scale: np.ndarray, by_class: np.ndarray) -> tuple[np.ndarray, float]:
+    """Logistic regression by limited-memory BFGS; the rows stay in Spark, each step sums one slope per task.
+
+    ``features`` holds y and the places of a row's features; ``by_class`` is the
+    weight of a row of either class.
+    """
+    context = features.sparkSession.sparkContext
+
+    def look(at: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = context.broadcast((scale * at[:-1], float(at[-1]), by_class))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _slopes(batches, *shared.value)
+
+        found = features.mapInArrow(run, "loss double, pull double, slope binary").collect()  # FIT_TASKS rows
+        slope = sum((np.frombuffer(r["slope"]) for r in found), np.zeros(len(scale)))
+        shared.destroy()
+        ridge = RIDGE * at[:-1]
+        return sum(r["loss"] for r in found) + 0.5 * float(ridge @ at[:-1]), np.append(scale * slope + ridge, sum(r["pull"] for r in found))
+
+    at = np.zeros(len(scale) + 1)
+    value, slope = look(at)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(STEPS):
+        if np.abs(slope).max() < TOLERANCE:
+            break
+        way, kept = -slope, []
+        for moved, turned in reversed(steps):
+            share = float(moved @ way) / float(moved @ turned)
+            kept.append(share)
+            way = way - share * turned
+        if steps:
+            moved, turned = steps[-1]
+            way = way * float(moved @ turned) / float(turned @ turned)
+        for (moved, turned), share in zip(steps, reversed(kept), strict=True):
+            way = way + (share - float(turned @ way) / float(moved @ turned)) * moved
+        size = 1.0 if steps else min(1.0, 1.0 / float(np.abs(slope).sum()))
+        down = float(slope @ way)
+        while True:
+            new = at + size * way
+            new_value, new_slope = look(new)
+            if new_value <= value + 1e-4 * size * down or size < 1e-8:
+                break
+            size /= 2
+        if float((new - at) @ (new_slope - slope)) > 1e-12:
+            steps = [*steps, (new - at, new_slope - slope)][-MEMORY:]
+        done = value - new_value < 1e-9 * max(abs(value), 1.0)
+        at, value, slope = new, new_value, new_slope
+        if done:
+            break
+    return at[:-1], float(at[-1])
 
 
 def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
@@ -224,9 +259,10 @@ def train(rows: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     bounds = [ordered.filter(F.col("y") == y).select("_order").distinct().orderBy("_order").limit(fit_rows).agg(F.max("_order")).first()[0] for y in (0, 1)]
     picked = ordered.filter(F.col("_order") <= F.when(F.col("y") == 0, F.lit(bounds[0])).otherwise(F.lit(bounds[1])))
     once = picked.groupBy("y", "_order").agg(F.first("text").alias("text")).select("y", "text")
-    table = once.mapInArrow(features, "y int, found binary").toArrow()
-    found = [np.frombuffer(x, "<i4") for x in table.column("found").to_pylist()]
-    coef, bias = _fit(found, table.column("y").to_numpy().astype(float), scales[chosen], share)
+    # At most twice ``fit_rows`` rows; they are read again at every step of the fit.
+    table = materialise(once.repartition(FIT_TASKS).mapInArrow(features, "y int, found binary"), "features")
+    sums = {r["y"]: r["n"] for r in table.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    coef, bias = _fit(table, scales[chosen], np.array([(1 - share) / sums.get(0, 1), share / sums.get(1, 1)]))
     weights = np.zeros(BINS)
     weights[chosen] = coef * scales[chosen]
     return Model(weights, bias)
