@@ -56,16 +56,57 @@ def test_recall_of_the_default(spark):
     assert hits >= 0.9 * 20 * len(wanted)
 
 
-def test_relaxing_visits_less():
-    rng = np.random.default_rng(3)
-    data = rng.normal(size=(4000, 3))
+def on_sphere(n, dim, seed):
+    data = np.random.default_rng(seed).normal(size=(n, dim))
+    return data / np.sqrt((data**2).sum(1, keepdims=True))
+
+
+def products(queries, data):
+    return lambda q, row: (queries[q] * data[row]).sum(1)
+
+
+def test_a_tree_finds_the_best_with_factor_one():
+    data = on_sphere(4000, 3, 3)
     tree = neighbours.Tree(data)
-    exact, _ = tree.search(data[:50], 5, 1.0)
-    want = np.sort(((data[:50, None] - data[None]) ** 2).sum(2), axis=1)[:, :5]
-    assert np.allclose(np.sort(exact, 1), want)
+    found, _ = tree.search(data[:50], 5, 1.0, products(data[:50], data), np.arange(4000))
+    want = -np.sort(-(data[:50] @ data.T), axis=1)[:, :5]
+    assert np.allclose(found, want)
     assert sorted(tree.order.tolist()) == list(range(4000))
 
 
+def test_ties_go_to_the_least_ids(spark):
+    """399 different vectors with one inner product, as many as one may ask for and more."""
+    rng = np.random.default_rng(2)
+    side = rng.permutation(399)
+    rows = [(0, [1.0, 0.0, 0.0])] + [(int(i) + 1, [0.5, float(k % 20), float(k // 20)]) for k, i in enumerate(side)]
+    for relax in (1.0, 2.0):
+        assert [i for i, _ in got(neighbours.nearest(table(spark, rows), F.col("vec_id") == 0, relax=relax))[0]] == list(range(1, 21))
+
+
+def recall(found, wanted):
+    return sum(len({i for i, _ in found[q]} & {i for i, _ in wanted[q]}) for q in wanted) / sum(map(len, wanted.values()))
+
+
+def test_lengths_of_all_sorts(spark):
+    """One vector a thousand times longer, lognormal lengths, and components too large to be squared."""
+    rng = np.random.default_rng(6)
+    usual = rng.normal(size=(2000, 24))
+    cases = [
+        [*usual, 1e3 * rng.normal(size=24)],
+        list(on_sphere(2500, 24, 8) * rng.lognormal(0, 0.7, (2500, 1))),
+        [*usual[:300], *(usual[300:303] * 1e200), *(usual[303:306] * 1e-200)],
+    ]
+    for vectors in cases:
+        rows = list(enumerate(vectors))
+        with np.errstate(over="ignore"):
+            wanted = brute(rows, 20)
+        found = got(neighbours.nearest(table(spark, rows), query()))
+        assert found.keys() == wanted.keys() and all(len(found[q]) == 20 for q in found)
+        assert recall(found, wanted) >= 0.9
+    exact = got(neighbours.nearest(table(spark, rows), query(), relax=1.0))
+    assert {q: [i for i, _ in x] for q, x in exact.items()} == {q: [i for i, _ in x] for q, x in wanted.items()}
+
+
 def test_awkward_rows(spark):
     bad = [(20, None), (40, []), (60, [0.0, 0.0, 0.0]), (80, [1.0, None, 2.0]), (100, [float("nan"), 1.0, 1.0]), (None, [1.0, 2.0, 3.0])]
     good = [(120, [1.0, 0.0, 0.5]), (121, [1.0, 1.0, 1.0]), (122, [1.0, 1.0, 1.0]), (140, [-1.0, 2.0, 0.0]), (141, [5.0, 1.0])]
@@ -79,9 +120,9 @@ def test_awkward_rows(spark):
 
 @pytest.mark.parametrize("n", [1, 127, 128, 129, 300])
 def test_small_trees(n):
-    data = np.ones((n, 2))
-    best, rows = neighbours.Tree(data).search(np.ones((2, 2)), min(3, n), 1.0)
-    assert (rows >= 0).all() and np.allclose(best, 0)
+    data = np.ones((n, 2)) / np.sqrt(2)
+    best, rows = neighbours.Tree(data).search(data[:1], min(3, n), 1.0, products(data[:1], data), np.arange(n)[::-1])
+    assert rows[0].tolist() == list(range(n))[::-1][: min(3, n)] and np.allclose(best, 1)
 
 
 def test_queries_are_numbered_alike_in_any_order():

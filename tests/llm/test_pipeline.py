@@ -29,7 +29,7 @@ def test_query_covers_its_table(spark, name):
     others = {"op4": ("embeddings", "query_id"), "op6": ("pages", "page_id"), "op11": ("benchmark", "item_id")}
     table, key = others.get(name.split("_")[0], ("documents", "doc_id"))
     own = spark.read.parquet(f"{SF}/{table}.parquet")
-    found = {r[0] for r in rows.select(key).distinct().collect()}
+    found = {type(own.first()[0])(r[0]) for r in rows.select(key).distinct().collect()}
     want = {r[0] for r in own.select(own.columns[0]).collect()}
     assert found == ({i for i in want if i % 20 == 0} if name.startswith("op4") else want)
 

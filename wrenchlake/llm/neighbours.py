@@ -1,12 +1,17 @@
 """Nearest neighbours by vantage-point trees, one per shard.
 
-Largest inner product becomes smallest Euclidean distance: every vector gets
-one more component that brings it to the length of the longest one, queries get
-0 there. Each shard holds a tree: a node has a vantage point and the distance
-ranges of its two halves, a leaf a block of vectors. A search descends to the
-nearest leaf first and then visits every child that the triangle inequality
-does not rule out. ``relax`` divides the search radius in that test: 1 is
-exact, more prunes more. Queries go through a tree together, in blocks.
+Largest inner product becomes smallest Euclidean distance: the length of a
+query does not change its ranking, so queries are taken at length 1; vectors
+are dealt into bands of like length, scaled to the top of their band, and get
+one more component that brings them to length 1. So the distances of a band
+tell directions apart whatever other lengths there are, and no component is too
+large to be squared. Each shard of a band holds a tree: a node has a vantage
+point and the distance ranges of its two halves, a leaf a block of vectors. A
+search descends to the nearest leaf first and then visits every child that the
+triangle inequality does not rule out. ``relax`` divides the search radius in
+that test: 1 is exact, more prunes more. Queries go through a tree together, in
+blocks. Products in a leaf only pick candidates; these are ranked by the exact
+score on the original vectors, ties by least id, however many tie.
 
 Copies of one vector are one entry of the index, which lists their smallest
 ids, so groups of copies cost nothing.
@@ -29,22 +34,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wrenchlake.operators.skew import bounded
 from wrenchlake.session import materialise
 
 SHARD_ROWS = 8_192
 LEAF_ROWS = 128
 QUERY_BLOCK = 1_024
 RELAX = 2.0
-# Entries kept beyond those asked for, against rounding in the block products.
-SPARE = 4
+# Bands of vector length for each doubling of it.
+BANDS = 4
+# What products and distances of points of length 1 may be off by rounding, generously.
+ROUNDING = 1e-9
+
+
+def _units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Directions of length 1, and binary logarithms of the lengths; no component is too large or small for it."""
+    top = np.abs(vectors).max(axis=1, keepdims=True)
+    units = vectors / top
+    lengths = np.sqrt((units**2).sum(axis=1, keepdims=True))
+    return units / lengths, (np.log2(top) + np.log2(lengths))[:, 0]
 
 
 def usable(table: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """vec_id, vec (little-endian doubles) and dim of the distinct rows that take part."""
+    """vec_id, vec (little-endian doubles), dim and band (of length) of the distinct rows that take part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, vectors = [], []
+            ids, vectors, bands = [], [], []
             for vec_id, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if vec_id is None or not values or None in values:
                     continue
@@ -52,11 +68,14 @@ def usable(table: DataFrame, id_column: str, vector_column: str) -> DataFrame:
                 if np.isfinite(vector).all() and vector.any():
                     ids.append(vec_id)
                     vectors.append((vector + 0.0).tobytes())  # -0.0 becomes 0.0
+                    bands.append(int(np.floor(_units(vector[None])[1][0] * BANDS)))
             sizes = pa.array([len(v) // 8 for v in vectors], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), sizes], ["vec_id", "vec", "dim"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(vectors, pa.binary()), sizes, pa.array(bands, pa.int32())], ["vec_id", "vec", "dim", "band"]
+            )
 
     own = table.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("vec"))
-    return own.mapInArrow(run, "vec_id long, vec binary, dim int").dropDuplicates(["vec_id", "vec"])
+    return own.mapInArrow(run, "vec_id long, vec binary, dim int, band int").dropDuplicates(["vec_id", "vec"])
 
 
 def _matrix(blobs: list[bytes]) -> np.ndarray:
@@ -90,23 +109,41 @@ class Tree:
             self.nodes[node] = (start, stop, vantage, ranges, inner, outer)
         return node
 
-    def search(self, queries: np.ndarray, k: int, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """Squared distances and rows (-1: none) of the k nearest found for each query, unordered."""
-        best = np.full((len(queries), k), np.inf)
-        rows = np.full((len(queries), k), -1)
-        seen = np.full(len(queries), -1)
-        lengths, sizes = (queries**2).sum(1), (self.points**2).sum(1)
+    def search(self, queries: np.ndarray, k: int, relax: float, score, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and rows (-1: none) of the k best found for each query: highest score first, ties by least id.
+
+        ``queries`` and points have length 1. ``score(query rows, rows)`` is the
+        exact measure, which rises with the product of the two but for rounding;
+        it is taken of all rows whose product comes near the k-th.
+        """
+        n = len(queries)
+        best, rows, near = np.full((n, k), -np.inf), np.full((n, k), -1), np.full((n, k), -np.inf)
+        seen = np.full(n, -1)
 
         def take(leaf: int, active: np.ndarray) -> None:
             start, stop = self.nodes[leaf][:2]
             active = active[seen[active] != leaf]
             if not len(active):
                 return
-            found = lengths[active, None] + sizes[start:stop] - 2.0 * (queries[active] @ self.points[start:stop].T)
-            values = np.concatenate([best[active], found], axis=1)
-            places = np.concatenate([rows[active], np.broadcast_to(self.order[start:stop], found.shape)], axis=1)
-            pick = np.argpartition(values, k - 1, axis=1)[:, :k]
-            best[active], rows[active] = np.take_along_axis(values, pick, 1), np.take_along_axis(places, pick, 1)
+            product = queries[active] @ self.points[start:stop].T
+            least = near[active].min(1)  # -inf until k are found
+            if product.shape[1] > k:
+                least = np.maximum(least, np.partition(product, -k, axis=1)[:, -k])
+            q, own = np.nonzero(product >= least[:, None] - ROUNDING)
+            if not len(q):
+                return
+            touched, place = np.unique(q, return_inverse=True)
+            old = active[touched]
+            new_rows = self.order[start + own]
+            group = np.concatenate([np.repeat(np.arange(len(touched)), k), place])
+            scores = np.concatenate([best[old].ravel(), score(active[q], new_rows)])
+            found = np.concatenate([rows[old].ravel(), new_rows])
+            close = np.concatenate([near[old].ravel(), product[q, own]])
+            named = np.where(found >= 0, ids[np.maximum(found, 0)], np.iinfo(np.int64).max)
+            order = np.lexsort((named, found < 0, -scores, group))
+            rank = np.arange(len(order)) - np.searchsorted(group[order], np.arange(len(touched)))[group[order]]
+            kept = order[rank < k]
+            best[old], rows[old], near[old] = (x[kept].reshape(-1, k) for x in (scores, found, close))
 
         def home(node: int, active: np.ndarray) -> None:
             if len(self.nodes[node]) == 2:
@@ -114,8 +151,8 @@ class Tree:
                 seen[active] = node
                 return
             _, _, vantage, ranges, inner, outer = self.nodes[node]
-            near = np.sqrt(((queries[active] - vantage) ** 2).sum(1)) <= ranges[1]
-            for child, own in ((inner, active[near]), (outer, active[~near])):
+            inside = np.sqrt(((queries[active] - vantage) ** 2).sum(1)) <= ranges[1]
+            for child, own in ((inner, active[inside]), (outer, active[~inside])):
                 if len(own):
                     home(child, own)
 
@@ -125,16 +162,17 @@ class Tree:
                 return
             _, _, vantage, (low_in, high_in, low_out, high_out), inner, outer = self.nodes[node]
             distance = np.sqrt(((queries[active] - vantage) ** 2).sum(1))
-            near = distance <= high_in
+            inside = distance <= high_in
             for first in (True, False):  # each query's nearer half first, then the other with the radius it has by then
-                for child, low, high, own in ((inner, low_in, high_in, near == first), (outer, low_out, high_out, near != first)):
-                    radius = np.sqrt(np.maximum(best[active].max(1), 0)) / relax * (1 + 1e-9) + 1e-9
+                for child, low, high, own in ((inner, low_in, high_in, inside == first), (outer, low_out, high_out, inside != first)):
+                    # Points of length 1 at a product p are sqrt(2 - 2 p) apart.
+                    radius = np.sqrt(np.maximum(2 - 2 * (near[active].min(1) - ROUNDING), 0)) / relax + ROUNDING
                     reach = own & (distance - radius <= high) & (distance + radius >= low)
                     if reach.any():
                         visit(child, active[reach])
 
-        if len(queries) and len(self.points):
-            every = np.arange(len(queries))
+        if n and len(self.points):
+            every = np.arange(n)
             home(0, every)
             visit(0, every)
         return best, rows
@@ -146,27 +184,29 @@ def _dump(**arrays: np.ndarray) -> bytes:
     return out.getvalue()
 
 
-def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, dict[int, int]]:
-    """One row per shard (dim, shard, index) over the frame of ``usable``, and the number of shards per dim.
+def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, DataFrame]:
+    """One row per shard (dim, band, shard, entries) over the frame of ``usable``, and the list of the shards.
 
-    The rows of a shard are dealt out by a hash of the vector, copies of a
-    vector being one row by then; a shard holds about ``shard_rows``.
+    A shard holds about ``shard_rows`` vectors of one band of length, dealt out
+    by a hash of the vector, copies of a vector being one row by then.
     """
     by_vector = Window.partitionBy("vec").orderBy("vec_id")
     firsts = rows.withColumn("_n", F.row_number().over(by_vector)).filter(F.col("_n") <= k + 1)
-    entries = materialise(firsts.groupBy("dim", "vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "entries")
-    sizes = {r["dim"]: r["n"] for r in entries.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per dim
-    shards = {dim: math.ceil(n / shard_rows) for dim, n in sizes.items()}
-    count = F.create_map(*[F.lit(x) for pair in shards.items() for x in pair])[F.col("dim")] if shards else F.lit(1)
-    dealt = entries.withColumn("shard", F.pmod(F.xxhash64("vec"), count).cast("int"))
+    entries = materialise(firsts.groupBy("dim", "band", "vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "entries")
+    sizes = entries.groupBy("dim", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_rows)).cast("int").alias("n"))
+    sizes = materialise(sizes, "shard_counts")
+    dealt = entries.join(sizes, ["dim", "band"]).withColumn("shard", F.pmod(F.xxhash64("vec"), F.col("n")).cast("int")).drop("n")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        dim, shard = (x.as_py() for x in key)
+        dim, band, shard = (x.as_py() for x in key)
+        table = table.sort_by([("vec", "ascending")])
         ids = table.column("ids").to_pylist()
         blob = _dump(points=_matrix(table.column("vec").to_pylist()), ids=np.concatenate(ids), sizes=np.array([len(x) for x in ids]))
-        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "entries": pa.array([blob], pa.binary())})
+        whole = [pa.array([x], pa.int32()) for x in (dim, band, shard)]
+        return pa.table([*whole, pa.array([blob], pa.binary())], names=["dim", "band", "shard", "entries"])
 
-    return materialise(dealt.groupBy("dim", "shard").applyInArrow(run, "dim int, shard int, entries binary"), "shards"), shards
+    index = materialise(dealt.groupBy("dim", "band", "shard").applyInArrow(run, "dim int, band int, shard int, entries binary"), "shards")
+    return index, index.select("dim", "band", "shard")
 
 
 def pack_queries(key: tuple, table: pa.Table) -> pa.Table:
@@ -181,42 +221,48 @@ def pack_queries(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table([pa.array([dim], pa.int32()), pa.array([block], pa.int32()), pa.array([blob], pa.binary())], names=["dim", "block", "queries"])
 
 
-def search(
-    index: DataFrame, shards: dict[int, int], queries: DataFrame, k: int, relax: float = RELAX, query_block: int = QUERY_BLOCK
-) -> DataFrame:
+def search(index: DataFrame, shards: DataFrame, queries: DataFrame, k: int, relax: float = RELAX, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest entries found for each query (a frame of ``usable``).
 
     Each block of queries meets each shard once. A shard's answers are at most
-    k + 1 + SPARE entries for a query, and the best of all shards are ranked by
-    query.
+    k + 1 entries for a query, and the best of all shards are ranked by query.
     """
     n_queries = queries.count()
     blocks = max(1, math.ceil(n_queries / query_block))
-    keep = k + 1 + SPARE
+    keep = k + 1
 
     dealt = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).cast("int"))
-    together = dealt.groupBy("dim", "block").applyInArrow(pack_queries, "dim int, block int, queries binary")
-    count = F.create_map(*[F.lit(x) for pair in shards.items() for x in pair])[F.col("dim")] if shards else F.lit(0)
-    spread = together.withColumn("_last", count - 1).filter("_last >= 0").withColumn("shard", F.explode(F.sequence(F.lit(0), "_last"))).drop("_last")
+    together = dealt.select("dim", "block", "vec_id", "vec").groupBy("dim", "block").applyInArrow(pack_queries, "dim int, block int, queries binary")
+    spread = together.join(bounded(shards), "dim")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, tree, top = None, None, 0.0
+        held, tree = None, None
         for batch in batches:
             for at in range(batch.num_rows):
-                place = (batch.column("dim")[at].as_py(), batch.column("shard")[at].as_py())
+                place = tuple(batch.column(name)[at].as_py() for name in ("dim", "band", "shard"))
                 if place != held:
                     stored = np.load(io.BytesIO(batch.column("entries")[at].as_py()))
                     points, ids, sizes = stored["points"], stored["ids"], stored["sizes"]
-                    lengths = (points**2).sum(1)
-                    top = lengths.max()
-                    tree = Tree(np.column_stack([points, np.sqrt(np.maximum(top - lengths, 0))]))
+                    units, lengths = _units(points)
+                    # Within the band, lengths against its top; one more component brings all points to length 1.
+                    share = np.minimum(np.exp2(lengths - (place[1] + 1) / BANDS), 1.0)
+                    tree = Tree(np.column_stack([units * share[:, None], np.sqrt(1 - share**2)]))
                     cuts, held = np.cumsum([0, *sizes]), place
+                    first_ids = ids[cuts[:-1]]
                 asked = np.load(io.BytesIO(batch.column("queries")[at].as_py()))
                 own, vectors = asked["ids"], asked["points"]
-                _, rows = tree.search(np.column_stack([vectors, np.zeros(len(own))]), min(keep, len(points)), relax)
+
+                def score(q: np.ndarray, row: np.ndarray, vectors=vectors, points=points) -> np.ndarray:
+                    out = np.empty(len(q))
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        for a in range(0, len(q), 8_192):
+                            out[a : a + 8_192] = (vectors[q[a : a + 8_192]] * points[row[a : a + 8_192]]).sum(1)
+                    return np.nan_to_num(out, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+
+                asking = np.column_stack([_units(vectors)[0], np.zeros(len(own))])
+                scores, rows = tree.search(asking, min(keep, len(points)), relax, score, first_ids)
                 row, column = np.nonzero(rows >= 0)
-                entry = rows[row, column]
-                scores = (vectors[row] * points[entry]).sum(1)
+                entry, scores = rows[row, column], scores[row, column]
                 copies = sizes[entry]
                 first = np.repeat(cuts[entry] - np.cumsum(copies) + copies, copies)
                 found = ids[first + np.arange(copies.sum())]
@@ -229,8 +275,8 @@ def search(
                     ["query_id", "query_row", "vec_id", "score", "block", "dim"],
                 )
 
-    met = spread.join(index, ["dim", "shard"]).select("dim", "shard", "block", "entries", "queries")
-    found = met.sortWithinPartitions("dim", "shard").mapInArrow(run, "query_id long, query_row long, vec_id long, score double, block int, dim int")
+    met = spread.join(index, ["dim", "band", "shard"]).select("dim", "band", "shard", "block", "entries", "queries")
+    found = met.sortWithinPartitions("dim", "band", "shard").mapInArrow(run, "query_id long, query_row long, vec_id long, score double, block int, dim int")
     best = Window.partitionBy("dim", "block", "query_row").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
