@@ -277,14 +277,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         import pandas as pd
 
         weights, bias = shared.value
-        wanted = np.append(weights != 0, False)
         for column in series:
             text = pa.array(column, pa.string(), from_pandas=True).fill_null("")
             batch = pa.RecordBatch.from_arrays([text], ["text"])
             out = []
             for part in texts.slices(batch):
                 cut, offsets, firsts = _windows(*texts.utf8(part.column("text")))
-                margins = [bias + float(weights[bins].sum()) for bins in _present(cut, offsets, wanted)]
+                margins = [bias + float(weights[bins].sum()) for bins in _present(cut, offsets)]
                 out.append(np.maximum.reduceat(margins, firsts))
             margin = np.clip(np.concatenate(out) if out else np.zeros(0), -35, 35)
             yield pd.Series(1 / (1 + np.exp(-margin)))
