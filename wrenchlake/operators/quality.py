@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wrenchlake import schemas
 from wrenchlake.functions import dates
 from wrenchlake.functions import fixed_values as fixed
+from wrenchlake.operators.repeated import LEAST_ROWS, may_repeat
 from wrenchlake.operators.skew import HOT_ROWS, all_but_first
 
 
@@ -98,25 +99,39 @@ def parts_without_group(jobcards: DataFrame) -> DataFrame:
     return jobcards.filter(empty).select("PartNumber", "ModelType").distinct()
 
 
-def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their row count."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("Count")).filter("Count > 1")
+def duplicate_keys(df: DataFrame, keys: list[str], least_rows: int = LEAST_ROWS) -> DataFrame:
+    """Keys that occur more than once, with their row count; only rows whose key may repeat are shuffled."""
+    found = may_repeat(df.select(*keys), keys, least_rows)
+    return found.groupBy(*keys).agg(F.count(F.lit(1)).alias("Count")).filter("Count > 1")
 
 
-def duplicate_rows(df: DataFrame, keys: list[str], order: list[Column] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def duplicate_rows(
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column] | None = None,
+    hot_rows: int = HOT_ROWS,
+    least_rows: int = LEAST_ROWS,
+) -> DataFrame:
     """Every row of a key but its first; ``order`` defaults to the other columns."""
+    df = may_repeat(df, keys, least_rows)
     by = order or [F.col(c) for c in df.columns if c not in keys] or [F.col(k) for k in keys]
     return all_but_first(df, keys, by, hot_rows)
 
 
-def is_unique(df: DataFrame, key: str) -> DataFrame:
-    """One row: rows, distinct non-null keys, null keys, and whether all rows have a key of their own."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("Records"),
-        F.count_distinct(key).alias("DistinctKeys"),
-        F.count_if(F.col(key).isNull()).alias("NullKeys"),
+def is_unique(df: DataFrame, key: str, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """One row: rows, distinct non-null keys, null keys, and whether all rows have a key of their own.
+
+    The distinct keys are all non-null ones less the extra rows of repeated
+    keys, so only rows whose key may repeat are shuffled.
+    """
+    counts = df.agg(F.count(F.lit(1)).alias("Records"), F.count_if(F.col(key).isNull()).alias("NullKeys"))
+    repeated = duplicate_keys(df.select(key).dropna(), [key], least_rows)
+    parts = counts.unionByName(repeated.agg(F.sum(F.col("Count") - 1).alias("extra")), allowMissingColumns=True)
+    whole = parts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts.columns])
+    distinct = F.col("Records") - F.col("NullKeys") - F.col("extra")
+    return whole.select(
+        "Records", distinct.alias("DistinctKeys"), "NullKeys", (F.col("Records") == distinct).alias("IsUnique")
     )
-    return counts.withColumn("IsUnique", F.col("Records") == F.col("DistinctKeys"))
 
 
 def row_multiplicity(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
