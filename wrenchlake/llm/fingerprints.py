@@ -7,10 +7,13 @@ are left. Local maxima of the labels begin phrases, and each phrase gets the
 hash of its symbols as its name. A phrase depends only on the symbols around
 it, so equal substrings get equal names inside, wherever they stand.
 
-The fingerprint is a sketch of the names on the upper levels: the ``NAMES``
-smallest hashes. The likeness of two fingerprints is the share of the smallest
-hashes of both together that occur in both, which estimates the Jaccard
-likeness of the name sets.
+The fingerprint is a sketch of the names of all levels: the ``NAMES`` that come
+first in an order by hash in which a name of level 2 stands 16 times as far
+back as one of the levels above it, and a name of level 1 256 times. Short
+phrases, which most texts share, so fill a sketch only where longer ones leave
+room, by one rule for texts of any length. The likeness of two fingerprints is
+the share of the first names of both together that occur in both, which
+estimates the Jaccard likeness of the name sets, weighted alike.
 
 Defined cases: a null or empty text has the empty fingerprint; two empty ones
 have likeness 1, an empty and a filled one 0. Equal texts have equal
@@ -33,10 +36,10 @@ from wrenchlake.llm import texts
 from wrenchlake.session import materialise
 
 NAMES = 64
-# Levels below this one hold phrases of a few characters that most texts share.
+# Levels below this one hold phrases of a few characters that most texts share; each
+# level further down stands back by so many more bits of the hash.
 LEVEL = 3
-# A text with fewer names than this on the upper levels uses its names of all levels.
-FEWEST = 4
+BACK = 4
 # Characters parsed at once.
 CHUNK = 1 << 18
 
@@ -100,34 +103,54 @@ def _parse(symbols: np.ndarray, starts: np.ndarray, level: int) -> tuple[np.ndar
     return names, np.searchsorted(at, starts)
 
 
+def _codes(names: np.ndarray, level: int) -> np.ndarray:
+    """Names as 32 bits: 30 of the hash, then by how many levels the name lies below LEVEL."""
+    return ((names >> np.uint64(34)) << np.uint64(2) | np.uint64(max(LEVEL - level, 0))).astype(np.uint32)
+
+
+def _ranks(codes: np.ndarray) -> np.ndarray:
+    """Where each code stands in the order of names; different codes differ."""
+    below = (codes & np.uint32(3)).astype(np.uint64)
+    return (codes.astype(np.uint64) >> np.uint64(2)) << (np.uint64(BACK) * below + np.uint64(2)) | below
+
+
 def name_sets(found: list[str]) -> list[np.ndarray]:
-    """Sketch of each text: its smallest distinct name hashes (32 bits), ascending."""
+    """Sketch of each text: the first of its distinct names, as codes, in order."""
     out = [np.zeros(0, np.uint32)] * len(found)
     own = [k for k, text in enumerate(found) if text]
     if not own:
         return out
-    codes = np.frombuffer("".join(found[k] for k in own).encode("utf-32-le", "surrogatepass"), "<u4")
-    symbols = texts.mix(codes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    points = np.frombuffer("".join(found[k] for k in own).encode("utf-32-le", "surrogatepass"), "<u4")
+    symbols = texts.mix(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
     starts = np.cumsum([0, *(len(found[k]) for k in own)])[:-1]
     levels = []
     while len(symbols) > len(own):
         # A text that is down to one symbol is done, whatever stands beside it.
         under_way = np.diff(np.append(starts, len(symbols))) > 1
         symbols, starts = _parse(symbols, starts, len(levels) + 1)
-        levels.append((symbols, np.append(starts, len(symbols)), under_way))
+        levels.append((_codes(symbols, len(levels) + 1), np.append(starts, len(symbols)), under_way))
     for row, k in enumerate(own):
-        names = [s[c[row] : c[row + 1]] for s, c, under_way in levels if under_way[row]]
-        upper = names[LEVEL - 1 :]
-        if sum(map(len, upper)) < FEWEST + len(upper):  # each level has a name even of a short text
-            upper = names or [texts.mix(np.array([ord(found[k][0])], np.uint64))]
-        out[k] = np.unique((np.concatenate(upper) >> np.uint64(32)).astype(np.uint32))[:NAMES]
+        codes = [s[c[row] : c[row + 1]] for s, c, under_way in levels if under_way[row]]
+        # A lone character has no phrases and stands for itself.
+        every = np.concatenate(codes or [_codes(texts.mix(np.array([ord(found[k][0])], np.uint64)), 1)])
+        out[k] = _first(every)
     return out
 
 
+def _first(codes: np.ndarray) -> np.ndarray:
+    """The first NAMES distinct codes in order."""
+    ranks = _ranks(codes)
+    order = np.argsort(ranks)
+    ranks = ranks[order]
+    new = np.append(True, ranks[1:] != ranks[:-1])
+    return codes[order][new][:NAMES]
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the first names of two sketches together that occur in both."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.concatenate([a, b])
+    both = _ranks(np.concatenate([a, b]))
     both.sort()
     twice = both[1:][both[1:] == both[:-1]]
     size = min(NAMES, len(both) - len(twice))
