@@ -89,3 +89,26 @@ def test_no_rows(empty, spark):
     none = lm.score(frame(spark, [(1, "a b"), (2, None)]), F.lit(True)).collect()
     assert {r["train_tokens"] for r in none} == {0} and {r["n_known"] for r in none} == {0}
     assert all(math.isfinite(r["score"]) and r["score"] <= 0 for r in none)
+
+
+def test_many_equal_rows_are_gathered_and_given_out_again(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(k, prose(rng, 30)) for k in range(40)]
+    rows += [(None, rows[0][1])] * 150 + [(None, None)] * 60 + [(7, rows[7][1])] * 90 + [(9, "")] * 2
+    monkeypatch.setattr(lm, "_DEAL", 40)
+    df = frame(spark, rows).repartition(5)
+    wanted = brute(rows, 2, 8.0)
+    for hot_bytes in (0, 600, 1 << 30):
+        assert got(lm.score(df, held(), 2, 8.0, block_bytes=900, hot_bytes=hot_bytes)) == wanted
+    most = lm._gathered(df.withColumn("held_out", F.lit(False)).select("doc_id", "text", "held_out"), 600)
+    assert most.agg(F.sum("copies")).first()[0] == len(rows)
+    assert most.count() == 40 + 1 + 60 + 2  # the 60 rows without text hold 480 bytes and go singly
+
+
+def test_clashing_names(spark):
+    rows = [(1, "one two one"), (2, "two three"), (3, None)]
+    plain = frame(spark, rows)
+    clash = plain
+    for name in ("key", "copies", "block", "size", "held_out", "n", "from", "copy", "part", "counts"):
+        clash = clash.withColumn(name, F.lit("theirs"))
+    assert got(lm.score(clash, held())) == got(lm.score(plain, held()))

@@ -18,7 +18,9 @@ n-gram's frequency costs nothing since each block sends it once.
 
 Defined cases: a null or empty text is its end token alone. A null id counts
 as a training row. Without training rows all counts are 0. Equal rows count
-as often as they occur. Words are told apart by 64-bit hashes.
+as often as they occur; rows with one id and text that hold more than
+HOT_BYTES together go through their block as one row with a number of copies. Words are told apart by
+64-bit hashes.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wrenchlake.llm import texts
+from wrenchlake.operators.skew import bounded
 
 ORDER = 2
 # Weight of the lower order, as a number of observations.
@@ -40,6 +43,10 @@ BACKOFF_MASS = 8.0
 BLOCK_BYTES = 12 << 20
 # Words of a text that are read in one go; longer texts are read in stretches, side by side.
 STRETCH = 512
+# Bytes of equal rows (id and text) that go singly; where they hold more, they are gathered into one.
+HOT_BYTES = 1 << 20
+# Copies of a row that are given out again by one row.
+_DEAL = 100_000
 _START = np.uint64(0x8F1BBCDC8F1BBCDC)
 _END = np.uint64(0x5BE0CD195BE0CD19)
 
@@ -94,16 +101,22 @@ def _long(blob: bytes, n: int) -> np.ndarray:
     return counts
 
 
+def _copies(table: pa.Table) -> np.ndarray:
+    """How many rows each row stands for."""
+    return _column(table, "copies").to_numpy() if "copies" in table.column_names else np.ones(len(table), np.int64)
+
+
 _QUESTION = "n int, part int, block int, asked binary, counts binary"
 
 
 def _questions(table: pa.Table, block: int, order: int, parts: int) -> pa.Table:
     tokens, offsets = tokens_of(_column(table, "text"))
-    training = np.repeat(~_column(table, "held_out").to_numpy(zero_copy_only=False), np.diff(offsets))
+    learnt = np.where(_column(table, "held_out").to_numpy(zero_copy_only=False), 0, _copies(table))
+    training = np.repeat(learnt, np.diff(offsets))
     rows: dict[str, list] = {"n": [], "part": [], "block": [], "asked": [], "counts": []}
     for n, grams in enumerate(grams_of(tokens, offsets, order), 1):
         distinct, cuts, inverse = _asked(grams, parts)
-        counts = np.bincount(inverse[training], minlength=len(distinct))
+        counts = np.bincount(inverse, training, len(distinct)).astype(np.int64)
         for part in np.flatnonzero(np.diff(cuts)).tolist():
             own = slice(cuts[part], cuts[part + 1])
             for name, value in zip(rows, (n, part, block, distinct[own].tobytes(), _short(counts[own])), strict=True):
@@ -271,6 +284,7 @@ def _scored(docs: pa.Table, answers: pa.Table, order: int, parts: int, n_tokens:
         {
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
+            "copies": pa.array(_copies(docs)),
             "n_tokens": pa.array(np.diff(offsets)),
             "n_known": pa.array(add((levels[0][1] > 0).astype(np.int64)[model.words], heads)),
             "train_tokens": pa.array(np.full(len(heads), n_tokens)),
@@ -280,7 +294,32 @@ def _scored(docs: pa.Table, answers: pa.Table, order: int, parts: int, n_tokens:
     )
 
 
-def score(docs: DataFrame, held_out, order: int = ORDER, mass: float = BACKOFF_MASS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _gathered(own: DataFrame, hot_bytes: int) -> DataFrame:
+    """``own`` with ``copies``: equal rows of more than ``hot_bytes`` together as one row, all others singly.
+
+    The counts are by hash and combined map-side; equal rows then meet by
+    their columns, so two texts with one hash stay apart.
+    """
+    key = F.xxhash64("doc_id", "text")
+    sizes = own.select(key.alias("key"), (F.octet_length("text") + F.lit(8)).alias("size"))
+    counts = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    hot = bounded(counts.filter((F.col("n") > 1) & (F.col("size") > hot_bytes)).select("key"))
+    if hot.isEmpty():
+        return own.withColumn("copies", F.lit(1).cast("long"))
+    keyed = own.withColumn("key", key)
+    single = keyed.join(hot, "key", "left_anti").select(*own.columns, F.lit(1).cast("long").alias("copies"))
+    several = keyed.join(hot, "key", "left_semi").groupBy(*own.columns).agg(F.count(F.lit(1)).alias("copies"))
+    return single.unionByName(several)
+
+
+def _given_out(scored: DataFrame) -> DataFrame:
+    """Each row as often as it has copies."""
+    dealt = scored.withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(_DEAL).cast("long"))))
+    upto = F.least(F.col("copies"), F.col("from") + F.lit(_DEAL - 1))
+    return dealt.withColumn("copy", F.explode(F.sequence("from", upto))).drop("from", "copy", "copies")
+
+
+def score(docs: DataFrame, held_out, order: int = ORDER, mass: float = BACKOFF_MASS, block_bytes: int = BLOCK_BYTES, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     ``held_out`` is a boolean column over ``docs``; the model learns from the
@@ -293,7 +332,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, mass: float = BACKOFF_M
     )
     size = own.agg(F.coalesce(F.sum(F.octet_length("text") + F.lit(8)), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, math.ceil(size / block_bytes))
-    dealt = own.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    dealt = _gathered(own, hot_bytes).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def first_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -322,6 +361,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, mass: float = BACKOFF_M
     answers = grouped.applyInArrow(ask, _QUESTION).groupBy("n", "part").applyInArrow(_answers, "n int, part int, block int, counts binary")
     scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         traverse,
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+        "doc_id long, held_out boolean, copies long, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
-    return scored.hint("rebalance")  # narrow rows, so that a reader or writer gets few and even parts
+    # Narrow rows, so that a reader or writer gets few and even parts.
+    return _given_out(scored).hint("rebalance")
