@@ -107,6 +107,16 @@ def test_lengths_of_all_sorts(spark):
     assert {q: [i for i, _ in x] for q, x in exact.items()} == {q: [i for i, _ in x] for q, x in wanted.items()}
 
 
+def test_queries_far_from_the_vectors(spark):
+    """Vectors lie close together and the queries elsewhere, so every distance is long beside the size of the tree."""
+    rng = np.random.default_rng(11)
+    middle, aside = np.eye(16)[0], np.eye(16)[1]
+    rows = [(i, (aside if i % 20 == 0 else middle) + 0.05 * rng.normal(size=16)) for i in range(2000)]
+    rows = [(i, v) for i, v in rows if i % 20 or i < 200]
+    found, wanted = got(neighbours.nearest(table(spark, rows), query())), brute(rows, 20)
+    assert recall(found, wanted) == 1.0
+
+
 def test_awkward_rows(spark):
     bad = [(20, None), (40, []), (60, [0.0, 0.0, 0.0]), (80, [1.0, None, 2.0]), (100, [float("nan"), 1.0, 1.0]), (None, [1.0, 2.0, 3.0])]
     good = [(120, [1.0, 0.0, 0.5]), (121, [1.0, 1.0, 1.0]), (122, [1.0, 1.0, 1.0]), (140, [-1.0, 2.0, 0.0]), (141, [5.0, 1.0])]

@@ -9,8 +9,8 @@ large to be squared. Each shard of a band holds a tree: a node has a vantage
 point and the distance ranges of its two halves, a leaf a block of vectors. A
 search descends to the nearest leaf first and then visits every child that the
 triangle inequality does not rule out. ``relax`` divides the search radius in
-that test: 1 is exact, more prunes more. Queries go through a tree together, in
-blocks. Products in a leaf only pick candidates; these are ranked by the exact
+that test: 1, the default, is exact; more prunes more, and misses most where the
+queries lie far from the vectors. Queries go through a tree together, in blocks. Products in a leaf only pick candidates; these are ranked by the exact
 score on the original vectors, ties by least id, however many tie.
 
 Copies of one vector are one entry of the index, which lists their smallest
@@ -40,7 +40,7 @@ from wrenchlake.session import materialise
 SHARD_ROWS = 8_192
 LEAF_ROWS = 128
 QUERY_BLOCK = 1_024
-RELAX = 2.0
+RELAX = 1.0
 # Bands of vector length for each doubling of it.
 BANDS = 4
 # What products and distances of points of length 1 may be off by rounding, generously.
