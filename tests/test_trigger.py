@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from wrenchlake import schemas
@@ -197,3 +199,73 @@ def test_folded_days_equal_one_summary(spark, rows):
         fresh = materialise(trigger.new_issues(part, known))
         totals, known = materialise(trigger.folded_summary(totals, part, fresh)), known.unionByName(fresh)
     assert rows(trigger.latest_changes(totals)) == rows(trigger.trigger_cutoff_summary(whole).select(*totals.columns))
+
+
+@pytest.fixture
+def shuffled(spark, monkeypatch):
+    """Nothing is broadcast, as on large tables."""
+    monkeypatch.setattr(trigger, "bounded", lambda df: materialise(df, "large"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _exchanges(df) -> int:
+    return len(re.findall(r"(?m)^[ :+*()\d-]*Exchange ", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_large_tables_meet_in_one_shuffle_each(spark, rows, shuffled):
+    """The wide rows of job cards are shuffled once: to the windows of their part."""
+    facts = materialise(cards(spark, FACTS))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    found = run(spark, facts, listing(spark))
+    assert _exchanges(found) == 2
+    assert rows(found, "JobCard", "PartNumber", "ReasonForChange") == EXPECTED
+
+
+def test_cards_that_no_change_can_take_are_left_out_before_the_shuffle(spark, shuffled):
+    facts = materialise(cards(spark, FACTS))
+    plan = run(spark, facts, listing(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "ModelID" in plan and re.search(r"ModelID#\d+L? IN \(M[12],M[12]\)", plan) and ">= 1899-01-01" in plan
+
+
+@pytest.mark.parametrize("most", [0, 2, 100])
+def test_crowded_parts_are_swept_with_the_same_result(spark, rows, most):
+    rng = random.Random(most)
+    dates = [(D("2020-01-01") + dt.timedelta(days=rng.randrange(60))).isoformat() for _ in range(200)]
+    listed = [change(["A"] if k % 4 else ["A", "B"], dates[k], dates[k + 50], f"c{k}", plant="ORG" if k % 3 else "TVT") for k in range(20)]
+    facts = [(f"J{k % 70}", "ABC"[k % 3], f"M{k % 4}", dates[k], "ORG" if k % 2 else "TVT") for k in range(200)]
+    plain = {(c[7], p, f[0]) for f in facts for c in listed for p in "AB" if p == f[1] and f"'Part No': '{p}'" in c[0]
+             and f[2] in ("M1", "M2") and f[4] == c[4] and c[3] <= D(f[3]) and (D(f[3]) < _until(listed, p, c))}
+    found = run(spark, cards(spark, facts), changes(spark, *listed), match_plant=True, most_windows=most)
+    assert rows(found, "ReasonForChange", "PartNumber", "JobCard") == sorted(plain) != []
+
+
+def _until(listed, part, own):
+    """Build date of the next change of the part, by the next later effective date."""
+    later = [(c[6], c[3]) for c in listed if f"'Part No': '{part}'" in c[0] and c[6] > own[6]]
+    return min(later)[1] if later else D("9999-01-01")
+
+
+def test_a_hot_part_is_split_though_no_shuffle_follows(spark, shuffled):
+    n, limits = 200_000, {"skewedPartitionThresholdInBytes": "64KB", "skewedPartitionFactor": "1.5"}
+    filled = {c: F.lit("x") for c in schemas.CHANGE_FACT_COLUMNS} | {
+        "JobCard": F.sha2(F.col("id").cast("string"), 256), "PartNumber": F.when(F.col("id") % 10 > 0, "A").otherwise(F.concat(F.lit("P"), "id")),
+        "ModelID": F.lit("M1"), "CreatedOn": F.lit("2022-01-01").cast("date"), "MfgDate": F.lit("2021-01-01").cast("date"), "Kilometers": F.lit(1).cast("bigint"),
+    }
+    hot = spark.range(0, n, 1, 16).select(*[filled[c].alias(c) for c in schemas.CHANGE_FACT_COLUMNS])
+    for key, value in limits.items():
+        spark.conf.set(f"spark.sql.adaptive.skewJoin.{key}", value)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        found = run(spark, hot, changes(spark, change(["A"], "2020-01-01", "2020-01-01", "x")))
+        assert found.count() == n * 9 // 10
+        whole = run(spark, hot, changes(spark, change(["A"], "2020-01-01", "2020-01-01", "x")))
+        whole.collect()
+        assert "skew=true" in whole._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in limits:
+            spark.conf.unset(f"spark.sql.adaptive.skewJoin.{key}")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
