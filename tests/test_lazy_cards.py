@@ -1,5 +1,7 @@
 """Use cases that read job cards straight from ingestion."""
 
+import re
+
 import pytest
 
 from wrenchlake import schemas
@@ -43,3 +45,17 @@ def test_a_use_case_writes_no_job_card_table(spark, tmp_path, monkeypatch):
     assert not (tmp_path / next(iter([p.name for p in tmp_path.iterdir()]), "none") / "job_cards_l_partkey").exists()
     catalog.prepare(spark, SF)
     assert sorted(map(repr, catalog.label_quality(spark, SF).collect())) == sorted(map(repr, straight)) != []
+
+
+def test_lookups_shuffle_the_lines_and_not_their_texts(spark, monkeypatch):
+    """With a part master too large to broadcast, the rows that meet it carry none of the feed's derived texts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(ingest, "bounded", lambda df: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog._ingested(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = plan[plan.index("Join LeftOuter") :]
+    below = below[below.index("\n") :]
+    assert "ModelType" in below and not re.search(r"AS (JobCard|State|DealerName|VehicleChassisNumber|PrimaryPart|Product)#", below)
