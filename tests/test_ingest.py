@@ -355,3 +355,23 @@ def test_unplanned_reads_one_partition(spark, tmp_path):
     plan = visited._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(RunDate" in plan
     assert visited.count() == 1
+
+
+def test_windows_of_a_change_list_are_worked_out_once(spark, tmp_path, monkeypatch, rows):
+    quoted = "\"[{'Part No': 'A1', 'Part Description': 'one'}, {'Part No': 'A1', 'Part Description': 'two'}]\""
+    (tmp_path / "changes.csv").write_text(f"h\n{quoted},DC,\"['M']\",2018-01-01,TVT,mod,2018-01-01,why\n")
+    daily.load_changes(spark, str(tmp_path / "changes.csv"), f"{tmp_path}/changes")
+    windows = tables.read_table(spark, f"{tmp_path}/changes-windows")
+    assert rows(windows, "_part_no", "_from", "_to", "_part_text", "_stamp_Plant") == [("A1", D("2018-01-01"), None, "one", "TVT")]
+    facts = {c: "x" for c in schemas.CHANGE_FACT_COLUMNS} | {
+        "PartNumber": "A1", "ModelID": "M", "CreatedOn": D("2022-06-11"), "MfgDate": D("2020-01-01"), "RunDate": D("2022-06-11"),
+    }
+    ddl = ", ".join(f"{c} {'date' if c in ('CreatedOn', 'MfgDate', 'RunDate') else 'string'}" for c in facts)
+    spark.createDataFrame([tuple(facts.values())], ddl).write.partitionBy("RunDate").parquet(f"{tmp_path}/cards")
+
+    def again(*_):
+        raise AssertionError("windows worked out on a run day")
+
+    monkeypatch.setattr(daily.trigger, "change_windows", again)
+    daily.append_trigger_cutoff(spark, f"{tmp_path}/cards", f"{tmp_path}/changes", f"{tmp_path}/out", f"{tmp_path}/report", "2022-06-11")
+    assert rows(tables.read_table(spark, f"{tmp_path}/out"), "JobCard", "PartDescription") == [("x", "one")]
