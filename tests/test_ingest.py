@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wrenchlake import schemas
-from wrenchlake.operators import ingest, visits
+from wrenchlake.operators import ingest, skew, visits
 from wrenchlake.operators.repeat_days import StaleDayError
 from wrenchlake.plans import daily
 from wrenchlake.sources import counts, feeds, tables
@@ -375,3 +375,22 @@ def test_windows_of_a_change_list_are_worked_out_once(spark, tmp_path, monkeypat
     monkeypatch.setattr(daily.trigger, "change_windows", again)
     daily.append_trigger_cutoff(spark, f"{tmp_path}/cards", f"{tmp_path}/changes", f"{tmp_path}/out", f"{tmp_path}/report", "2022-06-11")
     assert rows(tables.read_table(spark, f"{tmp_path}/out"), "JobCard", "PartDescription") == [("x", "one")]
+
+
+def test_a_large_part_master_is_hashed_and_the_cards_are_not_sorted(spark, monkeypatch, rows):
+    """With a part master too large to broadcast, no job card is sorted for it, and the rows are those of the broadcast."""
+    parts = [("A1", "UCE", "g1", "v1", "c1"), ("A1", "UCE", "g0", "v2", "c2"), ("B2", "UCE", "g2", None, "c3"), ("A1", "TWINS", None, "v4", "c4"), (None, "UCE", "g5", "v5", "c5")]
+    master = spark.createDataFrame(parts, "PartNumber string, ModelType string, PartGroup string, PartVariant string, PartCategory string")
+    cards = [(n, m, p, q) for n in (1, 1, 2) for m in ("UCE", "TWINS", "NA", None) for p in ("A1", "B2", "X", None) for q in ("B2", "A1", None)]
+    facts = spark.createDataFrame(cards, "JobCard int, ModelType string, PartNumber string, PrimaryPartNumber string")
+    small = rows(ingest.add_part_groups(facts, master))
+    monkeypatch.setattr(ingest, "bounded_or_hashed", lambda df: skew.bounded_or_hashed(df, 0), raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = ingest.add_part_groups(facts, master)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+        assert rows(met) == small and len(small) == len(cards)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
