@@ -1,10 +1,13 @@
 """Joins in buckets: wide rows that meet a large lookup are written as columns instead of shuffled."""
 
+import glob
+
 import pytest
 
 from wrenchlake import schemas
 from wrenchlake.operators import ingest, skew
 from wrenchlake.plans import catalog
+from wrenchlake.sources import feeds
 
 FACTS = [(i, f"P{i % 7}" if i % 5 else None, "T1" if i % 2 else "T2") for i in range(200)] + [(1000 + i, "HOT", "T1") for i in range(300)] * 2
 LOOKUP = [(f"P{i}", "T1", f"group {i}") for i in range(5)] + [("HOT", "T1", None), (None, "T1", "none"), ("P6", "T2", "group 6")]
@@ -75,3 +78,10 @@ def test_the_whole_job_card_table_moves_no_line_to_a_large_part_master(spark, ro
     assert "l_orderkey" not in "".join(line for line in _plan(whole).splitlines() if "Exchange" in line)
     assert "Scan parquet" in _plan(whole) and "lineitem" not in _plan(whole)
     assert rows(whole) == rows(plain)
+
+
+def test_feed_files_are_compressed(spark, monkeypatch, tmp_path):
+    """The stand-in feed is the largest thing on the disk when it is written as plain text."""
+    monkeypatch.setattr(catalog, "_scratch", lambda _: str(tmp_path))
+    assert catalog.feed_job_cards(spark, "/root/testdata/sf0.001").count() == feeds.read_feed(spark, f"{tmp_path}/cards", "job_cards").count() > 0
+    assert glob.glob(f"{tmp_path}/cards/*.csv.gz") and not glob.glob(f"{tmp_path}/cards/*.csv")
