@@ -41,6 +41,12 @@ def test_the_facts_are_neither_shuffled_nor_sorted(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("buckets_")]
 
 
+def test_nothing_to_join(spark, rows):
+    facts, lookup = _sides(spark)
+    assert rows(skew.join_in_buckets(facts.limit(0), lookup, ["part", "type"], 1)[0]) == []
+    assert rows(skew.join_in_buckets(facts, lookup.limit(0), ["part", "type"], 1)[0], "n", "found") == rows(facts.selectExpr("n", "null"))
+
+
 def test_a_hot_key_is_met_file_by_file(spark):
     facts, lookup = _sides(spark)
     joined, _ = skew.join_in_buckets(facts, lookup, ["part", "type"], 1, 100)
